@@ -82,10 +82,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet = SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet = SPACED, prefix: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, document index, first byte, end byte) of each word, in order.
 
     Bytes are relative to ``data``.  A word never crosses a document's end.
+    With ``prefix``, hashes are of the words' first bytes, so many at most.
     """
     n = len(data)
     if not n:
@@ -107,11 +108,17 @@ def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet = SPACED) ->
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, side="right")))
         low, high = starts[i], ends[j - 1]
-        size = max(BLOCK, 1 << int(high - low - 1).bit_length())
-        up, down = _powers(size)
+        up, down = _powers(max(BLOCK, 1 << int(high - low - 1).bit_length()))
         rel = starts[i:j] - low
-        sums = np.add.reduceat(alphabet.values(data[low:high]) * up[: high - low], rel)
-        hashes[i:j] = mix(sums * down[rel] + (ends[i:j] - starts[i:j]).astype(U64))
+        scaled = alphabet.values(data[low:high]) * up[: high - low]
+        size = ends[i:j] - starts[i:j]
+        if prefix:
+            size = np.minimum(size, prefix)
+            cut = np.stack((rel, rel + size), axis=1).ravel()
+            sums = np.add.reduceat(np.append(scaled, U64(0)), cut)[::2]
+        else:
+            sums = np.add.reduceat(scaled, rel)
+        hashes[i:j] = mix(sums * down[rel] + size.astype(U64))
         i = j
     doc = np.searchsorted(offsets, starts, side="right") - 1
     return hashes, doc, starts, ends
