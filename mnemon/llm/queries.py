@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mnemon.llm import decontam, jaccard_join, langid, sharding, toxicity, warc
+from mnemon.llm import decontam, jaccard_join, langid, pieceset, pii, sharding, toxicity, warc
+
+
+#: The public SentencePiece model that op4 encodes with.
+PIECE_MODEL = os.environ.get("MNEMON_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +27,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.learn(docs))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieceset.encode(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -30,6 +39,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(_table(spark, sf_dir, "documents"))
 
@@ -40,7 +53,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_language_id, op5_decontamination, op6_toxicity, op9_jaccard_join, op10_warc)}
+    return {f.__name__: f for f in (op1_sharding, op3_language_id, op4_sentencepiece, op5_decontamination, op6_toxicity, op8_pii, op9_jaccard_join, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
