@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mnemon.llm import decontam, jaccard_join, langid, pieceset, pii, sharding, toxicity, warc
+from mnemon.llm import decontam, embed_dedup, jaccard_join, langid, pieceset, pii, sharding, toxicity, url_filter, warc
 
 
 #: The public SentencePiece model that op4 encodes with.
@@ -22,6 +22,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), 16)
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.learn(docs))
@@ -39,6 +43,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"))
 
@@ -53,7 +61,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_language_id, op4_sentencepiece, op5_decontamination, op6_toxicity, op8_pii, op9_jaccard_join, op10_warc)}
+    return {f.__name__: f for f in (op1_sharding, op2_url_filters, op3_language_id, op4_sentencepiece, op5_decontamination, op6_toxicity, op7_embedding_dedup, op8_pii, op9_jaccard_join, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
