@@ -14,6 +14,7 @@ for that fit, the others for the counts.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,8 @@ from mnemon.llm.shared import stored
 from mnemon.llm.textscan import PLAIN, U64, mix, pieces, text_bytes, words
 
 BINS = 1 << 19
+#: Counts go to the tasks that sum them in stretches of so many bins.
+SEGMENT = 1 << 13
 #: Rows, about, that the logistic fit uses of those set aside for it.
 FIT_ROWS = 50_000
 FILTER_BITS = 1 << 23
@@ -86,6 +89,8 @@ class ToxicModel:
         self.weight = self._own(self.pair, self.word.sum(1)).astype(np.float32)
         if not total.all():  # a class without counts says nothing
             self.own[:], self.left[:], self.rest[:], self.weight[:] = 0, 1, 1, 0
+        self.word, self.pair = self.word.astype(np.float32), self.pair.astype(np.float32)
+        del self.ends, self.stem
 
     @staticmethod
     def _own(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -173,18 +178,25 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                     word[c] += np.bincount(g.word[mine], minlength=BINS)
                     pair[c] += np.bincount(g.pair[mine], minlength=BINS)
         for t, counts in enumerate((word, pair, ends, stem)):
-            for c in (0, 1):
-                at = np.flatnonzero(counts[c])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), t * 2 + c, np.int8)), pa.array(at.astype(np.int32)), pa.array(counts[c][at].astype(np.int32))], ["table", "bin", "n"]
-                )
-
-    got = _labelled(docs, labels, key, text, label).mapInArrow(count, "table byte, bin int, n int").groupBy("table", "bin").agg(F.sum("n").alias("n")).toArrow()
-    # 8 * BINS rows at most
-    tables = np.zeros((8, BINS))
-    if got.num_rows:
-        tables[got["table"].to_numpy(), got["bin"].to_numpy()] = got["n"].to_numpy()
-    return ToxicModel(tables[0:2], tables[2:4], tables[4:6], tables[6:8])
+            blobs = [zlib.compress(np.ascontiguousarray(counts[:, low : low + SEGMENT]).tobytes(), 1) for low in range(0, BINS, SEGMENT)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blobs), dtype=np.int32) + t * len(blobs)), pa.array(blobs, pa.binary())], ["segment", "counts"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for segment, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[segment] = sums.get(segment, 0) + np.frombuffer(zlib.decompress(blob.as_buffer()), np.int64)
+        blobs = [zlib.compress(x.tobytes(), 1) for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(blobs, pa.binary())], ["segment", "counts"])
+
+    parts = 4 * BINS // SEGMENT
+    counted = _labelled(docs, labels, key, text, label).mapInArrow(count, "segment int, counts binary")
+    tables = np.zeros((4, 2, BINS))
+    for segment, blob in counted.repartitionById(parts, "segment").mapInArrow(total, "segment int, counts binary").collect():
+        # 4 * BINS / SEGMENT rows, whatever the input
+        t, low = divmod(segment, BINS // SEGMENT)
+        tables[t][:, low * SEGMENT : (low + 1) * SEGMENT] = np.frombuffer(zlib.decompress(blob), np.int64).reshape(2, -1)
+    return ToxicModel(*tables)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
