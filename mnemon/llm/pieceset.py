@@ -31,7 +31,7 @@ from mnemon.llm.textscan import U64, mix, pieces, text_bytes
 
 MARK = "▁"
 #: Distinct words that a worker keeps encoded.
-KEEP_WORDS = 400_000
+KEEP_WORDS = 1_500_000
 _WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
@@ -44,8 +44,19 @@ class PieceSet:
     byte_ids: list[int]
     merges: bool = True
     longest: int = 0
+    #: Of a merge model: the pieces that merging their own characters gives, and all beginnings of those.
+    whole: dict[str, int] = field(default_factory=dict, repr=False)
+    beginnings: set[str] = field(default_factory=set, repr=False)
+    names: list[str] = field(default_factory=list, repr=False)
     _open: dict[int, bool] = field(default_factory=dict, repr=False)
-    _whole: dict[str, bool] = field(default_factory=dict, repr=False)
+
+    def __post_init__(self) -> None:
+        self.longest = max(map(len, self.ids), default=0)
+        self.names = [""] * len(self.scores)
+        for p, i in self.ids.items():
+            self.names[i] = p
+        self.whole = {p: i for p, i in self.ids.items() if not self.merges or len(self.merge(p)) == 1}
+        self.beginnings = {p[:n] for p in self.whole for n in range(1, len(p) + 1)}
 
     @classmethod
     def load(cls, path: str) -> PieceSet:
@@ -59,7 +70,7 @@ class PieceSet:
         ids = {model.id_to_piece(i): i for i in normal}
         byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         whole = bool(np.all(scores[normal] == np.round(scores[normal])))  # merge models score by rank, unigram models by log-probability
-        return cls(ids, scores, byte_ids, whole, max(map(len, ids)))
+        return cls(ids, scores, byte_ids, whole)
 
     def merge(self, text: str) -> list[str]:
         """The pieces after merging the best-scored neighbours, leftmost first, until none is left."""
@@ -74,59 +85,62 @@ class PieceSet:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def open_step(self, a: str, b: str) -> bool:
-        key = self.ids[a] << 32 | self.ids[b]
-        if (found := self._open.get(key)) is None:
-            if len(self._open) > 1_000_000:
-                self._open.clear()
-            found = self._open[key] = self.merge(a + b) == [a, b]
+    def open_step(self, a: int, b: int) -> bool:
+        """Whether merging the characters of two pieces gives the two; known pairs are looked up by the caller."""
+        if len(self._open) > 1_000_000:
+            self._open.clear()
+        first, second = self.names[a], self.names[b]
+        found = self._open[a << 20 | b] = self.merge(first + second) == [first, second]
         return found
 
-    def edges(self, word: str) -> list[list[str]]:
-        """By start: the pieces among the word's substrings of bounded length; a lone unknown character where there is none."""
-        out = []
-        for i in range(len(word)):
-            here = [word[i:j] for j in range(i + 1, min(len(word), i + self.longest) + 1) if word[i:j] in self.ids]
-            if not here or len(here[0]) > 1:
-                here.insert(0, word[i])
-            out.append(here)
-        return out
+    def edges(self, word: str, i: int) -> list[tuple[int, int]]:
+        """(piece, end) of the substrings of bounded length from ``i``; -2 for an unknown character."""
+        here, j, piece = [], i + 1, self.whole.get(word[i])
+        if piece is None:
+            here.append((-2, j))
+        sub = word[i]
+        while True:
+            if piece is not None:
+                here.append((piece, j))
+            j += 1
+            if j > len(word) or sub not in self.beginnings:
+                return here
+            sub = word[i:j]
+            piece = self.whole.get(sub)
 
     def segment(self, word: str) -> list[str]:
         """The pieces of one word; unknown characters stay as they are."""
         return self._by_steps(word) if self.merges else self._by_scores(word)
 
     def _by_steps(self, word: str) -> list[str]:
-        edges = self.edges(word)
-        states: list[dict[str, str | None]] = [{} for _ in range(len(word) + 1)]
-        states[0][""] = None
-        for i, here in enumerate(edges):
-            for a in states[i]:
-                for b in here:
-                    if b not in self.ids or a not in self.ids or self.open_step(a, b):
-                        if b in self.ids and len(b) > 1:
-                            if (whole := self._whole.get(b)) is None:
-                                whole = self._whole[b] = self.merge(b) == [b]
-                            if not whole:
-                                continue
-                        states[i + len(b)].setdefault(b, a)
-        out, at = [], len(word)
-        piece = next(iter(states[at]), None)
-        while piece:
-            out.append(piece)
-            before = states[at][piece]
-            at -= len(piece)
-            piece = before
+        known = self._open
+        # by place: the last piece, and the piece before it with its start
+        states: list[dict[int, tuple[int, int]]] = [{} for _ in range(len(word) + 1)]
+        states[0][-1] = (-1, -1)
+        for i in range(len(word)):
+            if not states[i]:
+                continue
+            for b, end in self.edges(word, i):
+                for a in states[i]:
+                    if a < 0 or b < 0 or (ok := known.get(a << 20 | b)) or (ok is None and self.open_step(a, b)):
+                        # which pieces led to b doesn't matter for what follows
+                        states[end][b] = (a, i)
+                        break
+        out, at, piece = [], len(word), next(iter(states[-1]))
+        while at:
+            before, start = states[at][piece]
+            out.append(word[start:at])
+            at, piece = start, before
         return out[::-1]
 
     def _by_scores(self, word: str) -> list[str]:
         least = float(self.scores.min()) - 10
         best: list[tuple[float, str]] = [(0.0, "")] + [(-np.inf, "")] * len(word)
-        for i, here in enumerate(self.edges(word)):
-            for b in here:
-                value = best[i][0] + (self.scores[self.ids[b]] if b in self.ids else least)
-                if value > best[i + len(b)][0]:
-                    best[i + len(b)] = (value, b)
+        for i in range(len(word)):
+            for b, end in self.edges(word, i):
+                value = best[i][0] + (self.scores[b] if b >= 0 else least)
+                if value > best[end][0]:
+                    best[end] = (value, word[i:end])
         out, at = [], len(word)
         while at:
             out.append(best[at][1])
@@ -273,7 +287,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         is_byte = np.zeros(len(coder.size), dtype=np.int64)
         is_byte[coder.v.byte_ids] = 1
         for batch in batches:
-            for part in pieces(batch, text, 4 << 20):
+            for part in pieces(batch, text):
                 column = part.column(1)
                 ids, offsets = coder.encode(column)
                 plain, at = coder.decode(ids, offsets)
