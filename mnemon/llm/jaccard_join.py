@@ -23,8 +23,14 @@ pair is found if one of its sets has H + 1 of them.  The allocation of a set:
 A pair needs a common level only if both its sets went on to it, so the cheap
 levels carry nearly everything.  Candidates are verified on the whole sets.
 
-A bucket of many sets isn't unfolded into pairs: its members meet one of them,
-and what the links so far leave in different components meets in a second round.
+Any partner shares so many of a set's segments that most sets which merely hold
+a common passage fall out by their count of shared ones.  Of the candidates each
+set first meets one; a bucket of many sets isn't unfolded into pairs, its members
+meet one of them.  In a second round each member of a bucket that still holds
+several components meets the bucket's middle, the set with the fewest tokens of
+its own.  Last, what is left in different components meets pair by pair, but for
+pairs that can't share what a link takes: by the tokens of their own that they
+have, and by what each shares with a common middle.
 """
 
 from __future__ import annotations
@@ -34,7 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mnemon.llm.components import components
@@ -47,6 +53,8 @@ SIGNATURES_A_TASK = 4_000_000
 COMMON_SHARE, COMMON_MOST = 0.002, 1 << 16
 #: Buckets up to this size give all their pairs.
 SMALL_BUCKET = 6
+#: Parts of the universe that a pair's intersection is told by.
+GROUPS = 32
 #: Bits of the filter of sets to verify; what it lets pass wrongly costs time only.
 FILTER_BITS = 1 << 23
 
@@ -119,8 +127,24 @@ def _tag(level: int, band: np.ndarray, within: np.ndarray) -> np.ndarray:
     return mix(U64(level << 56) + (band.astype(U64) << U64(32)) + within.astype(U64))
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray, common: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, row) of all sets' index entries; empty sets have none."""
+@dataclass
+class Entries:
+    """Index entries: each signature's entry, and each entry's set, code and least count of shared signatures.
+
+    A code is even for the smaller side and odd for the larger one, and tells
+    level and band.  Any partner shares ``need`` of an entry's signatures or
+    more, if the pair is to be found at this entry's level.
+    """
+
+    signature: np.ndarray
+    entry: np.ndarray
+    row: np.ndarray
+    code: np.ndarray
+    need: np.ndarray
+
+
+def signatures(values: np.ndarray, offsets: np.ndarray, common: np.ndarray, t: Threshold) -> Entries:
+    """All sets' index entries; empty sets have none."""
     size = np.diff(offsets)
     cuts = t.cuts(int(size.max(initial=1)))
     rows = np.flatnonzero(size)
@@ -138,36 +162,41 @@ def signatures(values: np.ndarray, offsets: np.ndarray, common: np.ndarray, t: T
         is_rare = common[at] != values
     rare_at = np.concatenate(([0], np.cumsum(is_rare)))
     rare, rare_offsets = values[is_rare], rare_at[offsets]
-    sigs: list[np.ndarray] = []
-    of: list[np.ndarray] = []
+    made: list[tuple[np.ndarray, ...]] = []
+    entries = 0
 
-    def exact(level: int, who: np.ndarray, vals: np.ndarray, offs: np.ndarray, m: np.ndarray, trim: bool, empty: bool = False) -> np.ndarray:
+    def add(level: int, who: np.ndarray, sig: list[np.ndarray], of: list[np.ndarray], need: np.ndarray) -> None:
+        nonlocal entries
+        code = (level * 1024 + b[who]) * 2 + larger[who]
+        made.append((np.concatenate(sig), np.concatenate(of) + entries, row[who], code, np.maximum(need, 1)))
+        entries += len(who)
+
+    def exact(level: int, who: np.ndarray, vals: np.ndarray, offs: np.ndarray, m: np.ndarray, empty: bool = False) -> np.ndarray:
         """Index the segments of entries ``who``; those of them that have too few."""
         pos, owner = _flat(offs, row[who])
         total, count, base, _, _ = _segments(vals[pos], owner, m, 1000 * (level + 1))
         entry = np.repeat(np.arange(len(who)), m)
-        full = np.flatnonzero(count) if not empty else np.arange(len(count))
+        full = np.arange(len(count)) if empty else np.flatnonzero(count)
         have = np.bincount(entry[full], minlength=len(who))
-        need = own[who] + 1
-        safe = have >= need
-        if trim:
-            cut = larger[who] & safe
+        enough = have > own[who]
+        need = have - own[who]
+        if not empty:
+            cut = larger[who] & enough
             mine = full[cut[entry[full]]]
             order = mine[np.argsort(entry[mine] * 256 + 255 - np.minimum(count[mine], 255), kind="stable")]
             per = np.bincount(entry[order], minlength=len(who))
             rank = np.arange(len(order)) - np.repeat(np.cumsum(per) - per, per)
-            full = np.concatenate((full[~cut[entry[full]]], order[rank < need[entry[order]]]))
+            full = np.concatenate((full[~cut[entry[full]]], order[rank <= own[who][entry[order]]]))
+            need = np.where(cut, 1, need)
         e = entry[full]
-        sigs.append(mix(total[full] ^ _tag(level, b[who][e], full - base[e])))
-        of.append(row[who][e])
-        return who[~safe]
+        add(level, who, [mix(total[full] ^ _tag(level, b[who][e], full - base[e]))], [e], need)
+        return who[~enough]
 
     def singles(level: int, who: np.ndarray) -> np.ndarray:
         pos, owner = _flat(rare_offsets, row[who])
-        sigs.append(mix(rare[pos] ^ _tag(level, b[who][owner], np.zeros(len(owner), np.int64))))
-        of.append(row[who][owner])
         n = size[row[who]]
         n_common = n - (rare_offsets[row[who] + 1] - rare_offsets[row[who]])
+        add(level, who, [mix(rare[pos] ^ _tag(level, b[who][owner], np.zeros(len(owner), np.int64)))], [owner], t.overlap(n) - n_common)
         return who[n_common >= t.overlap(n)]
 
     def deletions(level: int, who: np.ndarray) -> np.ndarray:
@@ -177,27 +206,30 @@ def signatures(values: np.ndarray, offsets: np.ndarray, common: np.ndarray, t: T
         total, count, base, segment, value = _segments(values[pos], owner, m, 1000 * (level + 1))
         entry = np.repeat(np.arange(len(who)), m)
         full = np.flatnonzero(count)
-        sigs.append(mix(total[full] ^ _tag(level, b[who][entry[full]], full - base[entry[full]])))
-        of.append(row[who][entry[full]])
         less = np.flatnonzero(count[segment] > 1)
         s = segment[less]
-        sigs.append(mix((total[s] - value[less]) ^ _tag(level, b[who][owner[less]], s - base[owner[less]])))
-        of.append(row[who][owner[less]])
-        return who[np.bincount(entry[count > 1], minlength=len(who)) < own[who] // 2 + 1]
+        two = np.bincount(entry[count > 1], minlength=len(who))
+        add(
+            level, who,
+            [mix(total[full] ^ _tag(level, b[who][entry[full]], full - base[entry[full]])), mix((total[s] - value[less]) ^ _tag(level, b[who][owner[less]], s - base[owner[less]]))],
+            [entry[full], owner[less]],
+            two - own[who] // 2,
+        )
+        return who[two <= own[who] // 2]
 
     whole = most + 1
-    spare = whole + (most + 5) // 6
-    left = exact(0, np.arange(len(row)), rare, rare_offsets, spare, trim=True)
+    spare = whole + (most + 3) // 4
+    left = exact(0, np.arange(len(row)), rare, rare_offsets, spare)
     if len(left):
         left = singles(1, left)
     if len(left):
-        left = exact(2, left, values, offsets, spare[left], trim=True)
+        left = exact(2, left, values, offsets, spare[left])
     for level in (3, 4, 5):
         if len(left):
             left = deletions(level, left)
     if len(left):
-        exact(6, left, values, offsets, whole[left], trim=False, empty=True)
-    return (np.concatenate(sigs), np.concatenate(of)) if sigs else (np.zeros(0, U64), np.zeros(0, np.int64))
+        exact(6, left, values, offsets, whole[left], empty=True)
+    return Entries(*(np.concatenate(x) for x in zip(*made)))
 
 
 def _scan(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
@@ -247,16 +279,18 @@ def _index(docs: DataFrame, text: str, k: int, t: Threshold, common: np.ndarray,
                     continue
                 size = np.diff(offsets)
                 pos, _ = _flat(offsets, first)
-                sig, row = signatures(values[pos], np.concatenate(([0], np.cumsum(size[first]))), common.value, t)
-                part = (sig >> U64(40)) % U64(parts)
-                order = np.lexsort((row, part))
-                sig, row, part = sig[order], row[order], part[order].astype(np.int64)
+                made = signatures(values[pos], np.concatenate(([0], np.cumsum(size[first]))), common.value, t)
+                part = (made.signature >> U64(40)) % U64(parts)
+                order = np.lexsort((made.entry, part))
+                sig, entry, part = made.signature[order], made.entry[order], part[order].astype(np.int64)
                 new = np.ones(len(sig), dtype=bool)
-                new[1:] = (part[1:] != part[:-1]) | (row[1:] != row[:-1])
+                new[1:] = (part[1:] != part[:-1]) | (entry[1:] != entry[:-1])
                 at = np.flatnonzero(new)
-                many = np.diff(np.append(at, len(sig))).astype(np.uint32)
+                many = np.diff(np.append(at, len(sig)))
                 low = sig.view(np.uint8).reshape(-1, 8)[:, :5]
-                owner, sizes = keys[first][row[at]], size[first][row[at]].astype(np.uint32)
+                of = made.row[entry[at]]
+                owner = keys[first][of]
+                about = np.stack((size[first][of], made.code[entry[at]], made.need[entry[at]], many), axis=1).astype(np.uint32)
                 cut = np.flatnonzero(np.append(True, part[at][1:] != part[at][:-1]))
                 stop = np.append(cut[1:], len(at))
                 byte = np.append(at, len(sig))
@@ -265,97 +299,97 @@ def _index(docs: DataFrame, text: str, k: int, t: Threshold, common: np.ndarray,
                         pa.array(part[at][cut].astype(np.int32)),
                         pa.array([low[byte[x] : byte[y]].tobytes() for x, y in zip(cut, stop)], pa.binary()),
                         pa.array([owner[x:y].tobytes() for x, y in zip(cut, stop)], pa.binary()),
-                        pa.array([sizes[x:y].tobytes() for x, y in zip(cut, stop)], pa.binary()),
-                        pa.array([many[x:y].tobytes() for x, y in zip(cut, stop)], pa.binary()),
+                        pa.array([about[x:y].tobytes() for x, y in zip(cut, stop)], pa.binary()),
                     ],
-                    ["part", "sigs", "owners", "sizes", "counts"],
+                    ["part", "sigs", "owners", "about"],
                 )
 
-    return docs.select(text).mapInArrow(pack, "part int, sigs binary, owners binary, sizes binary, counts binary")
+    return docs.select(text).mapInArrow(pack, "part int, sigs binary, owners binary, about binary")
+
+
+_FOUND = "kind byte, a long, b long, c long, d long"
+
+
+def _found(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
+    n = len(columns[0])
+    arrays = [pa.array(np.full(n, kind, np.int8)), *(pa.array(np.ascontiguousarray(c).astype(np.int64, copy=False)) for c in columns)]
+    return pa.RecordBatch.from_arrays([*arrays, *[pa.nulls(n, pa.int64())] * (5 - len(arrays))], ["kind", "a", "b", "c", "d"])
 
 
 def _buckets(packed: DataFrame, parts: int, t: Threshold) -> DataFrame:
-    """Candidate pairs (a, b) and, with a ``bucket``, the members b of large buckets."""
+    """What shares signatures, by ``kind``.
+
+    0: candidate pairs (a, b) of small buckets; 1: members of large buckets
+    (bucket, cls, code, size); 2: how many signatures an entry shares with
+    others in this task (cls, code, count, need).
+    """
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig, owner, size = [], [], []
+        sig, owner, about, salt = [], [], [], None
         for batch in batches:
-            for s, o, z, c in zip(*(batch.column(i) for i in (1, 2, 3, 4))):
-                raw = np.frombuffer(s.as_py(), np.uint8).reshape(-1, 5)
-                full = np.zeros((len(raw), 8), dtype=np.uint8)
-                full[:, :5] = raw
-                many = np.frombuffer(c.as_py(), np.uint32)
-                sig.append(full.view(U64).ravel())
-                owner.append(np.repeat(np.frombuffer(o.as_py(), np.int64), many))
-                size.append(np.repeat(np.frombuffer(z.as_py(), np.uint32), many))
+            for p, s, o, x in zip(*(batch.column(i) for i in range(4))):
+                salt = mix_int(p.as_py() + 77)
+                raw = np.frombuffer(s.as_buffer(), np.uint8).reshape(-1, 5)
+                whole = np.zeros((len(raw), 8), dtype=np.uint8)
+                whole[:, :5] = raw
+                four = np.frombuffer(x.as_buffer(), np.uint32).reshape(-1, 4)
+                sig.append(whole.view(U64).ravel())
+                owner.append(np.repeat(np.frombuffer(o.as_buffer(), np.int64), four[:, 3]))
+                about.append(np.repeat(four[:, :3], four[:, 3], axis=0))
         if not sig:
             return
-        sig, owner, size = np.concatenate(sig), np.concatenate(owner), np.concatenate(size).astype(np.int64)
+        sig, owner, about = np.concatenate(sig), np.concatenate(owner), np.concatenate(about)
         order = np.argsort(sig)
         same = np.zeros(len(sig), dtype=bool)
         ordered = sig[order]
         same[1:] = ordered[1:] == ordered[:-1]
         same[:-1] |= same[1:].copy()
-        order = order[same]  # what shares its signature
-        sig, owner, size = sig[order], owner[order], size[order]
-        order = np.lexsort((owner, sig))
-        sig, owner, size = sig[order], owner[order], size[order]
+        order = order[same]
+        order = order[np.lexsort((owner[order], sig[order]))]
+        sig, owner, about = sig[order], owner[order], about[order]
         new = np.ones(len(sig), dtype=bool)
         new[1:] = (sig[1:] != sig[:-1]) | (owner[1:] != owner[:-1])
-        sig, owner, size = sig[new], owner[new], size[new]
+        sig, owner, about = sig[new], owner[new], about[new].astype(np.int64)
         if not len(sig):
             return
+        # a bucket counts if two sets meet there of which one is on the smaller side
         start = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         n = np.diff(np.append(start, len(sig)))
+        good = (n > 1) & (np.add.reduceat((about[:, 1] % 2 == 0).astype(np.int64), start) > 0)
+        keep = np.repeat(good, n)
+        sig, owner, (size, code, need) = sig[keep], owner[keep], about[keep].T
+        n = n[good]
+        if not len(n):
+            return
+        start = np.cumsum(n) - n
+        order = np.lexsort((code, owner))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (owner[order][1:] != owner[order][:-1]) | (code[order][1:] != code[order][:-1])
+        at = np.flatnonzero(new)
+        yield _found(2, owner[order][at], code[order][at], np.diff(np.append(at, len(order))), need[order][at])
         low, high = [], []
-        small = start[(n > 1) & (n <= SMALL_BUCKET)]
-        few = n[(n > 1) & (n <= SMALL_BUCKET)]
+        small = n <= SMALL_BUCKET
         for i in range(SMALL_BUCKET):
             for j in range(i + 1, SMALL_BUCKET):
-                at = small[few > j]
+                at = start[small & (n > j)]
                 low.append(at + i)
                 high.append(at + j)
-        large = n > SMALL_BUCKET
-        pos = np.repeat(start[large], n[large] - 1)
-        step = np.arange(len(pos)) - np.repeat(np.cumsum(n[large] - 1) - (n[large] - 1), n[large] - 1) + 1
-        low.append(pos)
-        high.append(pos + step)
         low, high = np.concatenate(low), np.concatenate(high)
-        near = np.minimum(size[low], size[high]) * t.den >= np.maximum(size[low], size[high]) * t.num
-        pairs = np.unique(np.stack((owner[low[near]], owner[high[near]]), axis=1), axis=0) if near.any() else np.zeros((0, 2), np.int64)
-        none = pa.nulls(len(pairs), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1])), none], ["bucket", "a", "b", "size"])
-        member = np.repeat(large, n)
+        near = (np.minimum(size[low], size[high]) * t.den >= np.maximum(size[low], size[high]) * t.num) & ((code[low] % 2 == 0) | (code[high] % 2 == 0))
+        if near.any():
+            pairs = np.unique(np.stack((owner[low[near]], owner[high[near]]), axis=1), axis=0)
+            yield _found(0, pairs[:, 0], pairs[:, 1])
+        member = np.repeat(~small, n)
         if member.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(mix(sig[member]).view(np.int64)), pa.nulls(int(member.sum()), pa.int64()), pa.array(owner[member]), pa.array(size[member])], ["bucket", "a", "b", "size"]
-            )
-
-    # 5 bytes name a signature in its task; the same number in another task is another bucket
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = iter(batches)
-        head = next(batches, None)
-        if head is None:
-            return
-        salt = mix_int(head.column(0)[0].as_py() + 77)
+            # 5 bytes name a signature in its task; the same number in another task is another bucket
+            yield _found(1, mix(sig[member] ^ U64(salt)).view(np.int64), owner[member], code[member], size[member])
 
-        def chain() -> Iterator[pa.RecordBatch]:
-            yield head
-            yield from batches
+    return packed.repartitionById(parts, "part").mapInArrow(match, _FOUND)
 
-        for out in match(chain()):
-            bucket = out.column(0)
-            if bucket.null_count == 0 and out.num_rows:
-                mine = mix(bucket.to_numpy().view(U64) ^ U64(salt)).view(np.int64)
-                out = pa.RecordBatch.from_arrays([pa.array(mine), *(out.column(i) for i in (1, 2, 3))], ["bucket", "a", "b", "size"])
-            yield out
 
-    return packed.repartitionById(parts, "part").mapInArrow(keyed, "bucket long, a long, b long, size long")
-
-
-def _sets_of(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame:
-    """(cls, tokens) of the sets whose key is in ``wanted``.cls, and of few others."""
-    spot = F.pmod(F.col("cls"), F.lit(FILTER_BITS))
+def _key_filter(wanted: DataFrame, column: str) -> np.ndarray:
+    """FILTER_BITS bits, packed, of which those of the column's values are set."""
+    spot = F.pmod(F.col(column), F.lit(FILTER_BITS))
     rows = wanted.groupBy(F.bitmap_bucket_number(spot).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits")).collect()
     # FILTER_BITS / 32768 rows of 4 KB, whatever the input
     bits = np.zeros(FILTER_BITS, dtype=bool)
@@ -363,45 +397,83 @@ def _sets_of(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame
         # bucket 0 has the bit of 0 alone, bucket n those from (n - 1) * 32768 + 1 on
         part = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(raw), np.uint8), bitorder="little"))
         bits[(part + ((n - 1) * 32768 + 1 if n else 0)) % FILTER_BITS] = True
-    asked = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    return np.packbits(bits)
+
+
+def _verify(docs: DataFrame, key: str, text: str, k: int, pairs: DataFrame, classes: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b, both, spread, linked): each pair's intersection, of whole sets, and whether it reaches the threshold.
+
+    ``spread`` has the intersection's size in each of GROUPS parts of the universe.
+
+    ``classes`` names the one document (cls, least) that speaks for a set.  Its
+    set goes to each of its pairs, so each pair has a task's two rows and no set
+    that is in many pairs gathers them.
+    """
+    sides = pairs.select(F.col("a").alias("cls"), "a", "b").unionByName(pairs.select(F.col("b").alias("cls"), "a", "b"))
+    asked = docs.sparkSession.sparkContext.broadcast(_key_filter(sides, "cls"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         on = np.unpackbits(asked.value).astype(bool)
         for batch in batches:
             for part in pieces(batch, text):
-                values, offsets = token_sets(part.column(0), k)
+                values, offsets = token_sets(part.column(1), k)
                 keys = set_keys(values, offsets)
                 hit = np.flatnonzero((keys != 0) & on[keys % FILTER_BITS])
-                _, first = np.unique(keys[hit], return_index=True)
-                hit = hit[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[hit]), pa.array([values[offsets[i] : offsets[i + 1]].tobytes() for i in hit], pa.binary())], ["cls", "tokens"]
-                )
-
-    found = docs.select(text).mapInArrow(emit, "cls long, tokens binary")
-    return found.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.any_value("tokens").alias("tokens"))
+                tokens = pa.array([values[offsets[i] : offsets[i + 1]].tobytes() for i in hit], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit)), pa.array(keys[hit]), tokens], ["least", "cls", "tokens"])
 
-
-def _verify(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
+    sets = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("least"), F.col(text)).mapInArrow(emit, "least long, cls long, tokens binary")
+    asks = sides.join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls")
+    moved = sets.join(asks, ["cls", "least"]).select("a", "b", "cls", "tokens")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, first, kept = None, None, None
+        kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("both", pa.int64()), ("spread", pa.list_(pa.int32())), ("linked", pa.bool_())])
+        found: list[dict] = []
         for batch in batches:
-            good = np.zeros(batch.num_rows, dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                p, q = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                at[at == len(q)] = 0
-                both = int((q[at] == p).sum())
-                good[i] = both * t.den >= t.num * (len(p) + len(q) - both)
-            keep = pa.array(good)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-    with_a = pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("set_a")), "a")
-    both = with_a.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("set_b")), "b")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
+            a, b, cls = (batch.column(i).to_numpy() for i in range(3))
+            for i in range(batch.num_rows):
+                if (a[i], b[i]) != pair:
+                    pair, first, kept = (a[i], b[i]), cls[i], np.frombuffer(batch.column(3)[i].as_buffer(), U64)
+                elif cls[i] != first:
+                    p, q = kept, np.frombuffer(batch.column(3)[i].as_buffer(), U64)
+                    first = cls[i]  # repeated rows of the other set don't count again
+                    if len(p) > len(q):
+                        p, q = q, p
+                    at = np.searchsorted(q, p)
+                    at[at == len(q)] = 0
+                    shared = p[q[at] == p]
+                    both = len(shared)
+                    spread = np.bincount((shared % U64(GROUPS)).astype(np.int64), minlength=GROUPS)
+                    found.append({"a": int(a[i]), "b": int(b[i]), "both": both, "spread": spread, "linked": both * t.den >= t.num * (len(p) + len(q) - both)})
+            yield pa.RecordBatch.from_pylist(found, schema=kind)
+            found = []
+
+    return moved.repartition(shuffle_partitions(docs.sparkSession), "a", "b").sortWithinPartitions("a", "b", "cls").mapInArrow(check, "a long, b long, both long, spread array<int>, linked boolean")
+
+
+def _tokens_of(rest: DataFrame, docs: DataFrame, key: str, text: str, k: int, classes: DataFrame) -> DataFrame:
+    """(cls, tok) of the sets of ``rest``."""
+    sets = rest.select("cls").distinct()
+    asked = docs.sparkSession.sparkContext.broadcast(_key_filter(sets, "cls"))
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        on = np.unpackbits(asked.value).astype(bool)
+        for batch in batches:
+            for part in pieces(batch, text):
+                values, offsets = token_sets(part.column(1), k)
+                keys = set_keys(values, offsets)
+                hit = np.flatnonzero((keys != 0) & on[keys % FILTER_BITS])
+                pos, owner = _flat(offsets, hit)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit[owner])), pa.array(keys[hit][owner]), pa.array(values[pos].view(np.int64))], ["least", "cls", "tok"])
+
+    tokens = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("least"), F.col(text)).mapInArrow(unfold, "least long, cls long, tok long")
+    one = sets.join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls")
+    return tokens.join(one, ["cls", "least"]).select("cls", "tok")
+
+
+#: Stands for a null key where keys are joined.
+NO_KEY = -(1 << 63)
 
 
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, t: Threshold = Threshold()) -> DataFrame:
@@ -417,35 +489,90 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     scanned = stored(_scan(docs, key, text, k), "sets")
     rows = scanned.where("tok is null")
     total, tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    classes = stored(rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("least")), "classes")
     parts = max(shuffle_partitions(spark), -(-tokens // SIGNATURES_A_TASK))
-    packed = _index(docs, text, k, t, _common(scanned, total), parts)
-    found = stored(_buckets(packed, parts, t), "buckets")
-    pairs = stored(found.where("bucket is null").select("a", "b").distinct(), "pairs")
-    ends = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
-    links = stored(_verify(pairs, stored(_sets_of(docs, text, k, ends(pairs)), "tokens"), t), "links")
-    roots = components(links)
-
-    # what a large bucket still holds in different components meets now
-    members = found.where("bucket is not null").select("bucket", "b", "size")
-    rooted = members.join(roots.select(F.col("node").alias("b"), "root"), "b", "left").withColumn("root", F.coalesce("root", "b"))
-    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("bucket")
-    rest = stored(rooted.join(open_, "bucket", "left_semi"), "open")
-    if not rest.isEmpty():
-        x = rest.select("bucket", F.col("b").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"))
-        y = rest.select("bucket", "b", F.col("root").alias("rb"), F.col("size").alias("nb"))
-        near = (F.least("na", "nb") * t.den >= F.greatest("na", "nb") * t.num) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-        more = x.join(y, "bucket").where(near).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-        more = stored(more, "pairs")
+    found = stored(_buckets(_index(docs, text, k, t, _common(scanned, total), parts), parts, t), "buckets")
+
+    # an entry that shares fewer signatures than any partner would is out
+    viable = found.where("kind = 2").groupBy(F.col("a").alias("cls"), F.col("b").alias("code")).agg(F.sum("c").alias("n"), F.max("d").alias("need"))
+    viable = stored(viable.where("n >= need").select("cls", "code"), "viable")
+    some = viable.select("cls").distinct()
+    small = found.where("kind = 0").select("a", "b").distinct()
+    small = small.join(some.withColumnRenamed("cls", "a"), "a", "left_semi").join(some.withColumnRenamed("cls", "b"), "b", "left_semi").select("a", "b")
+    members = found.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("cls"), F.col("c").alias("code"), F.col("d").alias("size"))
+    members = stored(members.join(viable, ["cls", "code"], "left_semi"), "members")
+    head = members.where("code % 2 = 0").groupBy("bucket").agg(F.min(F.struct("cls", "size")).alias("head"))
+    alike = lambda x, y: F.least(x, y) * t.den >= F.greatest(x, y) * t.num
+    star = members.join(head, "bucket").where((F.col("cls") != F.col("head.cls")) & alike(F.col("size"), F.col("head.size")))
+    star = star.select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b"))
+    small = stored(small, "small")
+
+    # first each set meets its least candidate, which joins most of what belongs together
+    first = stored(small.unionByName(star).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+    tried = stored(_verify(docs, key, text, k, first, classes, t), "tried")
+    roots = components(tried.where("linked"))
+
+    def root_of(name: str, to: str) -> DataFrame:
+        return roots.select(F.col("node").alias(name), F.col("root").alias(to))
+
+    def still_open(rows: DataFrame, name: str) -> DataFrame:
+        """The members of the buckets that hold two components or more."""
+        rooted = rows.drop("root").join(root_of("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        open_ = rooted.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("bucket")
+        return stored(rooted.join(open_, "bucket", "left_semi"), name)
+
+    def add(more: DataFrame) -> None:
+        nonlocal tried, roots
+        more = stored(more.distinct().join(tried, ["a", "b"], "left_anti"), "more")
         if not more.isEmpty():
-            late = _verify(more, stored(_sets_of(docs, text, k, ends(more)), "tokens"), t)
-            links = stored(links.union(late), "links")
-            roots = components(links)
-
-    classes = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("least"))
-    classes = classes.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    classes = stored(classes, "classes")
-    least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "root").select("cls", "component_id")
+            tried = stored(tried.unionByName(_verify(docs, key, text, k, more, classes, t)), "tried")
+            roots = components(tried.where("linked"))
+
+    def ordered(x: str, y: str) -> tuple[Column, Column]:
+        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+    # then the other pairs of small buckets, and each member of a large one that holds several components
+    # meets that with the fewest tokens of its own
+    apart = small.join(root_of("a", "ra"), "a", "left").join(root_of("b", "rb"), "b", "left")
+    more = apart.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    rest = still_open(members, "open")
+    if rest.isEmpty():
+        add(more)
+    else:
+        tokens = _tokens_of(rest, docs, key, text, k, classes)
+        alone = tokens.groupBy("tok").agg(F.min("cls").alias("cls"), F.max("cls").alias("other")).where("cls = other")
+        own = alone.groupBy("cls").agg(F.count(F.lit(1)).alias("own"))
+        rest = rest.join(own, "cls", "left").withColumn("avail", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+        rest = stored(rest.where(F.col("avail") * t.den >= F.col("size") * t.num), "open")
+        whole = (F.col("avail") * 1_000_000 / F.col("size")).cast("long").alias("whole")
+        middle = rest.where("code % 2 = 0").groupBy("bucket").agg(F.max(F.struct(whole, "cls", "size")).alias("m")).select("bucket", "m.whole", F.col("m.cls").alias("middle"), F.col("m.size").alias("m_size"))
+        met = rest.join(middle, "bucket").where(alike(F.col("size"), F.col("m_size"))).groupBy("cls").agg(F.max(F.struct("whole", "middle")).alias("to"))
+        met = stored(met.select("cls", F.col("to.middle").alias("middle")), "met")
+        add(more.unionByName(met.where("cls <> middle").select(*ordered("cls", "middle"))))
+
+        # last, what large buckets still hold in different components, pair by pair
+        rest = still_open(rest, "open")
+        if not rest.isEmpty():
+            seen = met.select("cls", "middle", *ordered("cls", "middle")).join(tried.select("a", "b", "both", "spread"), ["a", "b"], "left")
+            rest = stored(rest.join(seen.select("cls", "middle", "both", "spread"), "cls", "left"), "open")
+            x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+            # what two sets can share: their tokens that others have; and with one middle, part by part the less of
+            # what each shares with the middle, and of what else each has the less
+            most = F.least(x("avail"), y("avail"))
+            in_middle = F.aggregate(F.zip_with(x("spread"), y("spread"), lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
+            by_middle = in_middle + F.least(x("avail") - x("both"), y("avail") - y("both"))
+            most = F.when(x("middle") == y("middle"), F.least(most, F.coalesce(by_middle, most))).otherwise(most)
+            enough = most * (t.den + t.num) >= (x("size") + y("size")) * t.num
+            # a set has met its middle already
+            fresh = (x("cls") != F.coalesce(y("middle"), y("cls"))) & (y("cls") != F.coalesce(x("middle"), x("cls")))
+            open_pair = (x("root") != y("root")) & alike(x("size"), y("size")) & fresh & enough
+            cross = rest.where("code % 2 = 0").alias("x").join(rest.alias("y"), "bucket").where(open_pair)
+            add(cross.select(*ordered("x.cls", "y.cls")))
+
+    named = classes.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    named = stored(named, "named")
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = named.join(least, "root").select("cls", "component_id")
     return rows.join(named, "cls", "left").select(
         F.col("doc").alias(key),
         F.col("n").alias("n_shingles"),
