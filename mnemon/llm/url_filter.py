@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mnemon.llm.shared import stored
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -103,8 +105,12 @@ def templates(shapes: DataFrame, options: TreeOptions) -> DataFrame:
     for level in range(options.depth + 1):
         # beyond the depth the rest of a path is one segment
         here = F.try_element_at("segments", F.lit(level + 1)) if level < options.depth else F.when(F.size("segments") > level, F.lit("**"))
-        at = state.withColumn("segment", here)
+        # each level reads the one before several times, so it is kept
+        at = stored(state.withColumn("segment", here), "shapes")
         below = at.where("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked"))
+        below = stored(below, "segments")
+        if below.isEmpty():
+            return at.drop("segment")
         total = below.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all"))
         wild = (F.col("kinds") > options.fan_out) & (F.col("n") < F.col("all") * options.common)
         named = below.join(total, ["host", "template"]).withColumn("branch", F.when(wild, F.lit("*")).otherwise(F.col("segment")))
@@ -126,7 +132,7 @@ def templates(shapes: DataFrame, options: TreeOptions) -> DataFrame:
         state = at.join(branch, ["host", "template", "segment"], "left").withColumn(
             "template", F.when(F.col("branch").isNotNull(), F.concat("template", F.lit("/"), "branch")).otherwise(F.col("template"))
         ).drop("segment", "branch")
-    return state
+    return stored(state, "shapes")
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, options: TreeOptions = TreeOptions(), key: str = "page_id", url: str = "url") -> DataFrame:
