@@ -1,7 +1,7 @@
 """Near-duplicate vectors by iterative quantisation and multi-index Hamming tables.
 
 Iterative quantisation learns, on a bounded sample, a rotation after PCA whose
-signs keep the vectors best: codes of one bit a dimension.  A code is cut into
+signs keep the vectors best (about the origin, as cosines are): codes of one bit a dimension.  A code is cut into
 chunks, and each chunk is a table: two vectors meet where a chunk is equal.
 With the threshold's angle a chunk of b bits agrees with probability
 (1 - angle/pi)^b, which sets how many tables (and, beyond one code's chunks,
@@ -35,9 +35,8 @@ BLOCK = 1024
 
 @dataclass
 class Quantiser:
-    """Centre and rotations; ``bits`` a chunk, ``tables`` chunks in all."""
+    """Rotations; ``bits`` a chunk, ``tables`` chunks in all."""
 
-    centre: np.ndarray
     rotations: list[np.ndarray]
     bits: int
     tables: int
@@ -48,8 +47,8 @@ class Quantiser:
         bits = min(d, 30, max(8, math.ceil(math.log2(max(2, n)))))
         meet = (1 - math.acos(threshold) / math.pi) ** bits
         tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
-        centre = sample.mean(0)
-        x = sample - centre
+        # planes through the origin: the share of equal signs then follows from the angle, also where one group is most of the data
+        x = sample
         _, vectors = np.linalg.eigh(x.T @ x)
         c = min(d, max(bits, 64))
         basis = vectors[:, ::-1][:, :c]
@@ -63,7 +62,7 @@ class Quantiser:
                 left, _, right = np.linalg.svd(b.T @ v)
                 r = (left @ right).T
             rotations.append(basis @ r)
-        return cls(centre, rotations, bits, tables)
+        return cls(rotations, bits, tables)
 
     def keys(self, unit: np.ndarray) -> np.ndarray:
         """One key a table of each vector of length one."""
@@ -71,7 +70,7 @@ class Quantiser:
         power = 1 << np.arange(self.bits)
         table = 0
         for r in self.rotations:
-            signs = ((unit - self.centre) @ r >= 0).astype(np.int64)
+            signs = (unit @ r >= 0).astype(np.int64)
             for low in range(0, r.shape[1] - self.bits + 1, self.bits):
                 if table < self.tables:
                     out[:, table] = signs[:, low : low + self.bits] @ power
