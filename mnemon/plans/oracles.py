@@ -178,36 +178,36 @@ ORACLES: dict[str, str] = {
  '- Confidence: ', regexp_replace(regexp_replace(cast(confidence_score as varchar), '\\.0+$', ''), '(\\.\\d*[1-9])0+$', '\\1'), chr(10), '- Importance: ', cast(importance_score as varchar), chr(10), '- Last updated: {DAY}', chr(10),
  '- Session: ', session_id, chr(10), '- Sources: ', coalesce(nullif(array_to_string(source_ids[1:5], ', '), ''), 'n/a'), chr(10), '- Reasons: ', coalesce(nullif(array_to_string(reasons, ', '), ''), 'n/a'), chr(10),
  '<!-- /{P.MARK} ', entry_slug, ' -->') as content_markdown from routed""",
-    "entry_changes": """with b as (select cast(item_id % 5 as varchar) as f, cast(item_id as varchar) as e, item_id, text from benchmark), o as (select * from b where item_id % 2 = 0 and f <> '4'),
-n as (select * from b where item_id % 3 = 0) select coalesce(o.f, n.f) as target_file, coalesce(o.e, n.e) as entry_slug, case when n.e is null then 'keep' when coalesce(o.f, n.f) not in (select f from o) then 'append'
- when o.e is null then 'merge' when n.item_id % 4 <> 0 then 'noop' else 'replace' end as action from o full join n on o.f = n.f and o.e = n.e""",
+    "entry_changes": """with b as (select lower(left(text, 1)) as f, cast(item_id as varchar) as e, text from benchmark), o as (select * from b where text like '%inth%'),
+n as (select * from b where text like '%er%') select coalesce(o.f, n.f) as target_file, coalesce(o.e, n.e) as entry_slug, case when n.e is null then 'keep' when coalesce(o.f, n.f) not in (select f from o) then 'append'
+ when o.e is null then 'merge' when n.text not like '%st%' then 'noop' else 'replace' end as action from o full join n on o.f = n.f and o.e = n.e""",
     "embedding_select": f"""with {_CAN}, sel as (select * from cand where decision in ('promote', 'defer', 'archive_only') and kind in ('project_state', 'user_preference', 'operation_rule', 'decision', 'todo', 'relationship') and length({_normalize('summary')}) >= 12),
 texts as (select *, concat_ws(chr(10), title, summary, 'Session summary: ' || summary_short, 'Reasons: ' || nullif(array_to_string(reasons, ', '), '')) as body from sel)
 select session_id, kind, {_normalize('body')} as payload, array_to_string(list_filter(['candidate_memory_unit', case when decision = 'promote' then 'promotion_candidate' end, case when decision = 'defer' then 'review_later_candidate' end,
  case when kind in ('user_preference', 'operation_rule') then 'stable_memory_kind' end], lambda x: x is not null), ',') as because from texts""",
     "embedding_hash": "select doc_id, sha256(coalesce(text, '')) as content_hash from documents",
-    "embedding_rows": "select 'candidate' as source_type, cast(item_id as varchar) as source_key, sha256(text) as content_hash, cast(case when vec_id is not null then len(embedding) end as integer) as dimensions, case when vec_id is not null then 'embedded' else 'pending' end as status from benchmark left join (select * from embeddings where vec_id % 3 = 0) v on v.vec_id = item_id",
+    "embedding_rows": "select 'candidate' as source_type, cast(item_id as varchar) as source_key, sha256(text) as content_hash, cast(case when vec_id is not null then len(embedding) end as integer) as dimensions, case when vec_id is not null then 'embedded' else 'pending' end as status from benchmark left join (select * from embeddings where label <> 0) v on v.vec_id = item_id",
     "recall_lexical_topk": f"""with w as (select printf('%012d', doc_id) as ref, unnest(list_distinct({_TOK.format(e='text')})) as token from documents), a as (select item_id as query_id, unnest(list_distinct({_TOK.format(e='text')})) as token from benchmark),
 c as (select query_id, ref, count(*) as overlap from w join a using (token) group by all), r as (select *, cast(row_number() over (partition by query_id order by overlap desc, ref) as integer) as rank from c) select query_id, ref, overlap, rank from r where rank <= 5""",
-    "recall_scores": f"""with {_recall_scores("case when doc_id % 4 = 0 then 'promotion' else 'candidate' end", "case when doc_id % 3 = 0 then source end", "case when doc_id % 5 = 0 then 'operation_rule' else 'fact' end", "(doc_id % 11) / 10")},
+    "recall_scores": f"""with {_recall_scores("case when lang = 'fr' then 'promotion' else 'candidate' end", "case when lang = 'en' then source end", "case when lang = 'de' then 'operation_rule' else 'fact' end", "(n_chars % 11) / 10")},
 m as (select *, coalesce(project in ('src1', 'src3'), false) as hit, kind = 'operation_rule' as stable from overlapped),
 s as (select *, cast(40 * hit::int - 10 * (project is not null and not hit)::int + 20 * (source_type = 'promotion')::int + 10 * stable::int + floor(confidence * 10 + 0.5) as bigint) as metadata_score, cast(least(60, 12 * len(overlap)) as bigint) as keyword_score from m)
 select ref, metadata_score, keyword_score, greatest(0, metadata_score + keyword_score) as total_score, array_to_string(list_filter([case when hit then 'project_match:' || project end, case when not hit and project is not null then 'project_mismatch:' || project end,
  case when source_type = 'promotion' then 'promoted_memory_boost' end, case when stable then 'stable_kind:' || kind end, case when len(overlap) > 0 then 'keyword_overlap:' || array_to_string(overlap, ',') end], lambda x: x is not null), ';') as why from s where metadata_score + keyword_score > 0""",
     "cosine_topk": f"with {_NEAR} select ref, vector_score, rank_hint from top",
-    "recall_merge": f"""with {_recall_scores("'candidate'", "null", "'fact'", "0.5", "doc_id % 2 = 0")}, {_NEAR}, k as (select ref, 5 as metadata_score, least(60, 12 * len(overlap)) as keyword_score from overlapped)
+    "recall_merge": f"""with {_recall_scores("'candidate'", "null", "'fact'", "0.0")}, {_NEAR}, k as (select ref, 0 as metadata_score, least(60, 12 * len(overlap)) as keyword_score from overlapped where len(overlap) > 0)
 select ref, case when k.ref is null then 'document' else 'candidate' end as source_type, cast(coalesce(metadata_score, 0) as bigint) as metadata_score, cast(coalesce(keyword_score, 0) as bigint) as keyword_score,
  cast(coalesce(floor(vector_score * 100 + 0.5), 0) as bigint) as semantic_score, cast(greatest(0, coalesce(metadata_score, 0) + greatest(coalesce(keyword_score, 0), coalesce(floor(vector_score * 100 + 0.5), 0))) as bigint) as total_score from k full join top using (ref)""",
     "projects_first_wins": "select source as slug, doc_id as first_doc, lang as label from (select *, row_number() over (partition by source order by doc_id) as n from documents) where n = 1",
-    "session_project_link": """with h as (select doc_id, source as slug, cast(doc_id % 10 as double) / 10 as c, true as p from documents union all select doc_id, lang, 0.9, lang = source from documents)
+    "session_project_link": """with h as (select doc_id, source as slug, cast(n_chars % 10 as double) / 10 as c, true as p from documents union all select doc_id, lang, 0.9, lang = source from documents)
 select 's' || cast(doc_id as varchar) as session_id, 'p' || slug as project_id, 'inferred' as link_source, c as confidence_score, p as primary_project from h where c >= 0.85 and slug in (select source from documents)""",
-    "archive_upsert": "select o_orderkey, 'old' as version, o_totalprice from orders where o_orderkey % 3 <> 0 and o_orderkey % 2 <> 0 union all select o_orderkey, 'new', o_totalprice + 1 from orders where o_orderkey % 2 = 0",
-    "archive_constraints": """with r as (select conv_id, turn // 2 as seq_no, case when turn % 5 = 4 then role || 'x' else role end as role from conversations), v as (
+    "archive_upsert": "select o_orderkey, 'old' as version, o_totalprice from orders where o_orderstatus <> 'F' and o_orderpriority not like '1%' union all select o_orderkey, 'new', o_totalprice + 1 from orders where o_orderpriority like '1%'",
+    "archive_constraints": """with r as (select conv_id, turn // 2 as seq_no, case when turn >= 6 then role || 'x' else role end as role from conversations), v as (
 select 'unique key' as rule, count(*) as n from (select conv_id, seq_no from r group by all having count(*) > 1) union all
-select 'values of role', count(*) from r where role not in ('system', 'developer', 'user', 'assistant', 'tool') union all select 'session_id in sessions', count(*) from r where conv_id % 10 = 0) select 'messages' as "table", rule, n from v where n > 0""",
+select 'values of role', count(*) from r where role not in ('system', 'developer', 'user', 'assistant', 'tool') union all select 'session_id in sessions', count(*) from r where conv_id not in (select conv_id from conversations where turn >= 3)) select 'messages' as "table", rule, n from v where n > 0""",
     "archive_maps": f"with {_SCO} select session_id, case when importance_band = 'critical' then 'high' else importance_band end as band, case when length(session_id) % 2 = 0 then 'discord' else 'cli' end as channel, case promotion_decision when 'promote' then 'promoted' when 'defer' then 'review_later' when 'archive_only' then 'archived_only' else 'none' end as status from scored",
-    "archive_messages": "select 's' || cast(conv_id as varchar) as session_id, cast(turn + 1 as integer) as seq_no, case when role in ('system', 'developer', 'user', 'assistant', 'tool') then role else 'assistant' end as role, length(text) as char_count, 'unknown' as sensitivity from conversations where conv_id % 2 = 0",
-    "row_count_audit": """select 'documents' as "table", (select count(*) from documents) as rows_requested, (select count(*) from documents where doc_id % 2 = 0) as rows_returned union all select 'benchmark', (select count(*) from benchmark), (select count(*) from benchmark)
+    "archive_messages": "select 's' || cast(conv_id as varchar) as session_id, cast(turn + 1 as integer) as seq_no, case when role in ('system', 'developer', 'user', 'assistant', 'tool') then role else 'assistant' end as role, length(text) as char_count, 'unknown' as sensitivity from conversations where conv_id in (select conv_id from conversations where role = 'system')",
+    "row_count_audit": """select 'documents' as "table", (select count(*) from documents) as rows_requested, (select count(*) from documents where lang = 'en') as rows_returned union all select 'benchmark', (select count(*) from benchmark), (select count(*) from benchmark)
 union all select 'conversations', (select count(*) from conversations), 0""",
     "session_overview": "select cast(o_orderkey as varchar) as id, case when day(o_orderdate) <= 20 then cast(cast(o_orderdate as date) as varchar) end as job_date, case when day(o_orderdate) <= 20 then 'archiving' end as job_status from orders",
     "day_window_events": f"select event_type, count(*) as n, count(distinct user_id) as users, min(event_id) as first_event from events where ts >= timestamp '{DAY}' - interval 9 hour and ts < timestamp '{DAY}' + interval 15 hour group by all",

@@ -185,10 +185,10 @@ def promotion_block(spark: SparkSession, d: str) -> DataFrame:
 
 
 def entry_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Items as entries: an old file has the even ones, a batch brings those divisible by 3, changed where divisible by 4."""
-    b = _table(spark, d, "benchmark").select((F.col("item_id") % 5).cast("string").alias("target_file"), F.col("item_id").cast("string").alias("entry_slug"), "item_id", F.col("text").alias("content_markdown"))
-    old = b.where("item_id % 2 = 0 and target_file <> '4'").drop("item_id")
-    new = b.where("item_id % 3 = 0").withColumn("content_markdown", F.when(F.col("item_id") % 4 == 0, F.concat("content_markdown", F.lit("!"))).otherwise(F.col("content_markdown"))).drop("item_id")
+    """Items as entries, by first letter: old files have those with an "inth", a batch brings those with an "er", changed where they have a "st"."""
+    b = _table(spark, d, "benchmark").select(F.lower(F.left("text", F.lit(1))).alias("target_file"), F.col("item_id").cast("string").alias("entry_slug"), F.col("text").alias("content_markdown"))
+    old = b.where("content_markdown like '%inth%'")
+    new = b.where("content_markdown like '%er%'").withColumn("content_markdown", F.when(F.col("content_markdown").like("%st%"), F.concat("content_markdown", F.lit("!"))).otherwise(F.col("content_markdown")))
     return promotions.entry_changes(old, new).select("target_file", "entry_slug", "action")
 
 
@@ -205,12 +205,12 @@ def embedding_hash(spark: SparkSession, d: str) -> DataFrame:
 
 
 def embedding_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Items as documents; embeddings of the same number as vectors, for every third one."""
+    """Items as documents; embeddings of the same number as vectors, but for those of label 0."""
     rows = _table(spark, d, "benchmark").select(
         F.lit("candidate").alias("object_type"), F.col("item_id").cast("string").alias("object_id"), F.lit("s").alias("session_id"), F.lit(None).cast("string").alias("project"),
         F.lit("promote").alias("decision"), "text", F.array(F.lit("candidate_memory_unit")).alias("selected_because"),
     )
-    vectors = _table(spark, d, "embeddings").where("vec_id % 3 = 0").select(F.col("vec_id").cast("string").alias("source_key"), F.col("embedding").alias("vector"))
+    vectors = _table(spark, d, "embeddings").where("label <> 0").select(F.col("vec_id").cast("string").alias("source_key"), F.col("embedding").alias("vector"))
     return embeddings.embedding_rows(embeddings.documents(rows), vectors).select("source_type", "source_key", "content_hash", "dimensions", "status")
 
 
@@ -222,9 +222,9 @@ def recall_lexical_topk(spark: SparkSession, d: str) -> DataFrame:
 
 def recall_scores(spark: SparkSession, d: str) -> DataFrame:
     docs = _table(spark, d, "documents").select(
-        F.format_string("document:%012d", "doc_id").alias("ref"), F.when(F.col("doc_id") % 4 == 0, "promotion").otherwise("candidate").alias("source_type"), F.lit("t").alias("title"),
-        F.col("text").alias("content"), F.when(F.col("doc_id") % 3 == 0, F.col("source")).alias("project"), F.when(F.col("doc_id") % 5 == 0, "operation_rule").otherwise("fact").alias("kind"),
-        (F.col("doc_id") % 11 / 10).alias("confidence"),
+        F.format_string("document:%012d", "doc_id").alias("ref"), F.when(F.col("lang") == "fr", "promotion").otherwise("candidate").alias("source_type"), F.lit("t").alias("title"),
+        F.col("text").alias("content"), F.when(F.col("lang") == "en", F.col("source")).alias("project"), F.when(F.col("lang") == "de", "operation_rule").otherwise("fact").alias("kind"),
+        (F.col("n_chars") % 11 / 10).alias("confidence"),
     )
     tokens = text.recall_tokens(F.lit("That and the thing with erthe oned from tion"))
     return recall.score(docs, tokens, F.array(F.lit("src1"), F.lit("src3"))).select("ref", "metadata_score", "keyword_score", "total_score", F.array_join("why", ";").alias("why"))
@@ -244,9 +244,9 @@ def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def recall_merge(spark: SparkSession, d: str) -> DataFrame:
-    docs = _table(spark, d, "documents").where("doc_id % 2 = 0").select(
+    docs = _table(spark, d, "documents").select(
         F.format_string("document:%012d", "doc_id").alias("ref"), F.lit("candidate").alias("source_type"), F.lit("t").alias("title"), F.col("text").alias("content"),
-        F.lit(None).cast("string").alias("project"), F.lit("fact").alias("kind"), F.lit(0.5).alias("confidence"),
+        F.lit(None).cast("string").alias("project"), F.lit("fact").alias("kind"), F.lit(0.0).alias("confidence"),
     )
     keyword = recall.score(docs, text.recall_tokens(F.lit("That and the thing with erthe oned from tion")), F.array().cast("array<string>"))
     return recall.merge(keyword, _near(spark, d, 20), None).select("ref", "source_type", "metadata_score", "keyword_score", "semantic_score", "total_score")
@@ -273,7 +273,7 @@ def projects_first_wins(spark: SparkSession, d: str) -> DataFrame:
 
 def session_project_link(spark: SparkSession, d: str) -> DataFrame:
     docs = _table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("session_id"), F.col("source").alias("primary_project"), F.array(
-        F.struct(F.lit(1).alias("rank"), F.col("source").alias("slug"), (F.col("doc_id") % 10 / 10).alias("confidence")), F.struct(F.lit(2).alias("rank"), F.col("lang").alias("slug"), F.lit(0.9).alias("confidence")),
+        F.struct(F.lit(1).alias("rank"), F.col("source").alias("slug"), (F.col("n_chars") % 10 / 10).alias("confidence")), F.struct(F.lit(2).alias("rank"), F.col("lang").alias("slug"), F.lit(0.9).alias("confidence")),
     ).alias("project_hints"))
     archived = docs.select(F.col("session_id").alias("external_session_id"), F.concat(F.lit("s"), "session_id").alias("id"))
     catalogue = _table(spark, d, "documents").select(F.col("source").alias("slug")).distinct().withColumn("id", F.concat(F.lit("p"), "slug"))
@@ -282,15 +282,15 @@ def session_project_link(spark: SparkSession, d: str) -> DataFrame:
 
 def archive_upsert(spark: SparkSession, d: str) -> DataFrame:
     o = _table(spark, d, "orders")
-    old = o.where("o_orderkey % 3 <> 0").select("o_orderkey", F.lit("old").alias("version"), "o_totalprice")
-    batch = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("new").alias("version"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    old = o.where("o_orderstatus <> 'F'").select("o_orderkey", F.lit("old").alias("version"), "o_totalprice")
+    batch = o.where("o_orderpriority like '1%'").select("o_orderkey", F.lit("new").alias("version"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
     return archive.upsert(old, batch.unionByName(batch), ("o_orderkey",))
 
 
 def archive_constraints(spark: SparkSession, d: str) -> DataFrame:
     c = _table(spark, d, "conversations")
-    rows = c.select(F.col("conv_id").cast("string").alias("session_id"), F.lit(None).cast("string").alias("external_message_id"), (F.floor(F.col("turn") / 2)).cast("int").alias("seq_no"), F.concat("role", F.when(F.col("turn") % 5 == 4, "x").otherwise("")).alias("role"))
-    parents = {"sessions": rows.select(F.col("session_id").alias("id")).where("cast(session_id as long) % 10 <> 0").distinct()}
+    rows = c.select(F.col("conv_id").cast("string").alias("session_id"), F.lit(None).cast("string").alias("external_message_id"), (F.floor(F.col("turn") / 2)).cast("int").alias("seq_no"), F.concat("role", F.when(F.col("turn") >= 6, "x").otherwise("")).alias("role"))
+    parents = {"sessions": c.where("turn >= 3").select(F.col("conv_id").cast("string").alias("id")).distinct()}
     return archive.violations("messages", rows, parents)
 
 
@@ -302,13 +302,13 @@ def archive_maps(spark: SparkSession, d: str) -> DataFrame:
 
 def archive_messages(spark: SparkSession, d: str) -> DataFrame:
     m = _messages(spark, d)
-    ids = m.select(F.col("session_id").alias("external_session_id")).distinct().where("cast(external_session_id as long) % 2 = 0").withColumn("id", F.concat(F.lit("s"), "external_session_id"))
+    ids = m.where("role = 'system'").select(F.col("session_id").alias("external_session_id")).distinct().withColumn("id", F.concat(F.lit("s"), "external_session_id"))
     return archive.message_rows(m, ids).select("session_id", "seq_no", "role", "char_count", "sensitivity")
 
 
 def row_count_audit(spark: SparkSession, d: str) -> DataFrame:
     t = {n: _table(spark, d, n) for n in ("documents", "benchmark", "conversations")}
-    return archive.audit(t, {"documents": t["documents"].where("doc_id % 2 = 0"), "benchmark": t["benchmark"]})
+    return archive.audit(t, {"documents": t["documents"].where("lang = 'en'"), "benchmark": t["benchmark"]})
 
 
 def session_overview(spark: SparkSession, d: str) -> DataFrame:

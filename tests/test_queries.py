@@ -1,8 +1,10 @@
 """Every registered query of the engine against its SQL, on the small tables."""
 
+import numbers
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -21,9 +23,15 @@ def duck():
     return con
 
 
+def _cell(v):
+    if pd.api.types.is_scalar(v) and pd.isna(v):
+        return None
+    return float(v) if isinstance(v, numbers.Number) and not isinstance(v, bool) else v
+
+
 def _rows(frame):
-    frame = frame[sorted(frame.columns)]
-    return sorted(repr([None if v is None or v != v else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else v for v in row]) for row in frame.astype(object).values.tolist())
+    frame = frame[sorted(frame.columns)].astype(object)
+    return sorted(repr([_cell(v) for v in row]) for row in frame.values.tolist())
 
 
 @pytest.mark.parametrize("name", sorted(oracles.ORACLES))
