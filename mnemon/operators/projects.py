@@ -86,7 +86,7 @@ def text_signals(texts: DataFrame, known: DataFrame) -> DataFrame:
 
 def cwd_signals(sessions: DataFrame, known: DataFrame) -> DataFrame:
     """Signals of a session's directory: catalogue names at 0.97, numbered segments at 0.90."""
-    parts = F.filter(F.transform(F.split(F.coalesce("cwd", F.lit("")), "/"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(F.coalesce("cwd", F.lit("")), "/"), lambda p: F.trim(p)), lambda p: p != "")
     rows = sessions.select("session_id", F.posexplode(parts).alias("pos", "segment"), F.size(parts).alias("n"))
     rows = rows.withColumns({"slug": text.project_slug(F.col("segment")), "numbered": F.col("segment").rlike(NUMBERED)})
     rows = rows.join(known, rows["slug"] == known["alias"], "left")

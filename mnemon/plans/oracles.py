@@ -149,7 +149,20 @@ _NEAR = """q as (select embedding as v from embeddings where vec_id = 0), near a
  floor(coalesce(list_cosine_similarity(embedding::double[], q.v::double[]), 0) * 1000 + 0.5) / 1000 as vector_score from embeddings, q),
 top as (select ref, vector_score, cast(row_number() over (order by vector_score desc, ref) as integer) as rank_hint from near where vector_score > 0.1 order by vector_score desc, ref limit 20)"""
 
+_DEC = f"""{_CAN}, best as (select session_id, bool_or(decision = 'promote') as p, bool_or(decision = 'defer') as d, bool_or(decision = 'archive_only') as a from cand group by all),
+decided as (select s.*, case when p then 'promote' when d then 'defer' when a then 'archive_only' else promotion_decision end as effective_decision from scored s left join best using (session_id))"""
+
+_SID, _JOB = "sha256(concat('session:', session_id))", f"sha256('job:{DAY}')"
+_CID = f"sha256(concat('candidate:', {_SID}, ':', kind, ':', title))"
+
 ORACLES: dict[str, str] = {
+    "archive_jobs": f"with {_DEC} select '{DAY}' as job_date, 'archiving' as status, count(*) as sessions_discovered, count(*) as sessions_archived, count(*) filter (where effective_decision = 'promote') as sessions_promoted, 0 as sessions_failed from decided",
+    "archive_sessions": f"with {_DEC} select {_SID} as id, session_id as external_session_id, {_JOB} as job_id, 'cli' as channel, message_count, cast(char_count as bigint) as char_count, case effective_decision when 'promote' then 'promoted' when 'defer' then 'review_later' when 'archive_only' then 'archived_only' else 'none' end as promotion_status, importance_score, case when importance_band = 'critical' then 'high' else importance_band end as importance_band, retention_class, summary_short from decided",
+    "archive_candidates": f"with {_CAN} select {_CID} as id, {_SID} as session_id, kind, title, summary, confidence_score, importance_score, novelty_score, actionability_score, decision, array_to_string(reasons, ',') as reason_codes, coalesce(array_to_string(source_ids[1:20], ','), '') as source_message_ids, 'cand-' || {_rolling("concat(session_id, '|', kind, '|', 'v0-' || " + _rolling('lines', 31) + ", '|', primary_text)", 33)} as content_fingerprint from cand",
+    "archive_promotions": f"with {_PRO} select {_CID} as candidate_id, {_SID} as session_id, target_file, target_section, entry_slug, promotion_mode from routed",
+    "cwd_signals": """with c as (select cast(page_id as varchar) as session_id, concat(printf('%02d', page_id % 100), '_', regexp_replace(split_part(url, '/', 3), '[^a-z0-9-]+', '-', 'g')) as m from pages)
+select session_id, regexp_replace(regexp_replace(lower(m), '-+', '-', 'g'), '^-+|-+$', '', 'g') as slug, m as label, 'numbered_project_segment' as signal_type, m as matched_text, 0.9 as confidence from c where regexp_matches(m, '(?i)^\\d{2}_[a-z0-9][a-z0-9_-]*$')""",
+    "promotion_payloads": f"with {_PRO} select 'promotion' as object_type, entry_slug as object_id, session_id, cast(null as varchar) as project, 'promote' as decision from routed",
     "session_stats": f"with {_SES} select session_id, message_count, cast(char_count as bigint) as char_count, cast(len(list_distinct(all_roles)) as integer) as n_roles, array_to_string(list_filter(all_roles, lambda r, i: list_position(all_roles, r) = i), ',') as roles from sampled",
     "role_counts": f"with {_MSG} select session_id, role, count(*) as n from msg group by all",
     "transcript_checksum": f"with {_SES} select session_id, 'v0-' || {_rolling('lines', 31)} as transcript_checksum from sampled",

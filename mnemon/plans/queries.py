@@ -294,6 +294,52 @@ def archive_constraints(spark: SparkSession, d: str) -> DataFrame:
     return archive.violations("messages", rows, parents)
 
 
+def _archived(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(decided sessions, candidates), each kept."""
+    none = F.lit(None).cast("string")
+    scored = materialize(_scored(spark, d).withColumns({"primary_project": none, "primary_project_label": none, "target_date": F.lit(DAY)}), "scored")
+    made = materialize(candidates.extract(scored, LEX), "candidates")
+    return candidates.effective_decisions(scored, made), made
+
+
+def archive_jobs(spark: SparkSession, d: str) -> DataFrame:
+    return archive.job_rows(_archived(spark, d)[0], F.lit(DAY)).withColumn("job_date", F.col("job_date").cast("string"))
+
+
+def archive_sessions(spark: SparkSession, d: str) -> DataFrame:
+    return archive.session_rows(_archived(spark, d)[0], F.lit(DAY))
+
+
+def archive_candidates(spark: SparkSession, d: str) -> DataFrame:
+    final, made = _archived(spark, d)
+    rows = archive.candidate_rows(made, archive.session_rows(final, F.lit(DAY)))
+    return rows.withColumns({"reason_codes": F.array_join("reason_codes", ","), "source_message_ids": F.array_join("source_message_ids", ",")})
+
+
+def archive_promotions(spark: SparkSession, d: str) -> DataFrame:
+    final, made = _archived(spark, d)
+    kept = archive.session_rows(final, F.lit(DAY))
+    promoted = promotions.promote(made.withColumn("decision", F.lit("promote")), F.lit(DAY).cast("timestamp"))
+    return archive.promotion_rows(promoted, kept, archive.candidate_rows(made, kept)).drop("content_markdown")
+
+
+def cwd_signals(spark: SparkSession, d: str) -> DataFrame:
+    """Numbered segments of directories made of URLs."""
+    p = _table(spark, d, "pages")
+    parts = F.split("url", "/")
+    cwd = F.concat(F.lit("/data/workspace/"), F.format_string("%02d_", F.pmod("page_id", F.lit(100))), F.regexp_replace(parts[2], "[^a-z0-9-]+", "-"), F.lit("/"), parts[3])
+    s = p.select(F.col("page_id").cast("string").alias("session_id"), cwd.alias("cwd"))
+    known = projects.aliases(projects.empty_catalogue(spark))
+    return projects.cwd_signals(s, known).select("session_id", "slug", "label", "signal_type", "matched_text", "confidence")
+
+
+def promotion_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """The promoted entries of the embedding corpus."""
+    made = _candidates(spark, d)
+    promoted = promotions.promote(made.withColumn("decision", F.lit("promote")), F.lit(DAY).cast("timestamp"))
+    return embeddings.payloads(made.where("decision = 'none'"), promoted).select("object_type", "object_id", "session_id", "project", "decision")
+
+
 def archive_maps(spark: SparkSession, d: str) -> DataFrame:
     s = _scored(spark, d)
     return s.select("session_id", archive.band(F.col("importance_band")).alias("band"), archive.channel(F.concat(F.when(F.length("session_id") % 2 == 0, "topic-").otherwise(""), "session_id")).alias("channel"),
@@ -346,7 +392,7 @@ QUERIES: tuple[Query, ...] = (
     band_decision_histogram, retention_plan, llm_answers, llm_fallback, candidate_explode, candidate_gate, effective_decision, fingerprint, source_message_ids, purge_plan, purge_histogram,
     promotion_route, entry_slug, promotion_block, entry_changes, embedding_select, embedding_hash, embedding_rows, recall_lexical_topk, recall_scores, cosine_topk, recall_merge, project_hints,
     projects_first_wins, session_project_link, archive_upsert, archive_constraints, archive_maps, archive_messages, row_count_audit, session_overview, day_window_events, purge_after_events,
-    report_counts, local_vectors,
+    report_counts, local_vectors, archive_jobs, archive_sessions, archive_candidates, archive_promotions, cwd_signals, promotion_payloads,
 )
 
 
