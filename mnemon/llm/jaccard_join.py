@@ -10,8 +10,7 @@ A segment without tokens says nothing, so only non-empty ones are indexed; a
 pair is found if one of its sets has H + 1 of them.  The allocation of a set:
 
 * level 0: segments of its tokens that are not common in the corpus.  Leaving
-  out tokens from both sides never adds a difference, so H holds as it is.  A
-  larger side that has enough segments indexes just H + 1, its fullest;
+  out tokens from both sides never adds a difference, so H holds as it is;
 * level 1: sets without enough segments index each of those tokens alone, which
   is enough unless three quarters of the set are common tokens;
 * level 2: those sets index the segments of all their tokens;
@@ -48,7 +47,7 @@ from mnemon.llm.shared import shuffle_partitions, stored
 from mnemon.llm.textscan import U64, distinct, mix, mix_int, pieces, shingles, text_bytes, words
 
 #: Signatures that one reducing task sorts at most, on average.
-SIGNATURES_A_TASK = 4_000_000
+SIGNATURES_A_TASK = 1_500_000
 #: A token is common if this share of the documents has it; of those the most frequent are left out.
 COMMON_SHARE, COMMON_MOST = 0.002, 1 << 16
 #: Buckets up to this size give all their pairs.
@@ -179,17 +178,8 @@ def signatures(values: np.ndarray, offsets: np.ndarray, common: np.ndarray, t: T
         full = np.arange(len(count)) if empty else np.flatnonzero(count)
         have = np.bincount(entry[full], minlength=len(who))
         enough = have > own[who]
-        need = have - own[who]
-        if not empty:
-            cut = larger[who] & enough
-            mine = full[cut[entry[full]]]
-            order = mine[np.argsort(entry[mine] * 256 + 255 - np.minimum(count[mine], 255), kind="stable")]
-            per = np.bincount(entry[order], minlength=len(who))
-            rank = np.arange(len(order)) - np.repeat(np.cumsum(per) - per, per)
-            full = np.concatenate((full[~cut[entry[full]]], order[rank <= own[who][entry[order]]]))
-            need = np.where(cut, 1, need)
         e = entry[full]
-        add(level, who, [mix(total[full] ^ _tag(level, b[who][e], full - base[e]))], [e], need)
+        add(level, who, [mix(total[full] ^ _tag(level, b[who][e], full - base[e]))], [e], have - own[who])
         return who[~enough]
 
     def singles(level: int, who: np.ndarray) -> np.ndarray:
@@ -270,7 +260,7 @@ def _index(docs: DataFrame, text: str, k: int, t: Threshold, common: np.ndarray,
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, 2 << 20):
                 values, offsets = token_sets(piece.column(0), k)
                 keys = set_keys(values, offsets)
                 _, first = np.unique(keys, return_index=True)

@@ -75,7 +75,7 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 
 
 @lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(n, _ODD, dtype=U64)
     down = np.full(n, _INV, dtype=U64)
     up[0] = down[0] = 1
@@ -108,7 +108,7 @@ def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet = SPACED, pr
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, side="right")))
         low, high = starts[i], ends[j - 1]
-        up, down = _powers(max(BLOCK, 1 << int(high - low - 1).bit_length()))
+        up, down = powers(max(BLOCK, 1 << int(high - low - 1).bit_length()))
         rel = starts[i:j] - low
         scaled = alphabet.values(data[low:high]) * up[: high - low]
         size = ends[i:j] - starts[i:j]
@@ -170,7 +170,7 @@ def distinct(values: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarr
     return values[new], np.concatenate(([0], np.cumsum(kept)))
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts in ``column`` have about ``limit`` bytes together."""
     if not batch.num_rows:
         return
