@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mnemon.llm.textscan import U64, mix, pieces, text_bytes
+from mnemon.llm.textscan import BLOCK, U64, mix, pieces, powers, text_bytes
 
 MARK = "▁"
 #: Distinct words that a worker keeps encoded.
-KEEP_WORDS = 1_500_000
+KEEP_WORDS = 800_000
+#: Pairs of pieces that a worker remembers.
+KEEP_STEPS = 300_000
 _WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
@@ -87,7 +89,7 @@ class PieceSet:
 
     def open_step(self, a: int, b: int) -> bool:
         """Whether merging the characters of two pieces gives the two; known pairs are looked up by the caller."""
-        if len(self._open) > 1_000_000:
+        if len(self._open) > KEEP_STEPS:
             self._open.clear()
         first, second = self.names[a], self.names[b]
         found = self._open[a << 20 | b] = self.merge(first + second) == [first, second]
@@ -181,23 +183,25 @@ class Encoder:
         self.start = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(table), dtype=np.uint8)
         self.clear()
-        byte = mix(np.arange(11, 267, dtype=U64))
-        self.value = byte
-        self.powers = (np.zeros(0, U64), np.zeros(0, U64))
+        self.value = mix(np.arange(11, 267, dtype=U64))
 
     def clear(self) -> None:
-        self.known, self.at, self.many, self.ids = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        # by word, in the order of hashes: where its ids start and how many they are; small types, as workers keep this
+        self.known, self.at, self.many, self.ids = np.zeros(0, U64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint16 if len(self.v.scores) < 1 << 16 else np.int32)
 
     def _hashes(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        if len(self.powers[0]) < len(data):
-            odd = 0x9E3779B97F4A7C15
-            n = max(len(data), 1 << 20)
-            up, down = np.full(n, odd, dtype=U64), np.full(n, pow(odd, -1, 1 << 64), dtype=U64)
-            up[0] = down[0] = 1
-            self.powers = (np.cumprod(up), np.cumprod(down))
-        up, down = self.powers
-        size = np.diff(np.append(starts, len(data))).astype(U64)
-        return mix(np.add.reduceat(self.value[data] * up[: len(data)], starts) * down[starts] + size)
+        ends = np.append(starts[1:], len(data))
+        out = np.empty(len(starts), dtype=U64)
+        i = 0
+        while i < len(starts):  # in blocks, as the powers of a whole batch are large
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, side="right")))
+            low, high = starts[i], ends[j - 1]
+            up, down = powers(max(BLOCK, 1 << int(high - low - 1).bit_length()))
+            rel = starts[i:j] - low
+            sums = np.add.reduceat(self.value[data[low:high]] * up[: high - low], rel)
+            out[i:j] = mix(sums * down[rel] + (ends[i:j] - starts[i:j]).astype(U64))
+            i = j
+        return out
 
     def _learn(self, new: np.ndarray, words: list[bytes]) -> None:
         flat, many = [], np.empty(len(words), dtype=np.int64)
@@ -205,11 +209,11 @@ class Encoder:
             ids = self.v.numbers(self.v.segment(w.decode().replace(" ", MARK))) if w != b"\n" else self.v.numbers(["\n"])
             many[i] = len(ids)
             flat += ids
-        at = len(self.ids) + np.cumsum(many) - many
-        known, where, count = np.concatenate((self.known, new)), np.concatenate((self.at, at)), np.concatenate((self.many, many))
+        at = (len(self.ids) + np.cumsum(many) - many).astype(np.int32)
+        known, where, count = np.concatenate((self.known, new)), np.concatenate((self.at, at)), np.concatenate((self.many, many.astype(np.int32)))
         order = np.argsort(known)
         self.known, self.at, self.many = known[order], where[order], count[order]
-        self.ids = np.concatenate((self.ids, np.array(flat, dtype=np.int32)))
+        self.ids = np.concatenate((self.ids, np.array(flat, dtype=self.ids.dtype)))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts; a null or empty text has none."""
@@ -238,11 +242,11 @@ class Encoder:
             body, stops = data.tobytes(), np.append(starts[1:], len(data))
             self._learn(distinct[new], [body[starts[i] : stops[i]] for i in at[new]])
             spot = np.searchsorted(self.known, distinct)
-        where, many = self.at[spot][back], self.many[spot][back]
+        where, many = self.at[spot][back].astype(np.int64), self.many[spot][back].astype(np.int64)
         total = np.cumsum(many)
         pos = np.arange(total[-1]) + np.repeat(where - (total - many), many)
         words_before = np.searchsorted(starts, begin)
-        return self.ids[pos], np.concatenate(([0], total))[words_before]
+        return self.ids[pos].astype(np.int32), np.concatenate(([0], total))[words_before]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, offsets) of the texts; the space before a text goes."""
