@@ -31,7 +31,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.withColumn("pipeline_key", F.coalesce(F.col("doc_id").cast("long"), without))
     classes = jaccard_join.jaccard_classes(keyed, key="pipeline_key")
     kept = stored(classes.where("pipeline_key = component_id").groupBy("pipeline_key").agg(F.count(F.lit(1)).alias("n")), "kept")
-    out = keyed.join(kept.select("pipeline_key"), "pipeline_key", "left_semi")
+    # a shuffle at every size: the ids to keep grow with the documents
+    out = keyed.join(kept.select("pipeline_key").hint("merge"), "pipeline_key", "left_semi")
     if not kept.where("n > 1").isEmpty():
         out = out.dropDuplicates(["pipeline_key", "text"])
     return out.select(*docs.columns)
