@@ -1,8 +1,9 @@
 """Toxicity by two class-conditional Kneser-Ney bigram models.
 
-Words and word pairs are counted by class over all labelled training rows, in
-hashed tables of a fixed size.  Each model discounts its own counts and hands
-the freed mass to its unigrams and, from there, to continuation counts that
+Words and word pairs are counted by class over all labelled training rows, by
+full 64-bit hashes, in tables that Spark groups and that grow with the input.
+Each model discounts its own counts and hands the freed mass to its unigrams
+and, from there, to continuation counts (of different pairs, each once) that
 both classes share, so an expression that neither class knows says nothing.  A
 text's log-likelihood ratio, a word, is what the classes' models differ by; a
 logistic fit on labelled rows that the counts leave out turns it, with the
@@ -14,21 +15,20 @@ for that fit, the others for the counts.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mnemon.llm.shared import stored
 from mnemon.llm.textscan import PLAIN, U64, mix, pieces, text_bytes, words
 
-BINS = 1 << 19
-#: Counts go to the tasks that sum them in stretches of so many bins.
-SEGMENT = 1 << 13
+#: Rows of the model that are sent to the tasks, and held by one, at once; it has as many slices as it needs.
+SLICE = 1 << 20
 #: Rows, about, that the logistic fit uses of those set aside for it.
 FIT_ROWS = 50_000
 FILTER_BITS = 1 << 23
@@ -37,14 +37,18 @@ STEM = 6
 #: Kneser-Ney's absolute discount, and the pseudo-counts that the shared backoff has.
 DISCOUNT, PRIOR = 0.75, 4.0
 FEATURES = ("mean", "most", "high", "higher")
+#: Kinds of counted rows.
+PAIR, STEMS = 0, 1
+COUNTED = "kind tinyint, first long, word long, n0 long, n1 long"
+ENTRY = "hash long, n0 float, n1 float, c0 float, c1 float"
 
 
 @dataclass
 class Grams:
-    """Of each word of a batch: the bins of word, pair (with the word before) and stem, and its document."""
+    """Of each word of a batch: the hashes of word, word before (0 for none) and stem, and its document."""
 
     word: np.ndarray
-    pair: np.ndarray
+    before: np.ndarray
     stem: np.ndarray
     doc: np.ndarray
 
@@ -55,63 +59,83 @@ class Grams:
         before = np.zeros(len(h), dtype=U64)
         if len(h):
             before[1:] = np.where(doc[1:] == doc[:-1], h[:-1], U64(0))
-        mask = U64(BINS - 1)
-        return cls((h & mask).astype(np.int64), (mix(before ^ mix(h)) & mask).astype(np.int64), (stem & mask).astype(np.int64), doc)
+        return cls(h, before, stem, doc)
+
+
+def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(before ^ mix(word))
+
+
+def stem_hash(stem: np.ndarray) -> np.ndarray:
+    """Apart from the hash of the word that is its own stem."""
+    return mix(~stem)
 
 
 @dataclass
 class ToxicModel:
-    """Tables by class (0 ordinary, 1 toxic): words, pairs, and how many kinds of pairs end in a word or stem.
+    """Counts by class (0 ordinary, 1 toxic) of words, pairs, and how many kinds of pairs end in a word or stem.
 
     With e the count that an expression would have in the smaller class if both
     used it alike, the classes' own estimates weigh (e - D)/(e - D + K) and the
     rest goes to the shared backoff: what is rare overall says nothing, however
-    its few occurrences fall.
-    """
+    its few occurrences fall.  So expressions with e of D or less are left out
+    of the slices, which changes no ratio.
 
-    word: np.ndarray
-    pair: np.ndarray
-    ends: np.ndarray
-    stem: np.ndarray
+    A slice is (sorted hashes, counts of four columns): of a word the kinds of
+    pairs that end in it and its own count, of a pair or stem its count or kinds.
+    """
 
-    def __post_init__(self) -> None:
-        total = self.ends.sum(1)
-        shared = (self.ends.sum(0) + 0.5) / (self.ends.sum() + 0.5 * BINS)
-        stems = (self.stem.sum(0) + 0.5) / (self.stem.sum() + 0.5 * BINS)
-        self.own = np.empty((2, BINS), dtype=np.float32)
-        self.rest = np.empty((2, BINS), dtype=np.float32)
-        w, v = self._own(self.ends, total), self._own(self.stem, total)
-        for c in (0, 1):
-            # against the shared backoff, which both classes have and which falls out of the ratio
-            self.own[c] = w * self.ends[c] / max(1.0, total[c]) / shared
-            self.rest[c] = v * self.stem[c] / max(1.0, total[c]) / stems + (1 - v)
-        self.left, self.shared = (1 - w).astype(np.float32), shared.astype(np.float32)
-        self.weight = self._own(self.pair, self.word.sum(1)).astype(np.float32)
-        if not total.all():  # a class without counts says nothing
-            self.own[:], self.left[:], self.rest[:], self.weight[:] = 0, 1, 1, 0
-        self.word, self.pair = self.word.astype(np.float32), self.pair.astype(np.float32)
-        del self.ends, self.stem
+    tokens: np.ndarray
+    kinds: np.ndarray
+    n_words: int
+    n_stems: int
+    slices: list[Broadcast] = field(default_factory=list)
 
     @staticmethod
-    def _own(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    def _share(total: np.ndarray) -> float:
+        return float(total.min() / max(1.0, total.sum()))
+
+    @classmethod
+    def _own(cls, counts: np.ndarray, total: np.ndarray) -> np.ndarray:
         """What a class's own estimate weighs, for both classes that of the smaller one."""
-        expected = np.maximum(counts.sum(0) * total.min() / max(1.0, total.sum()) - DISCOUNT, 0)
+        expected = np.maximum(counts.sum(1) * cls._share(total) - DISCOUNT, 0)
         return expected / (expected + PRIOR)
 
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The counts of each hash; zeros for one that the model lacks."""
+        asked, back = np.unique(hashes.view(np.int64), return_inverse=True)
+        found = np.zeros((len(asked), 4), np.float32)
+        for part in self.slices:
+            known, counts = part.value
+            low, high = np.searchsorted(asked, known[0]), np.searchsorted(asked, known[-1], side="right")
+            at = np.searchsorted(known, asked[low:high])
+            hit = np.flatnonzero(known[at] == asked[low:high])
+            found[low + hit] = counts[at[hit]]
+            if len(self.slices) > 1 and part._path:  # a worker holds one slice at a time
+                del part._value
+        return found[back].astype(float)
+
     def ratios(self, g: Grams) -> np.ndarray:
         """Each word's log-likelihood ratio, toxic against ordinary."""
-        out = np.zeros(len(g.word), dtype=np.float32)
-        before = np.full(len(g.word), -1)
-        if len(g.word):
-            before[1:] = np.where(g.doc[1:] == g.doc[:-1], g.word[:-1], -1)
-        b = np.maximum(before, 0)
-        both = (before >= 0) & (self.word[0][b] > 0) & (self.word[1][b] > 0)
-        w = np.where(both, self.weight[g.pair], 0)
+        if not len(g.word) or not self.slices:
+            return np.zeros(len(g.word), dtype=np.float32)
+        stem = self.find(stem_hash(g.stem))[:, :2]
+        word = self.find(g.word)
+        pair = self.find(pair_hash(g.before, g.word))[:, :2]
+        ends, before = word[:, :2], np.zeros((len(g.word), 2))
+        before[1:] = np.where((g.before[1:] != 0)[:, None], word[:-1, 2:], 0)
+        of_word, of_stem = self._own(ends, self.kinds), self._own(stem, self.kinds)
+        weight = np.where((before > 0).all(1), self._own(pair, self.tokens), 0)
+        # against the shared backoff, which both classes have and which falls out of the ratio
+        shared = (ends.sum(1) + 0.5) / (self.kinds.sum() + 0.5 * self.n_words)
+        stems = (stem.sum(1) + 0.5) / (self.kinds.sum() + 0.5 * self.n_stems)
+        out = np.zeros(len(g.word))
         for c, sign in ((1, 1), (0, -1)):
-            single = (self.own[c][g.word] + self.left[g.word] * self.rest[c][g.stem]) * self.shared[g.word]
-            own = np.minimum(self.pair[c][g.pair] / np.maximum(self.word[c][b], 1), 1.0)
-            out += sign * np.log(w * own + (1 - w) * single).astype(np.float32)
-        return out
+            rest = of_stem * stem[:, c] / self.kinds[c] / stems + (1 - of_stem)
+            single = of_word * ends[:, c] / self.kinds[c] / shared + (1 - of_word) * rest
+            own = np.minimum(pair[:, c] / np.maximum(before[:, c], 1), 1.0)
+            out += sign * np.log(weight * own / shared + (1 - weight) * single)
+        return out.astype(np.float32)
 
     def features(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Each text's length-normalised ratio, its largest word ratio, and logs of how much and how many is high."""
@@ -128,8 +152,8 @@ class ToxicModel:
             # a word that a text repeats counts once
             high = np.flatnonzero(r > 1)
             high = high[np.lexsort((-r[high], g.word[high], g.doc[high]))]
-            key = g.doc[high] * BINS + g.word[high]
-            high = high[np.append(True, key[1:] != key[:-1])] if len(high) else high
+            doc, word = g.doc[high], g.word[high]
+            high = high[np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))] if len(high) else high
             out[:, 2] = np.log1p(np.bincount(g.doc[high], r[high] - 1, minlength=n))
             out[:, 3] = np.log1p(np.bincount(g.doc[high], r[high] > 2.5, minlength=n))
         return out
@@ -160,43 +184,78 @@ def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: st
     return some.join(mine.select(F.col(key).cast("long").alias(key), "label"), key).select(text, "label")
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
-    """Count words and pairs by class over all labelled rows for counting."""
+def count_pairs(rows: DataFrame, text: str, label: str = "label") -> DataFrame:
+    """One row per pair of words (first, word), with its count in either class; first is 0 at a text's start.
+
+    Rows of kind STEMS, without counts, have each word's stem as first.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, pair, ends, stem = np.zeros((4, 2, BINS), np.int64)
         for batch in batches:
             for part in pieces(batch, text):
                 g = Grams.of(*text_bytes(part.column(0)))
-                kind = part.column(1).to_numpy()[g.doc]
-                for c in (0, 1):
-                    mine = np.flatnonzero(kind == c)
-                    fresh, at = np.unique(g.pair[mine], return_index=True)
-                    at = mine[at[pair[c][fresh] == 0]]  # a kind of pair counts when this task first meets it
-                    ends[c] += np.bincount(g.word[at], minlength=BINS)
-                    stem[c] += np.bincount(g.stem[at], minlength=BINS)
-                    word[c] += np.bincount(g.word[mine], minlength=BINS)
-                    pair[c] += np.bincount(g.pair[mine], minlength=BINS)
-        for t, counts in enumerate((word, pair, ends, stem)):
-            blobs = [zlib.compress(np.ascontiguousarray(counts[:, low : low + SEGMENT]).tobytes(), 1) for low in range(0, BINS, SEGMENT)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blobs), dtype=np.int32) + t * len(blobs)), pa.array(blobs, pa.binary())], ["segment", "counts"])
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for segment, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[segment] = sums.get(segment, 0) + np.frombuffer(zlib.decompress(blob.as_buffer()), np.int64)
-        blobs = [zlib.compress(x.tobytes(), 1) for x in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(blobs, pa.binary())], ["segment", "counts"])
+                toxic = part.column(1).to_numpy()[g.doc] == 1
+                _, at, back, n = np.unique(pair_hash(g.before, g.word), return_index=True, return_inverse=True, return_counts=True)
+                n1 = np.bincount(back, toxic, minlength=len(at)).astype(np.int64)
+                _, once = np.unique(g.word, return_index=True)
+                none = np.zeros(len(once), np.int64)
+                kind = np.repeat(np.array([PAIR, STEMS], np.int8), [len(at), len(once)])
+                columns = (np.append(g.before[at], g.stem[once]).view(np.int64), g.word[np.append(at, once)].view(np.int64), np.append(n - n1, none), np.append(n1, none))
+                yield pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, columns)], ["kind", "first", "word", "n0", "n1"])
+
+    return rows.select(text, label).mapInArrow(count, COUNTED).groupBy("kind", "first", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
-    parts = 4 * BINS // SEGMENT
-    counted = _labelled(docs, labels, key, text, label).mapInArrow(count, "segment int, counts binary")
-    tables = np.zeros((4, 2, BINS))
-    for segment, blob in counted.repartitionById(parts, "segment").mapInArrow(total, "segment int, counts binary").collect():
-        # 4 * BINS / SEGMENT rows, whatever the input
-        t, low = divmod(segment, BINS // SEGMENT)
-        tables[t][:, low * SEGMENT : (low + 1) * SEGMENT] = np.frombuffer(zlib.decompress(blob), np.int64).reshape(2, -1)
-    return ToxicModel(*tables)
+
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
+    """Count words and pairs by class over all labelled rows for counting."""
+    spark = docs.sparkSession
+    pairs = stored(count_pairs(_labelled(docs, labels, key, text, label), text), "pairs")
+    pair = F.col("kind") == PAIR
+    ends = [F.count_if(pair & (F.col(f"n{c}") > 0)).alias(f"e{c}") for c in (0, 1)]
+    known = stored(pairs.groupBy("word").agg(*ends, F.sum("n0").alias("c0"), F.sum("n1").alias("c1"), F.max(F.when(~pair, F.col("first"))).alias("stem")), "words")
+    stems = known.groupBy("stem").agg(F.sum("e0").alias("n0"), F.sum("e1").alias("n1"))
+    total = known.agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("c0", "c1", "e0", "e1")), F.count("*").alias("n")).first()
+    model = ToxicModel(np.array([total.c0, total.c1], float), np.array([total.e0, total.e1], float), total.n, stems.count())
+    if not (total.e0 and total.e1):  # a class without counts says nothing
+        return model
+    zero = F.lit(0).alias("zero")
+
+    def some(counts, of: np.ndarray):
+        """Whether own estimates weigh anything."""
+        return counts * ToxicModel._share(of) >= DISCOUNT
+
+    said = some(F.col("n0") + F.col("n1"), model.tokens)
+    # a pair that says something has words of its count at least
+    parts = (
+        pairs.where(pair & (F.col("first") != 0) & said).select(F.lit("pair").alias("of"), "first", "word", "n0", "n1", zero, zero),
+        known.where(some(F.col("c0") + F.col("c1"), model.tokens) | some(F.col("e0") + F.col("e1"), model.kinds)).select(F.lit("word"), zero, "word", "e0", "e1", "c0", "c1"),
+        stems.where(some(F.col("n0") + F.col("n1"), model.kinds)).select(F.lit("stem"), "stem", zero, "n0", "n1", zero, zero),
+    )
+    names = ["of", "first", "word", "n0", "n1", "c0", "c1"]
+    kinds = ["string", *["long"] * 6]
+    every = [p.toDF(*names).select(*(F.col(n).cast(k) for n, k in zip(names, kinds))) for p in parts]
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = np.array(batch.column(0).to_pylist())
+            first, word, *counts = (batch.column(i).to_numpy() for i in range(1, 7))
+            first, word = first.view(U64), word.view(U64)
+            h = np.where(of == "pair", pair_hash(first, word), np.where(of == "stem", stem_hash(first), word))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(pa.array(c.astype(np.float32)) for c in counts)], ["hash", "n0", "n1", "c0", "c1"])
+
+    entries = stored(every[0].unionAll(every[1]).unionAll(every[2]).mapInArrow(hashed, ENTRY), "model")
+    n = -(-entries.count() // SLICE)
+    step = -(-(1 << 20) // max(1, n))
+    for low in range(0, 1 << 20, step):
+        # hashes are even, so a slice has SLICE rows, about; only one is in the driver at a time
+        top = F.shiftright("hash", 44) + (1 << 19)
+        got = entries.where((top >= low) & (top < low + step)).toArrow()
+        if got.num_rows:
+            h = got.column("hash").to_numpy()
+            order = np.argsort(h)
+            counts = np.stack([got.column(c).to_numpy()[order] for c in ("n0", "n1", "c0", "c1")], axis=1)
+            model.slices.append(spark.sparkContext.broadcast((h[order], counts)))
+    return model
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,13 +281,12 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     has no row to learn from, all scores are the share of label 1, or 0.5
     without labels.  A null key is not held out.
     """
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(learn(docs, labels, key, text, label))
+    model = learn(docs, labels, key, text, label)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, text):
-                x = model.value.features(*text_bytes(part.column(1)))
+                x = model.features(*text_bytes(part.column(1)))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(c)) for c in x.T)], [key, *FEATURES])
 
     kinds = ", ".join(f"{f} double" for f in FEATURES)

@@ -6,11 +6,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from mnemon.llm import components, decontam, embed_dedup, jaccard_join, langid, pieceset, pii, sharding, toxicity, url_filter, warc
 from mnemon.llm.queries import PIECE_MODEL
+from mnemon.llm.textscan import text_bytes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, cls long, tok string, bucket int, spot int, c0 string, label string"
 
@@ -244,6 +246,29 @@ def test_toxicity(spark, odd, empty):
     assert {r.score for r in toxicity.score(odd, marks.limit(0)).collect()} == {0.5}
 
 
+def _ratios(model, text):
+    model = getattr(model, "value", model)
+    return model.ratios(toxicity.Grams.of(*text_bytes(pa.array([text]))))
+
+
+def test_toxicity_tells_words_of_one_bin_apart(spark, monkeypatch):
+    names = [f"q{i:05d}" for i in range(4000)]
+    seen, pair = {}, None
+    for name in names:
+        spot = int(toxicity.Grams.of(*text_bytes(pa.array([name]))).word[0]) % (1 << 19)
+        pair = pair or (seen[spot], name) if spot in seen else pair
+        seen[spot] = name
+    bad, good = pair
+    rows = [(i, f"n{i % 7} {bad if i % 2 else good} m{i % 5} {bad if i % 2 else good} k{i % 3}", "en") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    docs = _docs(spark, rows)
+    model = toxicity.learn(docs, labels)
+    assert _ratios(model, bad)[0] > 1 and _ratios(model, good)[0] < -1 and _ratios(model, "nowhere")[0] == 0
+    monkeypatch.setattr(toxicity, "SLICE", 5, raising=False)
+    sliced = toxicity.learn(docs, labels)
+    assert len(sliced.slices) > 3 and np.array_equal(_ratios(sliced, rows[7][1]), _ratios(model, rows[7][1])) and np.array_equal(_ratios(sliced, rows[8][1]), _ratios(model, rows[8][1]))
+
+
 # --- embeddings ---------------------------------------------------------------------------------------------
 
 
