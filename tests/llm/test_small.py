@@ -269,6 +269,42 @@ def test_toxicity_tells_words_of_one_bin_apart(spark, monkeypatch):
     assert len(sliced.slices) > 3 and np.array_equal(_ratios(sliced, rows[7][1]), _ratios(model, rows[7][1])) and np.array_equal(_ratios(sliced, rows[8][1]), _ratios(model, rows[8][1]))
 
 
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_toxicity_counts_kinds_of_pairs_once(spark, tasks):
+    rng = random.Random(3)
+    rows = [(i, _text(rng, 12, [f"w{j} " for j in range(3)]) + (" scum of it" if i % 3 == 0 else " sum of it"), "en") for i in range(300)]
+    use = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 > 1]
+    kinds = [set(), set()]
+    for i, text, _ in use:
+        words = text.split()
+        kinds[i % 3 == 0] |= set(zip(["", *words], words))
+    # so many tasks count, whether the join is a broadcast or a shuffle
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        model = toxicity.learn(_docs(spark, rows).repartition(tasks), spark.createDataFrame([(i, int(i % 3 == 0)) for i, _, _ in rows], "doc_id long, toxic int"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert _ratios(model, "it")[0] == pytest.approx(_unigram(kinds, "it"), abs=1e-3)
+    assert _ratios(model, "scum")[0] == pytest.approx(_unigram(kinds, "scum"), abs=1e-3)
+    assert _ratios(model, "w1")[0] == pytest.approx(_unigram(kinds, "w1"), abs=1e-3)
+
+
+def _unigram(kinds, word):
+    """The ratio of a text's first word, from sets of different pairs by class; a word of up to six bytes is its own stem."""
+    total = np.array([len(k) for k in kinds], float)
+    ends = np.array([sum(w == word for _, w in k) for k in kinds], float)
+    expected = max(ends.sum() * total.min() / total.sum() - 0.75, 0)
+    w = expected / (expected + 4)
+    both = set().union(*({x for _, x in k} for k in kinds))
+    shared = (ends.sum() + 0.5) / (total.sum() + 0.5 * len(both))
+    rest = w * ends / total / shared + 1 - w
+    single = w * ends / total / shared + (1 - w) * rest
+    return np.log(single[1] / single[0])
+
+
 # --- embeddings ---------------------------------------------------------------------------------------------
 
 
