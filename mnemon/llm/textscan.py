@@ -44,14 +44,25 @@ class Alphabet:
         values = mix(np.arange(1, 257, dtype=U64))
         self.value = values[fold]
         self.value[self.gap] = 0
+        self.fold = fold.astype(np.uint8)
         self.fold_latin = fold_latin
 
+    def _capitals(self, data: np.ndarray) -> np.ndarray:
+        """Where second bytes of U+00C0..U+00DE (0xC3 0x80..0x9E) are; their small letters are 0x20 higher."""
+        if not self.fold_latin or len(data) < 2:
+            return np.zeros(0, np.int64)
+        return np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)) + 1
+
     def values(self, data: np.ndarray) -> np.ndarray:
         out = self.value[data]
-        if self.fold_latin and len(data) > 1:
-            # U+00C0..U+00DE are 0xC3 0x80..0x9E; their small letters are 0x20 higher
-            up = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)) + 1
-            out[up] = self.value[data[up] + 32]
+        up = self._capitals(data)
+        out[up] = self.value[data[up] + 32]
+        return out
+
+    def folded(self, data: np.ndarray) -> np.ndarray:
+        """The bytes as they count."""
+        out = self.fold[data]
+        out[self._capitals(data)] += 32
         return out
 
 

@@ -247,62 +247,90 @@ def test_toxicity(spark, odd, empty):
 
 
 def _ratios(model, text):
-    model = getattr(model, "value", model)
     return model.ratios(toxicity.Grams.of(*text_bytes(pa.array([text]))))
 
 
-def test_toxicity_tells_words_of_one_bin_apart(spark, monkeypatch):
-    names = [f"q{i:05d}" for i in range(4000)]
-    seen, pair = {}, None
-    for name in names:
-        spot = int(toxicity.Grams.of(*text_bytes(pa.array([name]))).word[0]) % (1 << 19)
-        pair = pair or (seen[spot], name) if spot in seen else pair
-        seen[spot] = name
-    bad, good = pair
-    rows = [(i, f"n{i % 7} {bad if i % 2 else good} m{i % 5} {bad if i % 2 else good} k{i % 3}", "en") for i in range(400)]
-    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
-    docs = _docs(spark, rows)
-    model = toxicity.learn(docs, labels)
-    assert _ratios(model, bad)[0] > 1 and _ratios(model, good)[0] < -1 and _ratios(model, "nowhere")[0] == 0
-    monkeypatch.setattr(toxicity, "SLICE", 5, raising=False)
-    sliced = toxicity.learn(docs, labels)
-    assert len(sliced.slices) > 3 and np.array_equal(_ratios(sliced, rows[7][1]), _ratios(model, rows[7][1])) and np.array_equal(_ratios(sliced, rows[8][1]), _ratios(model, rows[8][1]))
-
-
-@pytest.mark.parametrize("tasks", [1, 7])
-def test_toxicity_counts_kinds_of_pairs_once(spark, tasks):
-    rng = random.Random(3)
-    rows = [(i, _text(rng, 12, [f"w{j} " for j in range(3)]) + (" scum of it" if i % 3 == 0 else " sum of it"), "en") for i in range(300)]
-    use = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 > 1]
+def _brute_ratio(rows, word):
+    """A word's log-likelihood ratio from plain sets of (word before, word) by class."""
     kinds = [set(), set()]
-    for i, text, _ in use:
+    for text, toxic in rows:
         words = text.split()
-        kinds[i % 3 == 0] |= set(zip(["", *words], words))
-    # so many tasks count, whether the join is a broadcast or a shuffle
+        kinds[toxic] |= set(zip(["", *words], words))
+    small = min(len(k) for k in kinds)
+
+    def level(name):
+        counts = [{}, {}]
+        for c in (0, 1):
+            for _, w in kinds[c]:
+                counts[c][name(w)] = counts[c].get(name(w), 0) + small / len(kinds[c])
+        mine = [counts[c].get(name(word), 0) for c in (0, 1)]
+        own = [2 * max(mine[c] - toxicity.DISCOUNT, 0) / max(sum(mine), 1e-9) for c in (0, 1)]
+        return own, [1 - sum(max(n - toxicity.DISCOUNT, 0) for n in counts[c].values()) / small for c in (0, 1)]
+
+    p = [1.0, 1.0]
+    for size in (4, 5, 6, None):
+        own, rest = level(lambda w: w.encode()[:size].ljust(size or 0, b"\0"))
+        p = [own[c] + rest[c] * p[c] for c in (0, 1)]
+    return np.log(p[1] / p[0])
+
+
+@pytest.fixture(scope="module")
+def toxic_rows():
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        words = [f"{rng.choice(['amber', 'birchen', 'cedar', 'é'])}{rng.randrange(30)}" for _ in range(20)]
+        if i % 3 == 0:
+            words[rng.randrange(20)] = "scum"
+            words[rng.randrange(20)] = f"vile{rng.randrange(60)}"
+        rows.append((i, " ".join(words), "en"))
+    return rows, [(i, int(i % 3 == 0)) for i, _, _ in rows]
+
+
+def _in_tasks(spark, tasks, call):
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
     spark.conf.set("spark.sql.shuffle.partitions", tasks)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        model = toxicity.learn(_docs(spark, rows).repartition(tasks), spark.createDataFrame([(i, int(i % 3 == 0)) for i, _, _ in rows], "doc_id long, toxic int"))
+        return call()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    assert _ratios(model, "it")[0] == pytest.approx(_unigram(kinds, "it"), abs=1e-3)
-    assert _ratios(model, "scum")[0] == pytest.approx(_unigram(kinds, "scum"), abs=1e-3)
-    assert _ratios(model, "w1")[0] == pytest.approx(_unigram(kinds, "w1"), abs=1e-3)
-
-
-def _unigram(kinds, word):
-    """The ratio of a text's first word, from sets of different pairs by class; a word of up to six bytes is its own stem."""
-    total = np.array([len(k) for k in kinds], float)
-    ends = np.array([sum(w == word for _, w in k) for k in kinds], float)
-    expected = max(ends.sum() * total.min() / total.sum() - 0.75, 0)
-    w = expected / (expected + 4)
-    both = set().union(*({x for _, x in k} for k in kinds))
-    shared = (ends.sum() + 0.5) / (total.sum() + 0.5 * len(both))
-    rest = w * ends / total / shared + 1 - w
-    single = w * ends / total / shared + (1 - w) * rest
-    return np.log(single[1] / single[0])
+
+
+@pytest.mark.parametrize("tasks", [2, 16])
+def test_toxicity_brute(spark, toxic_rows, tasks):
+    rows, labels = toxic_rows
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model, without, sample = _in_tasks(spark, tasks, lambda: toxicity.learn(_docs(spark, rows).repartition(tasks), marks))
+    use = [(t, i % 3 == 0) for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 != 0]
+    aside = {r.text for r in sample.collect()}
+    assert 0.1 * len(use) < len(aside) < 0.3 * len(use)
+    for word in ("scum", "vile7", "vilenew", "amber3", "é5", "nowhere"):
+        assert _ratios(model, word)[0] == pytest.approx(_brute_ratio(use, word), abs=1e-4)
+        assert _ratios(without, word)[0] == pytest.approx(_brute_ratio([r for r in use if r[0] not in aside], word), abs=1e-4)
+    assert _ratios(model, "vilenew")[0] > 2 > 0.5 > abs(_ratios(model, "amber3")[0])
+
+
+def test_toxicity_whatever_the_partitions(spark, toxic_rows, monkeypatch):
+    rows, labels = toxic_rows
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def run(tasks):
+        return _in_tasks(spark, tasks, lambda: {r.doc_id: (r.score, r.llr_per_word) for r in toxicity.score(_docs(spark, rows).repartition(tasks), marks).collect()})
+
+    few, many = run(2), run(16)
+    monkeypatch.setattr(toxicity, "SLICE", 5)
+    sliced = run(3)
+    # sums in another order differ in the last digits only
+    assert all(few[k] == pytest.approx(other[k], abs=1e-9) for other in (many, sliced) for k in few)
+
+
+def test_toxicity_sample_of_any_size(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    assert 150 < rows.where(toxicity._taken(0.01, "fit", "doc_id")).count() < 250
+    # a share that is nothing in millionths still takes rows
+    assert rows.select(toxicity._taken(50_000 / 5e12, "fit", "doc_id").alias("t")).where("t").count() == 0 and int(50_000 / 5e12 * 2**63) > 10**10
 
 
 # --- embeddings ---------------------------------------------------------------------------------------------
