@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mnemon.llm.components import components
-from mnemon.llm.shared import shuffle_partitions, stored
+from mnemon.llm.shared import sampled, shuffle_partitions, stored
 
 #: Vectors, about, that rotations are learned from.
 SAMPLE = 20_000
@@ -111,8 +111,7 @@ def _one_length(vectors: DataFrame, threshold: float, recall: float, sample: int
     """(vec, links, root) of each class of equal vectors (vec, n, v) of one length."""
     spark = vectors.sparkSession
     n = vectors.count()
-    share = min(1.0, sample / max(1, n))
-    rows = vectors.where(F.pmod(F.xxhash64(F.lit("itq"), "vec"), F.lit(1_000_000)) < max(1, int(share * 1_000_000))).select("v").collect()
+    rows = vectors.where(sampled(sample / max(1, n), "itq", "vec")).select("v").collect()  # ``sample``, about
     if not rows:
         rows = vectors.select("v").limit(1).collect()
     shared = spark.sparkContext.broadcast(Quantiser.fit(_units(np.array([r[0] for r in rows])), n, threshold, recall))

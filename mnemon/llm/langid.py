@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mnemon.llm.shared import sampled
 from mnemon.llm.textscan import PLAIN, U64, mix, pieces, text_bytes
 
 BINS = 1 << 15
@@ -120,8 +121,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     spark = docs.sparkSession
     mine = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.crc32(F.col(key).cast("string")) % 4 != 2))
     total = mine.count()
-    share = min(1.0, sample_rows / max(1, total))
-    mine = mine.where(F.pmod(F.xxhash64(F.lit("lang"), F.col(key)), F.lit(1_000_000)) < int(share * 1_000_000))
+    mine = mine.where(sampled(sample_rows / max(1, total), "lang", key))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[str, np.ndarray] = {}
@@ -159,7 +159,10 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
     """One row per document: key, held_out, lang_pred, score, ambiguous.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every
-    text where no language was learned.  A null key is not held out.
+    text where no language was learned.  A null key is not held out.  Texts are
+    read whole, of any length; of languages that are equally near the first by
+    name is taken and marked ambiguous; rows that repeat are told each; an
+    empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BINS floats a bit
 
@@ -179,7 +182,11 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The rows whose language is told apart: neither ``und`` nor a tie of languages; all columns stay."""
+    """The rows whose language is told apart: neither ``und`` nor a tie of languages; all columns stay.
+
+    Null and empty texts go; repeated rows stay each or go each; an empty table
+    stays empty, and without a language learned all rows go.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
     names = [f"c{i}" for i in range(len(docs.columns))]

@@ -39,7 +39,7 @@ _LOOSE = {
     "local_phone": re.compile(r"(?<![0-9+])(?<![0-9][ .-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    "secret": re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,200}(?![A-Za-z0-9_/+-])"),
+    "secret": re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}(?![A-Za-z0-9_/+-])"),
 }
 _AT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z0-9-]{1,63}){1,4}(?![A-Za-z0-9-])", re.I)
 _DIGIT = re.compile(r"[0-9]")
@@ -115,12 +115,20 @@ def loose_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str,
                     found.append((kind, m.start(), m.end()))
     if not found:
         return found
-    busy = sorted((a, b) for _, a, b in taken)
-    out = []
+    # base spans as stretches without gaps: what a sorted candidate may overlap is the first that ends after its start
+    busy: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in taken):
+        if busy and a <= busy[-1][1]:
+            busy[-1][1] = max(busy[-1][1], b)
+        else:
+            busy.append([a, b])
+    out, at, end = [], 0, 0
     for kind, a, b in sorted(found, key=lambda s: (s[1], -s[2])):
-        if all(b <= x or y <= a for x, y in busy):
+        while at < len(busy) and busy[at][1] <= a:
+            at += 1
+        if a >= end and (at == len(busy) or b <= busy[at][0]):
             out.append((kind, a, b))
-            busy.append((a, b))
+            end = b
     return out
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -32,3 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sampled(share: float, salt: str, *columns: str) -> Column:
+    """Whether a row is in the sample of that share, by a hash of ``columns``.
+
+    The share is held against 63 bits, so no table is so large that rounding
+    empties the sample or makes it grow with the table.
+    """
+    bound = min(max(1, int(share * (1 << 63))), (1 << 63) - 1)
+    spot = F.xxhash64(F.lit(salt), *columns).bitwiseAND(F.lit((1 << 63) - 1))
+    return F.lit(True) if share >= 1 else spot < F.lit(bound)

@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mnemon.llm.shared import stored
+from mnemon.llm.shared import sampled, stored
 from mnemon.llm.textscan import PLAIN, U64, mix, pieces, text_bytes, words
 
 #: Rows of the model that are sent to the tasks, and held by one, at once; it has as many slices as it needs.
@@ -138,16 +138,11 @@ class ToxicModel:
         return out
 
 
-def _taken(share: float, salt: str, key: str) -> Column:
-    """Whether a row belongs to the sample of that share; never empty by rounding, however small the share."""
-    return F.xxhash64(F.lit(salt), F.col(key)).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(max(1, min(int(share * (1 << 63)), (1 << 63) - 1)))
-
-
 def training_labels(labels: DataFrame, key: str, label: str, fit_rows: int) -> DataFrame:
     """(key, label, fit) of the rows to learn from; ``fit`` marks the fit's sample."""
     mine = labels.where(F.col(label).isin(0, 1) & (F.crc32(F.col(key).cast("string")) % 5 != 0)).groupBy(F.col(key).cast("long").alias(key)).agg(F.max(label).alias("label"))
     share = min(FIT_SHARE, fit_rows / max(1, mine.count()))
-    return mine.withColumn("fit", _taken(share, "fit", key).cast("int"))
+    return mine.withColumn("fit", sampled(share, "fit", key).cast("int"))
 
 
 def labelled(docs: DataFrame, mine: DataFrame, key: str, text: str) -> DataFrame:
@@ -270,7 +265,7 @@ def _model(spark, known: DataFrame, stems: DataFrame, columns: tuple[str, str])
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS) -> tuple[ToxicModel, ToxicModel, DataFrame]:
     """(the model of all training rows, that without the fit's sample, the sample's (text, label))."""
     mine = stored(training_labels(labels, key, label, fit_rows), "labels")
-    few = mine.where(_taken(min(1.0, LAYOUT_ROWS / max(1, mine.count())), "layout", key))
+    few = mine.where(sampled(LAYOUT_ROWS / max(1, mine.count()), "layout", key))
     frequent = frequent_words(_sample(docs, few, key, text), text)
     known = stored(count_contexts(labelled(docs, mine, key, text), text, frequent), "words")
     head = [F.struct(F.lit(k).alias("size"), F.col("head").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("stem")) for k in STEMS]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from mnemon.llm import components, decontam, embed_dedup, jaccard_join, langid, pieceset, pii, sharding, toxicity, url_filter, warc
+from mnemon.llm import components, decontam, embed_dedup, jaccard_join, langid, pieceset, pii, shared, sharding, toxicity, url_filter, warc
 from mnemon.llm.queries import PIECE_MODEL
 from mnemon.llm.textscan import text_bytes
 
@@ -326,11 +327,16 @@ def test_toxicity_whatever_the_partitions(spark, toxic_rows, monkeypatch):
     assert all(few[k] == pytest.approx(other[k], abs=1e-9) for other in (many, sliced) for k in few)
 
 
-def test_toxicity_sample_of_any_size(spark):
-    rows = spark.range(20_000).withColumnRenamed("id", "doc_id")
-    assert 150 < rows.where(toxicity._taken(0.01, "fit", "doc_id")).count() < 250
-    # a share that is nothing in millionths still takes rows
-    assert rows.select(toxicity._taken(50_000 / 5e12, "fit", "doc_id").alias("t")).where("t").count() == 0 and int(50_000 / 5e12 * 2**63) > 10**10
+@pytest.mark.parametrize("total", [100, 5_000_000, 50_000_000_000, 50_000_000_000_000])
+def test_samples_of_any_size(spark, total):
+    """Of a table of ``total`` rows the sample is about as large as asked for: told from the bound on the hash, as no such table fits here."""
+    said = str(shared.sampled(20_000 / total, "lang", "doc_id"))
+    if total <= 20_000:
+        assert spark.range(total).withColumnRenamed("id", "doc_id").where(shared.sampled(20_000 / total, "lang", "doc_id")).count() == total
+    else:
+        bound = int(re.findall(r"\d{10,}", said)[-1])
+        assert bound / 2**63 * total == pytest.approx(20_000, rel=1e-3)
+    assert 150 < spark.range(20_000).where(shared.sampled(0.01, "fit", "id")).count() < 250
 
 
 # --- embeddings ---------------------------------------------------------------------------------------------
@@ -400,6 +406,25 @@ def test_pii_added(spark, odd, empty):
     assert {r.doc_id: r.base_sha256 for r in pii.find(odd).collect()}[2] == hashlib.sha256(b"").hexdigest()
 
 
+def test_pii_long_secrets_and_many_numbers():
+    rng = random.Random(1)
+    long = "".join(rng.choice("abcdefghij0123456789") for _ in range(900))
+    assert [(k, b - a) for k, a, b in pii.loose_spans(f"the token {long} here", [])] == [("secret", 900)]
+    rng = random.Random(4)
+    text = " ".join(rng.choice(["555-123-4567", "a@b.com", "123-45-6789", "+1 555 123 4567", "x1" * 14, "word", "212 555 1234", "jane at site dot com"]) for _ in range(400))
+    base = pii.base_spans(text)
+    found = [(k, m.start(), m.end()) for k in ("local_phone", "ssn", "iban", "secret") for m in pii._LOOSE[k].finditer(text)] + [("hidden_email", m.start(), m.end()) for m in pii._AT.finditer(text)]
+    want, busy = [], [(a, b) for _, a, b in base]
+    for k, a, b in sorted(found, key=lambda s: (s[1], -s[2])):
+        if all(b <= x or y <= a for x, y in busy):
+            want.append((k, a, b))
+            busy.append((a, b))
+    assert pii.loose_spans(text, base) == want and len(want) > 50
+    start = time.monotonic()
+    pii.loose_spans("123-45-6789 " * 100_000, [])
+    assert time.monotonic() - start < 20
+
+
 def test_pii_long_runs():
     assert pii.base_spans("a" * 200_000) == [] and pii.base_spans("1" * 100_000) == [] and pii.base_spans("@" * 50_000) == []
 
@@ -530,11 +555,39 @@ def test_warc(spark, tmp_path):
     assert max(len(warc.seek_table(c)) for c in content.values()) > 1
     for r in warc.record_index(bundles).collect():
         fields, body = warc.read_at(content[r.bundle], r.frame, r.offset, r.length)
-        assert fields["WARC-Record-ID"] == f"<urn:page:{'' if r.page_id is None else r.page_id}>"
+        assert fields.get("X-Page-ID") == (None if r.page_id is None else str(r.page_id))
     one = next(iter(content.values()))
     assert zstandard.ZstdDecompressor().decompressobj(read_across_frames=True).decompress(one).startswith(b"WARC/1.1\r\n")
     broken = one[:-1] + b"\0"
     with pytest.raises(ValueError):
         warc.seek_table(broken)
+    some = warc.read_pages(bundles, spark.createDataFrame([(r.page_id,) for r in got[:5] if r.page_id is not None], "page_id long")).collect()
+    assert {r.page_id for r in some} == {r.page_id for r in got[:5] if r.page_id is not None}
     assert warc.export_bundles(bundles, str(tmp_path / "files")) == len(content) == len(list((tmp_path / "files").glob("*.warc.zst")))
     assert warc.archive(frame.limit(0)).count() == 0
+
+
+def test_warc_fields(spark, tmp_path):
+    """What WARC/1.1 asks of each type of record."""
+    pages = spark.createDataFrame([(1, "http://a.org/x?q=%20y", "z" * 1500), (2, "http://a.org/2", "z" * 1500), (3, None, "short"), (4, "http://a.org/new\nline", None), (5, "", "é")], "page_id long, url string, html string")
+    path = "file://" + str(tmp_path / "w")
+    back = {r.page_id: r for r in warc.archive(pages.coalesce(1), path).collect()}
+    assert {i: r.url for i, r in back.items()} == {r.page_id: r.url for r in pages.collect()}
+    seen = {}
+    for r in spark.read.schema(warc.BUNDLE_SCHEMA).parquet(path).collect():
+        for frame in warc.seek_table(bytes(r.content)):
+            data, at = warc.read_frame(bytes(r.content), frame), 0
+            while at < len(data):
+                fields, block, at = warc.parse_record(data, at)
+                kind = fields["WARC-Type"]
+                assert {"WARC-Record-ID", "WARC-Date", "Content-Length", "Content-Type"} <= set(fields)
+                assert re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", fields["WARC-Record-ID"]) and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+                seen.setdefault(kind, []).append(fields)
+                if kind == "warcinfo":
+                    assert fields["Content-Type"] == "application/warc-fields" and block.startswith(b"software: ")
+                else:
+                    assert fields["WARC-Target-URI"] and fields["WARC-Payload-Digest"] and fields["Content-Type"] == "application/http;msgtype=response" and block.startswith(b"HTTP/1.1 200 OK\r\n")
+    by_id = {f["WARC-Record-ID"]: f for found in seen.values() for f in found}
+    (revisit,) = seen["revisit"]
+    assert revisit["WARC-Profile"].endswith("/revisit/identical-payload-digest") and by_id[revisit["WARC-Refers-To"]]["X-Page-ID"] == "2" and revisit["WARC-Target-URI"] == "http://a.org/x?q=%20y"
+    assert len(by_id) == sum(map(len, seen.values())) == 6 and back[1].refers_to == 2

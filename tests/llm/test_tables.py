@@ -50,4 +50,7 @@ def test_pipeline_odd(spark):
     rows = [(1, "the same words in a row of eight words", "en", "a", 1), (1, "the same words in a row of eight words", "en", "a", 1), (None, "the same words in a row of eight words", "en", "a", 1), (None, "another text that has no id whatever it says", "en", "a", 1), (2, None, None, None, None), (3, "", "en", "a", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.one_of_each(spark, docs, DATA)
+    again = spark.createDataFrame([(3, "a b c d e f g h", "en", "a", 1), (5, "a b c d e f g h", "en", "a", 1), (5, "other words of another text here", "en", "a", 1), (9, "p q r s t u v w x y z 1 2 3 4 5 6 7 8 9", "en", "b", 2), (9, "p q r s t u v w x y z 1 2 3 4 5 6 7 8 0", "en", "b", 2), (9, "p q r s t u v w x y z 1 2 3 4 5 6 7 8 0", "en", "b", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    left = sorted((r.doc_id, r.text[:5]) for r in corpus_pipeline.one_of_each(spark, again, DATA).collect())
+    assert left == [(3, "a b c"), (5, "other"), (9, "p q r")]
     assert kept.columns == docs.columns and sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "another text that has no id whatever it says"), (1, "the same words in a row of eight words"), (2, ""), (3, "")]
