@@ -166,7 +166,8 @@ def labelled(docs: DataFrame, mine: DataFrame, key: str, text: str) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], [key, text])
 
     some = docs.select(F.col(key).cast("long").alias(key), text, spot.alias("spot")).where(F.col(key).isNotNull()).mapInArrow(maybe, f"`{key}` long, `{text}` string")
-    return some.join(mine, key).select(text, (F.col("label") + 2 * F.col("fit")).cast("int").alias("kind"))
+    # a shuffle at every size: labels grow with the documents
+    return some.join(mine.hint("merge"), key).select(text, (F.col("label") + 2 * F.col("fit")).cast("int").alias("kind"))
 
 
 def _sample(docs: DataFrame, mine: DataFrame, key: str, text: str) -> DataFrame:
