@@ -16,40 +16,64 @@ from mnemon.llm.shared import stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language can't be told: no letters, no text, or a tie of languages."""
+    """Drop documents whose language can't be told: no letters, no text (null or empty), or a tie of languages.
+
+    Repeated rows are told each, texts read whole, and an empty table stays empty.
+    """
     return langid.keep_identified(docs, langid.learn(docs))
 
 
+def _with_keys(docs: DataFrame) -> DataFrame:
+    """The rows with a ``pipeline_key`` of their own: their doc_id or, where it is null or repeats, a large number made from id, text and source.
+
+    Only rows that are alike in these share a key.
+    """
+    with_id = F.col("doc_id").isNotNull()
+    base = F.when(with_id, F.lit(1 << 62)).otherwise(F.lit((1 << 62) + (1 << 61)))
+    made = base + F.pmod(F.xxhash64(F.lit("id"), "doc_id", "text", "source"), F.lit(1 << 61))
+    again = stored(docs.where(with_id).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return docs.withColumn("pipeline_key", F.coalesce(F.col("doc_id").cast("long"), made))
+    told = docs.where(with_id).join(again.withColumn("again", F.lit(True)), "doc_id", "left")
+    told = told.withColumn("pipeline_key", F.when(F.col("again"), made).otherwise(F.col("doc_id").cast("long"))).drop("again")
+    return stored(told.unionByName(docs.where(~with_id).withColumn("pipeline_key", made)), "keyed")
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group of linked documents that with the least doc_id.
+    """Keep one document of each group of linked ones: that with the least doc_id.
 
-    Documents without shingles are groups of their own.  A document without an
-    id counts as one with a large id of its own, made from its row; rows that
-    repeat id and text leave one.
+    Documents without shingles (null, empty or without words) are groups of
+    their own.  Rows whose doc_id repeats come after all others in their group,
+    and those without one last; rows that repeat id, text and source leave one.  Texts are
+    compared whole, of any length; an empty table stays empty.
     """
-    without = (F.lit(1 << 62) + F.pmod(F.xxhash64(F.lit("id"), "text", "source"), F.lit(1 << 61))).cast("long")
-    keyed = docs.withColumn("pipeline_key", F.coalesce(F.col("doc_id").cast("long"), without))
+    keyed = _with_keys(docs)
     classes = jaccard_join.jaccard_classes(keyed, key="pipeline_key")
     kept = stored(classes.where("pipeline_key = component_id").groupBy("pipeline_key").agg(F.count(F.lit(1)).alias("n")), "kept")
     # a shuffle at every size: the ids to keep grow with the documents
-    out = keyed.join(kept.select("pipeline_key").hint("merge"), "pipeline_key", "left_semi")
-    if not kept.where("n > 1").isEmpty():
-        out = out.dropDuplicates(["pipeline_key", "text"])
+    out = keyed.join(kept.where("n = 1").select("pipeline_key").hint("merge"), "pipeline_key", "left_semi")
+    if not (many := kept.where("n > 1").select("pipeline_key")).isEmpty():
+        alike = keyed.join(many.hint("merge"), "pipeline_key", "left_semi").groupBy("pipeline_key").agg(F.min(F.struct(*docs.columns)).alias("row"))
+        out = out.unionByName(alike.select("pipeline_key", "row.*"))
     return out.select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item's passage."""
+    """Drop documents that hold a benchmark item's passage.
+
+    Null and empty texts hold none; repeated rows go or stay each; texts are
+    read whole, and an empty table stays empty.
+    """
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data by its kind in brackets; every document stays."""
+    """Replace personal data by its kind in brackets; every document stays, a null text as null."""
     return pii.redact(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of every document."""
+    """The piece ids of every document, whatever its length; a null or empty text has none."""
     return pieceset.encode(docs, PIECE_MODEL)
 
 
