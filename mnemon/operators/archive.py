@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mnemon import schemas
 from mnemon.operators import projects
+from mnemon.plans.stage import materialize
 
 ROLES = ("system", "developer", "user", "assistant", "tool")
 
@@ -68,7 +69,7 @@ def candidate_rows(candidates: DataFrame, sessions: DataFrame) -> DataFrame:
 def promotion_rows(promotions: DataFrame, sessions: DataFrame, candidates: DataFrame) -> DataFrame:
     """Promotions whose session and candidate are archived."""
     s = sessions.select(F.col("external_session_id").alias("session_id"), F.col("id").alias("sid"))
-    c = candidates.select("content_fingerprint", F.col("id").alias("candidate_id")).dropDuplicates(["content_fingerprint"])
+    c = candidates.groupBy("content_fingerprint").agg(F.min("id").alias("candidate_id"))
     return promotions.join(s, "session_id").join(c, "content_fingerprint").select(
         "candidate_id", F.col("sid").alias("session_id"), "target_file", "target_section", "entry_slug", "promotion_mode", "content_markdown"
     )
@@ -85,7 +86,7 @@ def session_project_rows(sessions: DataFrame, archived: DataFrame, catalogue: Da
 
 def candidate_project_rows(candidates: DataFrame, archived: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Links of candidates: the primary project and the first three hints, the first of each slug that is sure enough."""
-    ids = archived.select("content_fingerprint", F.col("id").alias("candidate_id")).dropDuplicates(["content_fingerprint"])
+    ids = archived.groupBy("content_fingerprint").agg(F.min("id").alias("candidate_id"))
     hints = F.coalesce("project_hints", F.array().cast(candidates.schema["project_hints"].dataType))
     rows = candidates.select("content_fingerprint", F.posexplode(F.concat(F.slice(hints, 1, 1), F.slice(hints, 1, 3))).alias("pos", "h")).where(F.col("h.confidence") >= projects.LINK_CONFIDENCE)
     joined = rows.join(ids, "content_fingerprint").join(catalogue.select("slug", F.col("id").alias("project_id")), F.col("h.slug") == F.col("slug"))
@@ -94,12 +95,56 @@ def candidate_project_rows(candidates: DataFrame, archived: DataFrame, catalogue
 
 
 def upsert(old: DataFrame, batch: DataFrame, key: tuple[str, ...], order: tuple[Column, ...] = ()) -> DataFrame:
-    """``old`` with the batch's rows in the place of those with their keys; of a key's rows in the batch the first by ``order``."""
-    by = Window.partitionBy(*key).orderBy(*(order or tuple(F.hash(c) for c in batch.columns)))
+    """``old`` with the batch's rows in the place of those with their keys; of a key's rows in the batch the first by ``order`` (else by their JSON)."""
+    by = Window.partitionBy(*key).orderBy(*(order or (F.to_json(F.struct(*batch.columns)),)))
     fresh = batch.withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n")
     return old.join(fresh.select(*key), list(key), "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
+#: Parts of an archive table; an upsert rewrites those that the batch's keys fall into.
+PARTS = 64
+
+
+def part_of(key: tuple[str, ...], parts: int = PARTS) -> Column:
+    return F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in key)), F.lit(parts)).cast("int")
+
+
+def read_table(spark: SparkSession, name: str, folder: str) -> DataFrame | None:
+    """A stored archive table, or None before its first batch."""
+    path = f"{folder}/{name}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return spark.read.schema(f"{schemas.ARCHIVE[name].columns}, part int").parquet(path)
+
+
+def store(name: str, batch: DataFrame, folder: str, parts: int = PARTS) -> None:
+    """Upsert ``batch`` into the table ``name`` below ``folder``, by its key.
+
+    The table is partitioned by a hash of the key.  Of the parts that the batch
+    touches the new rows are written to the shared folder first, and then take
+    the old ones' place; other parts aren't read.  A batch that runs again
+    leaves the same rows.
+    """
+    spec = schemas.ARCHIVE[name]
+    columns = [c.split(" ", 1)[0] for c in spec.columns.split(", ")]
+    mine = batch.select(*columns)
+    old = read_table(batch.sparkSession, name, folder)
+    if old is not None:
+        touched = [r[0] for r in mine.select(part_of(spec.key, parts).alias("part")).distinct().collect()]  # PARTS numbers at most
+        old = old.where(F.col("part").isin(touched)).select(*columns)
+    merged = upsert(old if old is not None else mine.limit(0), mine, spec.key).withColumn("part", part_of(spec.key, parts))
+    staged = materialize(merged, name)
+    staged.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{folder}/{name}")
+
+
+def returned(name: str, batch: DataFrame, folder: str) -> DataFrame:
+    """The stored rows of the batch's keys."""
+    key = list(schemas.ARCHIVE[name].key)
+    found = read_table(batch.sparkSession, name, folder)
+    return batch.limit(0) if found is None else found.join(batch.select(*key).distinct(), key, "left_semi")
+
+
 def violations(name: str, rows: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """(table, rule, n): rows against a table's keys, value sets and parent."""
     spec = schemas.ARCHIVE[name]

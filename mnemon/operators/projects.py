@@ -60,9 +60,14 @@ def is_operational(slug: Column) -> Column:
 
 
 def has_context(body: Column, token: Column) -> Column:
-    """A token that starts the text or follows white space or a quote, or that has a context word within 40 characters."""
+    """Whether a token stands like a project's name.
+
+    Either it starts the text or follows white space or a quote, and ``.git``,
+    a slash or a word boundary comes after it; or a context word is within 40
+    characters on its line.
+    """
     escaped = F.regexp_replace(token, r"([.*+?^${}()|\[\]\\])", r"\\$1")
-    at_start = F.concat(F.lit("(?:^|[\\s'\"])"), escaped, F.lit("(?:\\.git|/|(?![A-Za-z0-9_])|(?<![A-Za-z0-9_]))"))
+    at_start = F.concat(F.lit("(?:^|[\\s'\"])"), escaped, F.lit("(?:\\.git|/|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"))
     words = "|".join(CONTEXT_WORDS)
     near = F.concat(F.lit(f"(?:{words})[^\\n]{{0,40}}"), escaped, F.lit("|"), escaped, F.lit(f"[^\\n]{{0,40}}(?:{words})"))
     return F.rlike(body, at_start) | F.rlike(body, near)
@@ -81,25 +86,31 @@ def text_signals(texts: DataFrame, known: DataFrame) -> DataFrame:
     return rows.groupBy(
         "session_id", "ord", F.coalesce("known", "slug").alias("slug"), F.lit("text").alias("source"),
         F.when(is_known, "known_alias").otherwise("contextual_slug_pattern").alias("signal_type"), F.col("token").alias("matched_text"),
-    ).agg(F.min("pos").alias("pos"), F.first(F.coalesce("name", "token")).alias("label"), F.first(F.when(is_known, 0.88).otherwise(0.64)).alias("confidence"))
+    ).agg(F.min("pos").alias("pos"), F.min_by(F.coalesce("name", "token"), "pos").alias("label"), F.max(F.when(is_known, 0.88).otherwise(0.64)).alias("confidence"))
 
 
 def cwd_signals(sessions: DataFrame, known: DataFrame) -> DataFrame:
-    """Signals of a session's directory: catalogue names at 0.97, numbered segments at 0.90."""
+    """Signals of a session's directory: catalogue names at 0.97, numbered segments at 0.90.
+
+    A generic segment counts only as the last one, and where no other segment is
+    a project's, be it that it is known, numbered or a child of ``workspace`` or
+    ``apps``.
+    """
     parts = F.filter(F.transform(F.split(F.coalesce("cwd", F.lit("")), "/"), lambda p: F.trim(p)), lambda p: p != "")
-    rows = sessions.select("session_id", F.posexplode(parts).alias("pos", "segment"), F.size(parts).alias("n"))
+    rows = sessions.select("session_id", F.posexplode(parts).alias("pos", "segment"), F.size(parts).alias("n"), parts.alias("parts"))
+    rows = rows.withColumn("under", F.lower(F.try_element_at("parts", F.greatest(F.col("pos"), F.lit(1)))).isin("workspace", "apps") & (F.col("pos") > 0)).drop("parts")
     rows = rows.withColumns({"slug": text.project_slug(F.col("segment")), "numbered": F.col("segment").rlike(NUMBERED)})
     rows = rows.join(known, rows["slug"] == known["alias"], "left")
     usable = (F.col("slug") != "") & ~F.col("slug").isin(*GENERIC_SLUGS) & (F.col("known").isNotNull() | F.col("numbered"))
-    # a generic name counts only as the last segment and where nothing else does
-    rows = rows.where(usable).withColumn("generic", F.lower("segment").isin(*GENERIC_SEGMENTS))
-    other = F.max((~F.col("generic")).cast("int")).over(Window.partitionBy("session_id"))
-    rows = rows.withColumn("other", other).where(~F.col("generic") | ((F.col("other") == 0) & (F.col("pos") == F.col("n") - 1)))
+    rows = rows.withColumn("generic", F.lower("segment").isin(*GENERIC_SEGMENTS))
+    stops = ~F.col("generic") & (F.col("known").isNotNull() | F.col("numbered") | F.coalesce(F.col("under"), F.lit(False)))
+    rows = rows.withColumn("other", F.max(stops.cast("int")).over(Window.partitionBy("session_id")))
+    rows = rows.where(usable & (~F.col("generic") | ((F.col("other") == 0) & (F.col("pos") == F.col("n") - 1))))
     is_known = F.col("known").isNotNull()
     return rows.groupBy(
         "session_id", F.lit(-3).alias("ord"), F.coalesce("known", "slug").alias("slug"), F.lit("cwd").alias("source"),
         F.when(is_known, "project_root_segment").otherwise("numbered_project_segment").alias("signal_type"), F.col("segment").alias("matched_text"),
-    ).agg(F.min("pos").alias("pos"), F.first(F.coalesce("name", "segment")).alias("label"), F.first(F.when(is_known, 0.97).otherwise(0.9)).alias("confidence"))
+    ).agg(F.min("pos").alias("pos"), F.min_by(F.coalesce("name", "segment"), "pos").alias("label"), F.max(F.when(is_known, 0.97).otherwise(0.9)).alias("confidence"))
 
 
 def rank(signals: DataFrame) -> DataFrame:
@@ -133,8 +144,8 @@ def attach(sessions: DataFrame, hints: DataFrame) -> DataFrame:
 def project_rows(sessions: DataFrame) -> DataFrame:
     """The archive's projects: linked slugs with the first session's label and aliases."""
     rows = sessions.select("session_id", F.explode("project_hints").alias("h")).where(F.col("h.confidence") >= LINK_CONFIDENCE)
-    order = Window.partitionBy("h.slug").orderBy("session_id", "h.rank")
-    rows = rows.withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    # a partial aggregate, as a popular slug has very many sessions
+    rows = rows.groupBy(F.col("h.slug").alias("_slug")).agg(F.min_by("h", F.struct("session_id", "h.rank")).alias("h"))
     names = F.concat(F.array("h.slug", "h.label"), F.col("h.matched_texts"))
     slug = F.lower("h.slug")
     kind = F.when(slug.contains("supabase") | slug.contains("infra"), "infra").when(slug.contains("research"), "research").when(slug.contains("personal"), "personal")

@@ -97,11 +97,12 @@ def entry_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """What a batch does, entry by entry: append (new file), merge (new entry), replace or noop.
 
     Both have (target_file, entry_slug, content_markdown); entries of ``old``
-    that the batch doesn't have are kept.
+    that the batch doesn't have are kept.  Of a batch's rows for one entry the
+    greatest content counts.
     """
     files = old.select("target_file").distinct().withColumn("known_file", F.lit(True))
     a = old.select("target_file", "entry_slug", F.col("content_markdown").alias("before"))
-    b = new.select("target_file", "entry_slug", F.col("content_markdown").alias("after")).dropDuplicates(["target_file", "entry_slug"])
+    b = new.select("target_file", "entry_slug", "content_markdown").groupBy("target_file", "entry_slug").agg(F.max("content_markdown").alias("after"))
     both = a.join(b, ["target_file", "entry_slug"], "full_outer").join(files, "target_file", "left")
     same = F.rtrim("before") == F.rtrim("after")
     action = (

@@ -64,8 +64,14 @@ def vector_top_k(vectors: DataFrame, query: Column, k: int) -> DataFrame:
 
 
 def merge(keyword: DataFrame, semantic: DataFrame, k: int | None) -> DataFrame:
-    """Both scores of each item: metadata plus the better of words and vector; items of vectors alone join in."""
-    both = keyword.join(semantic.select("ref", "vector_score"), "ref", "full_outer")
+    """Both scores of each item: metadata plus the better of words and vector; items of vectors alone join in.
+
+    ``semantic`` may have title, project and kind too, for items that no word found.
+    """
+    told = [c for c in ("title", "project", "kind") if c in semantic.columns]
+    both = keyword.join(semantic.select("ref", "vector_score", *(F.col(c).alias(f"_{c}") for c in told)), "ref", "full_outer")
+    for c in told:
+        both = both.withColumn(c, F.coalesce(c, f"_{c}")).drop(f"_{c}")
     semantic_score = F.coalesce(numbers.half_up(F.col("vector_score") * 100), F.lit(0)).cast("long")
     alone = F.col("metadata_score").isNull()
     shown = F.format_string("%.3f", "vector_score")
@@ -75,8 +81,9 @@ def merge(keyword: DataFrame, semantic: DataFrame, k: int | None) -> DataFrame:
     total = F.greatest(F.lit(0), F.coalesce("metadata_score", F.lit(0)) + F.greatest(F.coalesce("keyword_score", F.lit(0)), semantic_score))
     rows = both.select(
         "ref", F.coalesce("source_type", F.regexp_extract("ref", "^([^:]*):", 1)).alias("source_type"), F.coalesce("title", F.regexp_extract("ref", "^[^:]*:(.*)$", 1)).alias("title"),
-        "project", F.coalesce("metadata_score", F.lit(0)).alias("metadata_score"), F.coalesce("keyword_score", F.lit(0)).alias("keyword_score"),
+        "project", "kind", "content", F.coalesce("metadata_score", F.lit(0)).alias("metadata_score"), F.coalesce("keyword_score", F.lit(0)).alias("keyword_score"),
         semantic_score.alias("semantic_score"), total.alias("total_score"), why.alias("why"),
+        F.struct(F.coalesce("overlap", F.array().cast("array<string>")).alias("matched_tokens"), F.col("vector_score"), alone.alias("semantic_only")).alias("audit"),
     )
     if k is None:
         return rows
@@ -104,6 +111,13 @@ class Recall:
     seeds: DataFrame | None = None
     steps: list[str] = field(default_factory=list)
 
+    def trace(self) -> dict:
+        """How the items were found: steps, what the scores are of, and the filters."""
+        found = self.status == "ok"
+        scoring = ["metadata (project, kind, source)", "words in common (title, summary, content)"]
+        scoring += ["cosine of query and item vectors", "metadata + the larger of words and vectors"] if found else ["no vectors: ranked by words"]
+        return {"steps": self.steps, "scoring": scoring, "filters": {"projects": self.project_hints, "least_total": 1, "least_similarity": LEAST_SIMILARITY if found else None}, "status": self.status}
+
 
 def recall(query: str, candidates: DataFrame, promotions: DataFrame, k: int = 5, catalogue: DataFrame | None = None, provider: Provider | None = None) -> Recall:
     """The k best items for a query.  The stub's seeds are taken after ranking."""
@@ -134,6 +148,8 @@ def recall(query: str, candidates: DataFrame, promotions: DataFrame, k: int = 5,
     if ready.isEmpty():
         return Recall(merge(ranked, none, k), query, plain, hints, "empty_corpus", None, [*steps, "semantic_slot_reserved"])
     near = vector_top_k(provider.vectors.join(ready, "ref", "left_semi"), F.array(*(F.lit(float(x)) for x in provider.query_vector)), k)
+    items = corpus(candidates, promotions).groupBy("ref").agg(*(F.min(c).alias(c) for c in ("title", "project", "kind")))
+    near = near.join(items, "ref", "left")
     return Recall(merge(ranked, near, k), query, plain, hints, "ok", near, [*steps, "semantic_embedding", "cosine_similarity", "score_merge"])
 
 

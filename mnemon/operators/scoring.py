@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from mnemon import lexicon as L
 from mnemon.functions import numbers, text
 
-REASONS = (*L.Lexicon.__dataclass_fields__["weights"].default_factory(), "automationSession", "userLedSession")
-
-
 def automation(lexicon: L.Lexicon = L.DEFAULT) -> Column:
     """Whether nobody talks: marks of scheduled runs, a known directory, or far more answers than questions."""
     others = F.col("n_assistant") + F.col("n_system") + F.col("n_tool")
@@ -98,9 +95,10 @@ _ANSWER = (
 
 
 def check_answers(answers: DataFrame) -> DataFrame:
-    """(session_id, answer) in JSON to checked fields; ``error`` where there is no valid score."""
+    """(session_id, answer) in JSON to checked fields; ``error`` where there is no valid score (the call's own, if ``answers`` has one)."""
     a = F.from_json("answer", _ANSWER)
-    rows = answers.select("session_id", a.alias("a"))
+    said = F.col("error") if "error" in answers.columns else F.lit(None).cast("string")
+    rows = answers.select("session_id", a.alias("a"), said.alias("said"))
     score = F.col("a.importanceScore")
     fits = score.isNotNull() & (score >= 0) & (score <= 100)
     kinds = F.filter("a.candidateKinds", lambda k: k.isin(*L.KINDS))
@@ -116,7 +114,7 @@ def check_answers(answers: DataFrame) -> DataFrame:
         F.when(fits, F.left(F.coalesce("a.summary", F.lit("")), F.lit(280))).alias("summary"),
         F.when(fits, F.left(F.coalesce("a.reasoning", F.lit("")), F.lit(500))).alias("reasoning"),
         F.when(fits, reasons).alias("reasons"),
-        F.when(~F.coalesce(fits, F.lit(False)), F.lit("invalid importance score")).alias("error"),
+        F.when(~F.coalesce(fits, F.lit(False)), F.coalesce("said", F.lit("invalid importance score"))).alias("error"),
     )
 
 

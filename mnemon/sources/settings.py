@@ -73,13 +73,17 @@ class Settings:
     dry_run: bool = True
     provider: str = "local"
     model: str = "stub-v1"
+    scorer_url: str = ""
+    scorer_key: str = ""
+    embed_url: str = ""
     known_projects: list[dict] = field(default_factory=list)
 
     @classmethod
     def load(cls, argv: list[str], env: dict[str, str] | None = None, env_file: str | None = None) -> Settings:
         """Arguments, then the environment, then the .env file, then defaults."""
         args, env = parse_args(argv), dict(os.environ) if env is None else env
-        kept = read_env_file(env_file) if env_file else {}
+        env_file = env_file or str(args.get("env-file") or ".env")
+        kept = read_env_file(env_file)
 
         def pick(name: str, default: object) -> object:
             variable = "MNEMON_" + name.upper().replace("-", "_")
@@ -95,6 +99,7 @@ class Settings:
             text("sessions", base.sessions), root, text("out", base.out), text("date", base.date), text("time-zone", base.time_zone), to_positive(pick("limit", None)),
             "llm" if text("scorer", base.scorer) == "llm" else "heuristic", to_bool(pick("write-promotions", None), base.write_promotions),
             to_bool(pick("purge-plan", None), base.purge_plan), to_bool(pick("dry-run", None), base.dry_run), text("provider", base.provider), text("model", base.model),
+            text("scorer-url", base.scorer_url), text("scorer-key", base.scorer_key), text("embed-url", base.embed_url),
             known_projects(root) if root else [],
         )
 

@@ -85,12 +85,21 @@ def in_window(sessions: DataFrame, start: Column, end: Column, last: str = "last
 
 
 def first_files(sessions: DataFrame, limit: int | None) -> DataFrame:
-    """The first ``limit`` sessions by file name, with ``files_scanned``: files opened until then."""
+    """The first ``limit`` sessions by file name."""
     if limit is None:
         return sessions
     return sessions.orderBy("file_name").limit(limit)
 
 
+def files_scanned(headers: DataFrame, picked: DataFrame, limit: int | None) -> int:
+    """How many files had to be opened to find ``picked``: up to the limit's last match by name, else all."""
+    last = picked.agg(F.count(F.lit(1)).alias("n"), F.max("file_name").alias("name")).first()
+    files = headers.select("file_name").distinct()
+    if limit is not None and last["n"] >= limit:
+        files = files.where(F.col("file_name") <= last["name"])
+    return files.count()
+
+
 def latest_of_each(sessions: DataFrame) -> DataFrame:
     """Of sessions with one id, that with the last message."""
     order = Window.partitionBy("session_id").orderBy(F.desc_nulls_last("last_message_at"), "file_name")
