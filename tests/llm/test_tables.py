@@ -18,6 +18,19 @@ def test_a_row_each(spark, name):
     assert sorted(r[0] for r in rows.select(key).collect()) == sorted(r[0] for r in want.select(key).collect())
 
 
+@pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n.startswith("op")])
+def test_sql(spark, name):
+    """The whole result is what DuckDB makes of the query's SQL."""
+    import duckdb
+
+    base = duckdb.connect()
+    for table in ("documents", "pages", "embeddings"):
+        base.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
+    want = base.sql(entry.oracle_sql()[name])
+    got = entry.queries()[name](spark, DATA).select(*want.columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
+
+
 def test_language_held_out(spark):
     rows = entry.queries()["op3_language_id"](spark, "/root/testdata/sf0.01").where("held_out").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows) > 100
