@@ -5,12 +5,16 @@ signs keep the vectors best (about the origin, as cosines are): codes of one bit
 chunks, and each chunk is a table: two vectors meet where a chunk is equal.
 With the threshold's angle a chunk of b bits agrees with probability
 (1 - angle/pi)^b, which sets how many tables (and, beyond one code's chunks,
-how many more rotations) reach the target recall.  Vectors that meet are
-compared by cosine in double precision.
+how many more rotations) reach the target recall.
 
-Equal vectors are one class.  A bucket is compared in blocks of bounded size,
-each pair in the first table where it meets, and gives each vector its number
-of links and a spanning forest, never its pairs.
+Only ids and codes go to the tables.  A bucket is compared in blocks of bounded
+size, each pair in the first table where it meets, by the Hamming distance of
+whole codes; what is near enough is reranked by cosine in double precision with
+the original vectors.  Of a block with few near pairs these are fetched by pair.
+A block with many (a large group of near copies) is fetched as a whole and gives
+each vector its number of links and a spanning forest, never its pairs.
+
+Equal vectors are one class.
 """
 
 from __future__ import annotations
@@ -31,6 +35,10 @@ from mnemon.llm.shared import sampled, shuffle_partitions, stored
 SAMPLE = 20_000
 #: Vectors of a bucket that are compared at once, on each side.
 BLOCK = 1024
+#: Vectors that a bucket has on average, as a power of two.
+BUCKET_BITS = 6
+#: Near pairs for each vector of a block from which on it is fetched as a whole.
+DENSE = 4
 
 
 @dataclass
@@ -40,12 +48,14 @@ class Quantiser:
     rotations: list[np.ndarray]
     bits: int
     tables: int
+    near: int
 
     @classmethod
     def fit(cls, sample: np.ndarray, n: int, threshold: float, recall: float, seed: int = 3, rounds: int = 30) -> Quantiser:
         d = sample.shape[1]
-        bits = min(d, 30, max(8, math.ceil(math.log2(max(2, n)))))
-        meet = (1 - math.acos(threshold) / math.pi) ** bits
+        bits = min(d, 30, max(8, math.ceil(math.log2(max(2, n))) - BUCKET_BITS))
+        apart = math.acos(threshold) / math.pi
+        meet = (1 - apart) ** bits
         tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
         # planes through the origin: the share of equal signs then follows from the angle, also where one group is most of the data
         x = sample
@@ -62,19 +72,24 @@ class Quantiser:
                 left, _, right = np.linalg.svd(b.T @ v)
                 r = (left @ right).T
             rotations.append(basis @ r)
-        return cls(rotations, bits, tables)
+        whole = c * len(rotations)
+        # four deviations beyond what vectors at the threshold have
+        return cls(rotations, bits, tables, math.ceil(whole * apart + 4 * math.sqrt(whole * apart * (1 - apart)) + 1))
+
+    def codes(self, unit: np.ndarray) -> np.ndarray:
+        """Each vector's signs under all rotations, one bit each."""
+        return np.packbits(np.concatenate([unit @ r >= 0 for r in self.rotations], axis=1), axis=1)
 
-    def keys(self, unit: np.ndarray) -> np.ndarray:
-        """One key a table of each vector of length one."""
-        out = np.empty((len(unit), self.tables), dtype=np.int32)
+    def keys(self, codes: np.ndarray, tables: int | None = None) -> np.ndarray:
+        """One key a table (of the first ``tables``) of each code."""
+        tables = self.tables if tables is None else tables
+        signs = np.unpackbits(codes, axis=1)
+        c = self.rotations[0].shape[1]
         power = 1 << np.arange(self.bits)
-        table = 0
-        for r in self.rotations:
-            signs = (unit @ r >= 0).astype(np.int64)
-            for low in range(0, r.shape[1] - self.bits + 1, self.bits):
-                if table < self.tables:
-                    out[:, table] = signs[:, low : low + self.bits] @ power
-                    table += 1
+        out = np.empty((len(codes), tables), dtype=np.int32)
+        for t in range(tables):
+            low = t // (c // self.bits) * c + t % (c // self.bits) * self.bits
+            out[:, t] = signs[:, low : low + self.bits] @ power
         return out
 
 
@@ -96,17 +111,50 @@ def forest(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(x: np.ndarray, keys: np.ndarray, table: int, left: np.ndarray | None, threshold: float) -> np.ndarray:
-    """Which rows link, of pairs that meet first in this table (and across blocks, if ``left`` tells the sides)."""
-    linked = x @ x.T >= threshold
+def _only_here(linked: np.ndarray, keys: np.ndarray, left: np.ndarray | None) -> np.ndarray:
+    """Of the pairs in ``linked`` those that meet in no table before (``keys`` are those tables') and, if ``left`` tells the sides, across blocks."""
     np.fill_diagonal(linked, False)
-    for t in range(table):
+    for t in range(keys.shape[1]):
         linked &= keys[:, t][:, None] != keys[:, t][None, :]
     if left is not None:
         linked &= left[:, None] != left[None, :]
     return linked
 
 
+def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Sorted rows by their first ``n_keys`` columns; each group is a bucket's blocks, so bounded."""
+    at, held = None, []
+    for batch in batches:
+        if batch.num_rows:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(n_keys)], axis=1)
+            cut = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for low, high in zip(cut, cut[1:]):
+                key = tuple(keys[low].tolist())
+                if key != at:
+                    if held:
+                        yield at, pa.concat_batches(held)
+                    at, held = key, []
+                held.append(batch.slice(low, high - low))
+    if held:
+        yield at, pa.concat_batches(held)
+
+
+def _bytes(column: pa.Array) -> np.ndarray:
+    """Binary cells of one length as rows of bytes."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(len(column), -1)
+
+
+_FOUND = "kind byte, a long, b long, c long, table int, bucket int, low int, high int, mine int"
+
+
+def _found(kind: int, *columns) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 3 + [pa.int32()] * 5
+    n = len(columns[0])
+    arrays = [pa.nulls(n, k) if i >= len(columns) or columns[i] is None else pa.array(np.broadcast_to(columns[i], n), k) for i, k in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *arrays], ["kind", "a", "b", "c", "table", "bucket", "low", "high", "mine"])
+
+
 def _one_length(vectors: DataFrame, threshold: float, recall: float, sample: int) -> DataFrame:
     """(vec, links, root) of each class of equal vectors (vec, n, v) of one length."""
     spark = vectors.sparkSession
@@ -115,60 +163,71 @@ def _one_length(vectors: DataFrame, threshold: float, recall: float, sample: int
     if not rows:
         rows = vectors.select("v").limit(1).collect()
     shared = spark.sparkContext.broadcast(Quantiser.fit(_units(np.array([r[0] for r in rows])), n, threshold, recall))
+    tables = shared.value.tables
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                raw = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
-                keys = shared.value.keys(_units(raw))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array([r.tobytes() for r in raw.astype(np.float32)], pa.binary()), pa.array(list(keys), pa.list_(pa.int32()))], ["vec", "n", "raw", "keys"]
-                )
+                codes = shared.value.codes(_units(batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(list(shared.value.keys(codes)), pa.list_(pa.int32()))], ["vec", "code", "keys"])
 
-    coded = stored(vectors.select("vec", "n", "v").mapInArrow(code, "vec long, n long, raw binary, keys array<int>"), "codes")
+    coded = stored(vectors.select("vec", "v").mapInArrow(code, "vec long, code binary, keys array<int>"), "codes")
     met = coded.select(F.posexplode("keys").alias("table", "bucket")).groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    unfolded = coded.select("vec", "n", "raw", "keys", F.posexplode("keys").alias("table", "bucket")).join(met, ["table", "bucket"])
+    unfolded = coded.select("vec", "code", F.posexplode("keys").alias("table", "bucket")).join(met, ["table", "bucket"])
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64(F.lit("block"), "vec"), blocks.cast("long")).cast("int")
     spread = unfolded.withColumns({"mine": mine, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
     spread = spread.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
     group = ["table", "bucket", "low", "high"]
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = shared.value
+        for (table, bucket, low, high), rows in _groups(batches, 4):
+            if rows.num_rows < 2:
+                continue
+            vec, codes, side = rows.column(4).to_numpy(), _bytes(rows.column(5)), rows.column(6).to_numpy()
+            signs = 1 - 2 * np.unpackbits(codes, axis=1)[:, : q.rotations[0].shape[1] * len(q.rotations)].astype(np.float32)
+            close = signs.shape[1] - signs @ signs.T <= 2 * q.near
+            close = np.triu(_only_here(close, q.keys(codes, table), None if low == high else side == low))
+            x, y = np.nonzero(close)
+            if len(x) > DENSE * len(vec):
+                some = np.flatnonzero(close.any(0) | close.any(1))
+                yield _found(1, vec[some], None, None, table, bucket, low, high, side[some])
+            elif len(x):
+                yield _found(0, vec[x], vec[y])
+
+    dealt = spread.select(*group, "vec", "code", "mine").repartition(shuffle_partitions(spark), *group).sortWithinPartitions(*group)
+    candidates = stored(dealt.mapInArrow(near, _FOUND), "near")
+    whole = vectors.select("vec", "n", "v")
+    pairs = candidates.where("kind = 0").select("a", "b").join(whole.toDF("a", "na", "va"), "a").join(whole.toDF("b", "nb", "vb"), "b")
+
+    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (_units(batch.column(i).flatten().to_numpy().reshape(batch.num_rows, -1)) for i in (4, 5))
+                linked = np.flatnonzero((x * y).sum(1) >= threshold)
+                a, b, na, nb = (batch.column(i).to_numpy()[linked] for i in range(4))
+                yield _found(0, np.concatenate((a, b)), np.concatenate((nb, na)))
+                yield _found(1, a, b)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64())])
-        held: list[tuple] = []
-        at = None
-
-        def flush() -> list[tuple[int, int, int]]:
-            if len(held) < 2:
-                return []
-            x = _units(np.frombuffer(b"".join(h[2] for h in held), np.float32).reshape(len(held), -1))
-            left = None if at[2] == at[3] else np.array([h[4] == at[2] for h in held])
-            linked = _compare(x, np.array([h[3] for h in held]), at[0], left, threshold)
+        q = shared.value
+        for (table, _, low, high), rows in _groups(batches, 4):
+            vec, side, codes, many = (rows.column(4).to_numpy(), rows.column(5).to_numpy(), _bytes(rows.column(6)), rows.column(7).to_numpy())
+            x = _units(rows.column(8).flatten().to_numpy().reshape(len(vec), -1))
+            linked = _only_here(x @ x.T >= threshold, q.keys(codes, table), None if low == high else side == low)
             some = np.flatnonzero(linked.any(1))
-            if not len(some):
-                return []
-            linked = linked[np.ix_(some, some)]
-            ids, many = np.array([held[i][0] for i in some]), np.array([held[i][1] for i in some])
-            root = forest(linked)
-            out = [(0, int(i), int(c)) for i, c in zip(ids, linked @ many)]
-            return out + [(1, int(i), int(ids[r])) for i, r in zip(ids, root) if ids[r] != i]
-
-        out: list[tuple[int, int, int]] = []
-        for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns))
-            for table, bucket, low, high, vec, n, raw, keys, mine in rows:
-                if (table, bucket, low, high) != at:
-                    out += flush()
-                    at, held = (table, bucket, low, high), []
-                held.append((vec, n, raw, keys, mine))
-            yield pa.RecordBatch.from_pylist([dict(zip(kind.names, r)) for r in out], schema=kind)
-            out = []
-        out = flush()
-        yield pa.RecordBatch.from_pylist([dict(zip(kind.names, r)) for r in out], schema=kind)
-
-    dealt = spread.select(*group, "vec", "n", "raw", "keys", "mine").repartition(shuffle_partitions(spark), *group).sortWithinPartitions(*group)
-    found = stored(dealt.mapInArrow(compare, "kind byte, a long, b long"), "links")
+            if len(some):
+                linked, vec = linked[np.ix_(some, some)], vec[some]
+                root = forest(linked)
+                yield _found(0, vec, linked @ many[some])
+                yield _found(1, vec[root != np.arange(len(vec))], vec[root[root != np.arange(len(vec))]])
+
+    dense = candidates.where("kind = 1").select(*group, F.col("a").alias("vec"), "mine")
+    dense = dense.join(coded.select("vec", "code"), "vec").join(whole, "vec").select(*group, "vec", "mine", "code", "n", "v")
+    dense = dense.repartition(shuffle_partitions(spark), *group).sortWithinPartitions(*group)
+    links = pairs.select("a", "b", "na", "nb", "va", "vb").mapInArrow(rerank, _FOUND).unionByName(dense.mapInArrow(compare, _FOUND))
+    found = stored(links.select("kind", "a", "b"), "links")
     links = found.where("kind = 0").groupBy(F.col("a").alias("vec")).agg(F.sum("b").alias("links"))
     roots = components(found.where("kind = 1").select("a", "b"))
     out = vectors.select("vec", "n").join(links, "vec", "left").join(roots.withColumnRenamed("node", "vec"), "vec", "left")
@@ -181,15 +240,17 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     Vectors that are null, empty, zero, or hold null or non-finite components
     link with nothing, as do vectors of different lengths with one another.  Of
     rows that repeat a key with one vector each counts as a vector of its own;
-    a null key names no component unless all of a component's are null.
+    a null key names no component unless all of a component's are null.  Vectors
+    of doubles are kept as such; an empty table gives no rows.
     """
-    rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v"))
+    element = "float" if df.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast(f"array<{element}>").alias("v"))
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("ok", F.coalesce(F.col("v").isNotNull() & sound, F.lit(False)))
-    rows = rows.withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x + F.lit(0.0).cast("float"))))  # -0.0 is 0.0
-    # a class of equal vectors goes by a hash of all of it
-    rows = rows.withColumn("vec", F.when(F.col("ok"), F.xxhash64("v")))
-    classes = stored(rows.where("ok").groupBy("vec").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v")), "classes")
+    rows = rows.withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x + F.lit(0.0).cast(element))))  # -0.0 is 0.0
+    # classes are told apart by the whole vector; the numbers that name them are written down once
+    classes = rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    classes = stored(classes.withColumn("vec", F.monotonically_increasing_id()).select("vec", "least", "n", "v"), "classes")
     lengths = [r[0] for r in classes.select(F.size("v").alias("d")).distinct().collect()]
     each = None
     for d in sorted(lengths):
@@ -199,8 +260,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         each = classes.select("vec", F.lit(0).cast("long").alias("links"), F.col("vec").alias("root"))
     each = stored(each.join(classes.select("vec", "least"), "vec"), "roots")
     least = each.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = each.join(least, "root").select("vec", "links", "component_id")
-    joined = rows.select("vec_id", "vec").join(named, "vec", "left")
+    named = stored(each.join(least, "root").select("vec", "links", "component_id"), "named")
+    # a class may have most rows: a join that Spark may split
+    joined = rows.select("vec_id", "v").join(classes.select("v", "vec"), "v", "left").drop("v").join(named, "vec", "left")
     component = F.coalesce("component_id", "vec_id")
     return joined.select(
         F.col("vec_id").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

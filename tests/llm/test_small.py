@@ -370,6 +370,18 @@ def test_embedding_blocks(spark, monkeypatch):
     assert np.mean([r.n_links for r in got]) > 0.97 * 89 and max(r.n_links for r in got) <= 89 and {r.component_id for r in got} == {0}
 
 
+def test_embedding_doubles(spark):
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=12)
+    w = rng.normal(size=12)
+    w -= (w @ v) / (v @ v) * v
+    at = lambda c: (v / np.linalg.norm(v) * c + w / np.linalg.norm(w) * np.sqrt(1 - c * c)).tolist()
+    # the cosine to the first is 0.95 but for what floats can't tell
+    rows = [(1, v.tolist()), (2, at(0.95 + 1e-9)), (3, (1e39 * v).tolist()), (4, (1e-300 * v).tolist()), (5, at(0.95 - 1e-9)), (6, [1e39] * 12), (7, [1e39] * 11 + [1e39 * (1 + 1e-9)]), (7, [1e39] * 12)]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), recall=0.9999).collect())
+    assert got == [(1, 3, 1), (2, 4, 1), (3, 3, 1), (4, 3, 1), (5, 1, 1), (6, 2, 6), (7, 2, 6), (7, 2, 6)]
+
+
 # --- personal data ----------------------------------------------------------------------------------------------
 
 E_, I_, C_, P_ = (re.compile(p) for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"))
