@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from mnemon.llm import components, decontam, embed_dedup, jaccard_join, langid, pieceset, pii, shared, sharding, toxicity, url_filter, warc
+from mnemon.llm import components, decontam, embed_dedup, jaccard_join, langid, pieceset, pii, shared, sharding, textscan, toxicity, url_filter, warc
 from mnemon.llm.queries import PIECE_MODEL
 from mnemon.llm.textscan import text_bytes
 
@@ -223,6 +223,41 @@ def test_passages_brute(spark, odd, empty):
     assert decontam.find_passages(odd, table).count() == 0 and decontam.find_passages(empty, table).count() == 0 and decontam.drop_contaminated(odd, table.limit(0)).count() == odd.count()
 
 
+@pytest.mark.parametrize("n", [4, 5, 8, 20, 60, 150])
+def test_keys_recall_by_size(n):
+    """Windows with the most edits allowed share a key with their item; most others don't."""
+    rng, search = np.random.default_rng(n), decontam.Search()
+    words = textscan.mix(np.arange(1, 20_001, dtype=np.uint64))
+    share = 1 / np.arange(1, 20_001)
+    draw = lambda: words[rng.choice(20_000, n, p=share / share.sum())]
+    items, near, other = [draw() for _ in range(400)], [], [draw() for _ in range(400)]
+    for item in items:
+        x = list(item)
+        for _ in range(search.edits(n)):
+            at = rng.integers(len(x))
+            x[at : at + 1] = [[], [words[rng.integers(20_000)]], [x[at], words[rng.integers(20_000)]]][rng.integers(3)]
+        near.append((x + list(draw()))[:n])
+    keys = [decontam.cgk_keys(np.array(x, dtype=np.uint64), np.full(400, n), search) for x in (items, near, other)]
+    assert (keys[0] == keys[1]).any(1).mean() >= 0.97 and (keys[0] == keys[2]).any(1).mean() <= 0.3
+
+
+def test_very_long_item(spark):
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    long = [rng.choice(vocabulary) for _ in range(12_000)]
+    copy = list(long)
+    for _ in range(200):
+        copy[rng.randrange(len(copy))] = "changed"
+    short = [" ".join(rng.choice(vocabulary) for _ in range(12)) for _ in range(300)]
+    table = spark.createDataFrame([(0, " ".join(long))] + [(1 + i, t) for i, t in enumerate(short)] + [(5, short[4])], "item_id long, text string")
+    docs = [(1, "before " + " ".join(copy) + " after", "en"), (2, " ".join(long[:6000]), "en"), (3, "a b " + short[4] + " c", "en"), (4, " ".join(rng.choice(vocabulary) for _ in range(15_000)), "en")]
+    got = sorted((r.doc_id, r.item_id, r.distance) for r in decontam.find_passages(_docs(spark, docs), table).collect())
+    assert [x[:2] for x in got] == [(1, 0), (3, 5), (3, 5)] and 150 < got[0][2] <= 200
+    # one item of 100,000 words among many short ones asks for little memory
+    big = decontam.Items(list(range(2001)), [" ".join(f"x{i}" for i in range(100_000)), *(short * 7)[:2000]])
+    assert big.keys.shape[0] == 2001 and big.keys.nbytes < 4 << 20
+
+
 # --- toxicity --------------------------------------------------------------------------------------------
 
 
@@ -476,6 +511,10 @@ def test_jaccard_brute(spark, seed, monkeypatch):
     for g in range(25):
         words = _text(rng, rng.choice([1, 3, 5, 7, 12, 20, 40, 90, 200])).split()
         rows += [_edited(rng, words, rng.randint(0, max(1, len(words) // 14))) for _ in range(rng.randint(1, 9))]
+    if seed == 2:
+        monkeypatch.setattr(jaccard_join, "HOT_COPIES", 3)
+        monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+        rows += [rows[3]] * 12 + [rows[8]] * 7 + [rows[15]] * 3
     near = _text(rng, 120).split()
     rows += [_edited(rng, near, rng.randint(0, 9)) for _ in range(60)]  # a large group of near copies, some too far
     rows += [passage + " " + _text(rng, rng.randint(3, 60)) for _ in range(40)] + ["  ", "", "Same Few", "same\tfew"]
