@@ -54,6 +54,10 @@ COMMON_SHARE, COMMON_MOST = 0.002, 1 << 16
 SMALL_BUCKET = 6
 #: Parts of the universe that a pair's intersection is told by.
 GROUPS = 32
+#: Sets of that many copies or more are indexed from one document alone; of those the ones with most copies are known to all tasks.
+HOT_COPIES, HOT_MOST = 64, 1 << 16
+#: Tasks that the members of one bucket are dealt out to, and members of a bucket that meet others at once.
+SALTS, BLOCK = 8, 1024
 #: Bits of the filter of sets to verify; what it lets pass wrongly costs time only.
 FILTER_BITS = 1 << 23
 
@@ -254,17 +258,40 @@ def _common(scanned: DataFrame, total: int) -> np.ndarray:
     return np.sort(np.array(found, dtype=np.int64).view(U64))
 
 
-def _index(docs: DataFrame, text: str, k: int, t: Threshold, common: np.ndarray, parts: int) -> DataFrame:
+def _hot(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(sets with most copies, the document that speaks for each), HOT_MOST at most, sorted by set.
+
+    What isn't among them has less than 1/HOT_MOST of all documents as copies.
+    """
+    rows = classes.where((F.col("copies") >= HOT_COPIES) & F.col("least").isNotNull()).orderBy(F.desc("copies"), "cls").limit(HOT_MOST).select("cls", "least").collect()
+    found = np.array(sorted((r[0], r[1]) for r in rows), dtype=np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
+def _salted(rows: DataFrame, one_each: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined by bucket with a table of one row a bucket; a large bucket's rows are dealt out to SALTS tasks."""
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
+    every = one_each.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(every, ["bucket", "salt"], how).drop("salt")
+
+
+def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: np.ndarray, hot: tuple[np.ndarray, np.ndarray], parts: int) -> DataFrame:
     """Signatures packed by the task that they go to: 5 bytes each, by owner."""
     common = docs.sparkSession.sparkContext.broadcast(common)  # COMMON_MOST numbers at most
+    spoken = docs.sparkSession.sparkContext.broadcast(hot)  # HOT_MOST pairs at most
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, text, 2 << 20):
                 values, offsets = token_sets(piece.column(0), k)
                 keys = set_keys(values, offsets)
-                _, first = np.unique(keys, return_index=True)
-                first = np.sort(first[keys[first] != 0])
+                mine = keys != 0
+                sets, least = spoken.value
+                if len(sets):
+                    at = np.minimum(np.searchsorted(sets, keys), len(sets) - 1)
+                    mine &= (sets[at] != keys) | (least[at] == piece.column(1).to_numpy())
+                rows = np.flatnonzero(mine)
+                first = np.sort(rows[np.unique(keys[rows], return_index=True)[1]])
                 if not len(first):
                     continue
                 size = np.diff(offsets)
@@ -294,7 +321,7 @@ def _index(docs: DataFrame, text: str, k: int, t: Threshold, common: np.ndarray,
                     ["part", "sigs", "owners", "about"],
                 )
 
-    return docs.select(text).mapInArrow(pack, "part int, sigs binary, owners binary, about binary")
+    return docs.select(text, F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("doc")).mapInArrow(pack, "part int, sigs binary, owners binary, about binary")
 
 
 _FOUND = "kind byte, a long, b long, c long, d long"
@@ -473,15 +500,16 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     equal sets link.  A text without words (or null) has no shingles and links
     with nothing.  A null key never names a component, unless the row links
     with no row that has one.  Rows that repeat a key are rows of their own.
-    Tokens and sets are told apart by 64-bit hashes.
+    Tokens and sets are told apart by 64-bit hashes.  Texts are read whole, of
+    any length; an empty table gives no rows.
     """
     spark = docs.sparkSession
     scanned = stored(_scan(docs, key, text, k), "sets")
     rows = scanned.where("tok is null")
     total, tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    classes = stored(rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("least")), "classes")
+    classes = stored(rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("copies")), "classes")
     parts = max(shuffle_partitions(spark), -(-tokens // SIGNATURES_A_TASK))
-    found = stored(_buckets(_index(docs, text, k, t, _common(scanned, total), parts), parts, t), "buckets")
+    found = stored(_buckets(_index(docs, key, text, k, t, _common(scanned, total), _hot(classes), parts), parts, t), "buckets")
 
     # an entry that shares fewer signatures than any partner would is out
     viable = found.where("kind = 2").groupBy(F.col("a").alias("cls"), F.col("b").alias("code")).agg(F.sum("c").alias("n"), F.max("d").alias("need"))
@@ -493,7 +521,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     members = stored(members.join(viable, ["cls", "code"], "left_semi"), "members")
     head = members.where("code % 2 = 0").groupBy("bucket").agg(F.min(F.struct("cls", "size")).alias("head"))
     alike = lambda x, y: F.least(x, y) * t.den >= F.greatest(x, y) * t.num
-    star = members.join(head, "bucket").where((F.col("cls") != F.col("head.cls")) & alike(F.col("size"), F.col("head.size")))
+    star = _salted(members, head).where((F.col("cls") != F.col("head.cls")) & alike(F.col("size"), F.col("head.size")))
     star = star.select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b"))
     small = stored(small, "small")
 
@@ -509,7 +537,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         """The members of the buckets that hold two components or more."""
         rooted = rows.drop("root").join(root_of("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         open_ = rooted.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("bucket")
-        return stored(rooted.join(open_, "bucket", "left_semi"), name)
+        return stored(_salted(rooted, open_, "left_semi"), name)
 
     def add(more: DataFrame) -> None:
         nonlocal tried, roots
@@ -536,7 +564,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         rest = stored(rest.where(F.col("avail") * t.den >= F.col("size") * t.num), "open")
         whole = (F.col("avail") * 1_000_000 / F.col("size")).cast("long").alias("whole")
         middle = rest.where("code % 2 = 0").groupBy("bucket").agg(F.max(F.struct(whole, "cls", "size")).alias("m")).select("bucket", "m.whole", F.col("m.cls").alias("middle"), F.col("m.size").alias("m_size"))
-        met = rest.join(middle, "bucket").where(alike(F.col("size"), F.col("m_size"))).groupBy("cls").agg(F.max(F.struct("whole", "middle")).alias("to"))
+        met = _salted(rest, middle).where(alike(F.col("size"), F.col("m_size"))).groupBy("cls").agg(F.max(F.struct("whole", "middle")).alias("to"))
         met = stored(met.select("cls", F.col("to.middle").alias("middle")), "met")
         add(more.unionByName(met.where("cls <> middle").select(*ordered("cls", "middle"))))
 
@@ -556,7 +584,13 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
             # a set has met its middle already
             fresh = (x("cls") != F.coalesce(y("middle"), y("cls"))) & (y("cls") != F.coalesce(x("middle"), x("cls")))
             open_pair = (x("root") != y("root")) & alike(x("size"), y("size")) & fresh & enough
-            cross = rest.where("code % 2 = 0").alias("x").join(rest.alias("y"), "bucket").where(open_pair)
+            # a bucket's blocks meet each other one by one
+            n_blocks = rest.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+            rest = _salted(rest, n_blocks).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "cls"), F.col("blocks")))
+            other = rest.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            small_side = rest.where("code % 2 = 0").withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            small_side = small_side.withColumnRenamed("block", "own").withColumnRenamed("met", "block").withColumnRenamed("own", "met")
+            cross = small_side.alias("x").join(other.alias("y"), ["bucket", "block", "met"]).where(open_pair)
             add(cross.select(*ordered("x.cls", "y.cls")))
 
     named = classes.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
