@@ -191,8 +191,8 @@ select session_id, regexp_replace(regexp_replace(lower(m), '-+', '-', 'g'), '^-+
  '- Confidence: ', regexp_replace(regexp_replace(cast(confidence_score as varchar), '\\.0+$', ''), '(\\.\\d*[1-9])0+$', '\\1'), chr(10), '- Importance: ', cast(importance_score as varchar), chr(10), '- Last updated: {DAY}', chr(10),
  '- Session: ', session_id, chr(10), '- Sources: ', coalesce(nullif(array_to_string(source_ids[1:5], ', '), ''), 'n/a'), chr(10), '- Reasons: ', coalesce(nullif(array_to_string(reasons, ', '), ''), 'n/a'), chr(10),
  '<!-- /{P.MARK} ', entry_slug, ' -->') as content_markdown from routed""",
-    "entry_changes": """with b as (select lower(left(text, 1)) as f, cast(item_id as varchar) as e, text from benchmark), o as (select * from b where text like '%inth%'),
-n as (select * from b where text like '%er%') select coalesce(o.f, n.f) as target_file, coalesce(o.e, n.e) as entry_slug, case when n.e is null then 'keep' when coalesce(o.f, n.f) not in (select f from o) then 'append'
+    "entry_changes": """with b as (select lower(left(text, 1)) as f, cast(item_id as varchar) as e, text from benchmark), o as (select * from b where text like '%er%'),
+n as (select * from b where text like '%th%') select coalesce(o.f, n.f) as target_file, coalesce(o.e, n.e) as entry_slug, case when n.e is null then 'keep' when coalesce(o.f, n.f) not in (select f from o) then 'append'
  when o.e is null then 'merge' when n.text not like '%st%' then 'noop' else 'replace' end as action from o full join n on o.f = n.f and o.e = n.e""",
     "embedding_select": f"""with {_CAN}, sel as (select * from cand where decision in ('promote', 'defer', 'archive_only') and kind in ('project_state', 'user_preference', 'operation_rule', 'decision', 'todo', 'relationship') and length({_normalize('summary')}) >= 12),
 texts as (select *, concat_ws(chr(10), title, summary, 'Session summary: ' || summary_short, 'Reasons: ' || nullif(array_to_string(reasons, ', '), '')) as body from sel)
@@ -211,7 +211,28 @@ select ref, metadata_score, keyword_score, greatest(0, metadata_score + keyword_
     "recall_merge": f"""with {_recall_scores("'candidate'", "null", "'fact'", "0.0")}, {_NEAR}, k as (select ref, 0 as metadata_score, least(60, 12 * len(overlap)) as keyword_score from overlapped where len(overlap) > 0)
 select ref, case when k.ref is null then 'document' else 'candidate' end as source_type, cast(coalesce(metadata_score, 0) as bigint) as metadata_score, cast(coalesce(keyword_score, 0) as bigint) as keyword_score,
  cast(coalesce(floor(vector_score * 100 + 0.5), 0) as bigint) as semantic_score, cast(greatest(0, coalesce(metadata_score, 0) + greatest(coalesce(keyword_score, 0), coalesce(floor(vector_score * 100 + 0.5), 0))) as bigint) as total_score from k full join top using (ref)""",
-    "projects_first_wins": "select source as slug, doc_id as first_doc, lang as label from (select *, row_number() over (partition by source order by doc_id) as n from documents) where n = 1",
+    "projects_first_wins": "select source as slug, lang as name, 'app' as kind, source || ',' || lang || ',' || source || '-x' as aliases, 'active' as status from (select *, row_number() over (partition by source order by doc_id) as n from documents) where n = 1",
+    "candidate_project_link": """select 'k' || doc_id as candidate_id, 'p' || slug as project_id, 'inherited' as link_source, c as confidence_score from (
+select doc_id, source as slug, case when n_chars % 10 = 9 then 0.9::double else 0.95::double end as c from documents union all select doc_id, lang, 0.9::double from documents)""",
+    "promotion_route_projects": """with c as (select item_id, ['project_state', 'user_preference', 'decision', 'operation_rule', 'fact', 'relationship', 'todo', 'other'][item_id % 8 + 1] as kind,
+case when item_id // 8 % 2 = 0 then 'memory/projects/proj-' || (item_id % 3) || '.md' end as p from benchmark)
+select item_id, kind, '/m/' || case kind when 'project_state' then coalesce(p, 'MEMORY.md') when 'user_preference' then 'MEMORY.md' when 'operation_rule' then 'MEMORY.md' when 'decision' then coalesce(p, 'memory/decisions/log.md')
+ when 'relationship' then 'memory/people/relationships.md' when 'todo' then coalesce(p, 'memory/projects/todos.md') else 'memory/inbox.md' end as target_file,
+case kind when 'project_state' then if(p is null, '## Active Projects', '## Snapshot') when 'user_preference' then '## Stable Preferences' when 'operation_rule' then '## Operational Rules'
+ when 'decision' then if(p is null, '## Decisions', '## Important Decisions') when 'relationship' then '## Relationships' when 'todo' then if(p is null, '## Pending todos', '## Active Todos') else '## Pending review' end as target_section,
+if(kind in ('fact', 'other'), 'append', 'merge') as promotion_mode from c""",
+    "default_lexicon_score": """with b as (select conv_id, conv_id % 6 as k, count(*) as n, count(*) filter (where role = 'user') as u, count(*) filter (where role in ('assistant', 'system', 'tool')) as o from conversations group by conv_id),
+r as (select *, (u = 0 and o > 0) or (u > 0 and o >= 4 * u) as auto, round(u / greatest(n, 1), 2) as ratio,
+ 25 * (k in (0, 1, 2, 3))::int + 20 * (k in (0, 1, 3))::int + 15 * (k = 1)::int + 15 * (k = 2)::int + 10 * (k = 2)::int + 10 * (n >= 8)::int + 5 * (k = 3)::int + 10 * (k = 4)::int as raw from b),
+c as (select *, case when auto then least(raw, 34) when ratio < 0.2 then least(raw, 49) else raw end as score from r)
+select cast(conv_id as varchar) as session_id, cast(raw as integer) as raw_score, cast(score as integer) as importance_score, case when score >= 75 then 'critical' when score >= 50 then 'high' when score >= 25 then 'medium' else 'low' end as importance_band,
+case when score >= 60 then 'promote' when score >= 35 then 'defer' when score >= 15 then 'archive_only' else 'reject' end as promotion_decision,
+array_to_string(list_filter([if(k in (0, 1, 2, 3), 'explicitMemorySignal', null), if(k in (0, 1, 3), 'longTermProjectSignal', null), if(k = 1, 'decisionMadeSignal', null), if(k = 2, 'userPreferenceSignal', null), if(k = 2, 'actionableFollowupSignal', null),
+ if(n >= 8, 'recurrenceSignal', null), if(k = 3, 'noveltySignal', null), if(auto, 'automationSession', null), if(ratio >= 0.2, 'userLedSession', null)], lambda x: x is not null), ',') as reasons,
+case k when 0 then 'operation_rule' when 1 then 'decision' when 2 then 'user_preference' when 4 then 'project_state' else 'fact' end as kinds from c""",
+    "recall_corpus": f"""select 'candidate:' || printf('%012d', doc_id) as ref, 'candidate' as source_type, 't' || doc_id as title, {_normalize("concat_ws(chr(10), 't' || doc_id, left(text, 80))")} as content,
+if(doc_id % 2 = 0, source, null) as project, 'fact' as kind, cast((n_chars % 11) / 10 as double) as confidence, n_chars % 101 as importance from documents where lang <> 'de' or lang is null
+union all select 'promotion:' || item_id, 'promotion', 'entry', {_normalize("concat_ws(chr(10), 'entry', text)")}, 'p' || item_id, 'decision', 1.0, 100 from benchmark""",
     "session_project_link": """with h as (select doc_id, source as slug, cast(n_chars % 10 as double) / 10 as c, true as p from documents union all select doc_id, lang, 0.9, lang = source from documents)
 select 's' || cast(doc_id as varchar) as session_id, 'p' || slug as project_id, 'inferred' as link_source, c as confidence_score, p as primary_project from h where c >= 0.85 and slug in (select source from documents)""",
     "archive_upsert": "select o_orderkey, 'old' as version, o_totalprice from orders where o_orderstatus <> 'F' and o_orderpriority not like '1%' union all select o_orderkey, 'new', o_totalprice + 1 from orders where o_orderpriority like '1%'",
@@ -219,7 +240,7 @@ select 's' || cast(doc_id as varchar) as session_id, 'p' || slug as project_id,
 select 'unique key' as rule, count(*) as n from (select conv_id, seq_no from r group by all having count(*) > 1) union all
 select 'values of role', count(*) from r where role not in ('system', 'developer', 'user', 'assistant', 'tool') union all select 'session_id in sessions', count(*) from r where conv_id not in (select conv_id from conversations where turn >= 3)) select 'messages' as "table", rule, n from v where n > 0""",
     "archive_maps": f"with {_SCO} select session_id, case when importance_band = 'critical' then 'high' else importance_band end as band, case when length(session_id) % 2 = 0 then 'discord' else 'cli' end as channel, case promotion_decision when 'promote' then 'promoted' when 'defer' then 'review_later' when 'archive_only' then 'archived_only' else 'none' end as status from scored",
-    "archive_messages": "select 's' || cast(conv_id as varchar) as session_id, cast(turn + 1 as integer) as seq_no, case when role in ('system', 'developer', 'user', 'assistant', 'tool') then role else 'assistant' end as role, length(text) as char_count, 'unknown' as sensitivity from conversations where conv_id in (select conv_id from conversations where role = 'system')",
+    "archive_messages": "select 's' || cast(conv_id as varchar) as session_id, cast(turn + 1 as integer) as seq_no, case when role in ('system', 'developer', 'user', 'assistant', 'tool') then role else 'assistant' end as role, length(text) as char_count, 'unknown' as sensitivity from conversations",
     "row_count_audit": """select 'documents' as "table", (select count(*) from documents) as rows_requested, (select count(*) from documents where lang = 'en') as rows_returned union all select 'benchmark', (select count(*) from benchmark), (select count(*) from benchmark)
 union all select 'conversations', (select count(*) from conversations), 0""",
     "session_overview": "select cast(o_orderkey as varchar) as id, case when day(o_orderdate) <= 20 then cast(cast(o_orderdate as date) as varchar) end as job_date, case when day(o_orderdate) <= 20 then 'archiving' end as job_status from orders",

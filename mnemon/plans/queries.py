@@ -103,6 +103,15 @@ def heuristic_score(spark: SparkSession, d: str) -> DataFrame:
     return s.select("session_id", "raw_score", "importance_score", "importance_band", "promotion_decision", F.array_join("reasons", ",").alias("reasons"), F.array_join("candidate_kinds", ",").alias("kinds"), "retention_class", "summary_short")
 
 
+def default_lexicon_score(spark: SparkSession, d: str) -> DataFrame:
+    """The default lexicon: first messages get one of six endings in its language."""
+    endings = ("앞으로 이 규칙을 기억해 memory.md", "supabase 아키텍처 확정", "선호 좋아 다음 단계 runner", "Dream memory 자아", "프로젝트 구현 설계 정리 삭제 보존 archive", "")
+    ending = F.element_at(F.array(*map(F.lit, endings)), (F.col("session_id").cast("long") % 6 + 1).cast("int"))
+    m = _messages(spark, d).withColumn("text", F.when(F.col("seq_no") == 1, F.concat("text", F.lit(" "), ending)).otherwise(F.col("text")))
+    s = scoring.heuristic(sessions.summarize(m).withColumn("file_name", F.lit("f")), L.DEFAULT)
+    return s.select("session_id", "raw_score", "importance_score", "importance_band", "promotion_decision", F.array_join("reasons", ",").alias("reasons"), F.array_join("candidate_kinds", ",").alias("kinds"))
+
+
 def band_decision_histogram(spark: SparkSession, d: str) -> DataFrame:
     return _scored(spark, d).groupBy("importance_band", "promotion_decision", "scorer_type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -176,6 +185,14 @@ def promotion_route(spark: SparkSession, d: str) -> DataFrame:
     return _promotions(spark, d).select("session_id", "kind", "target_file", "target_section", "promotion_mode")
 
 
+def promotion_route_projects(spark: SparkSession, d: str) -> DataFrame:
+    """Items as candidates of every kind (and one unknown), half of them with a project."""
+    n = F.col("item_id")
+    kind = F.element_at(F.array(*map(F.lit, (*L.KINDS, "other"))), (n % 8 + 1).cast("int"))
+    c = _table(spark, d, "benchmark").select("item_id", kind.alias("kind"), F.lit("t").alias("title"), F.when(F.floor(n / 8) % 2 == 0, F.concat(F.lit("Proj "), (n % 3).cast("string"))).alias("primary_project"), F.lit(None).cast("string").alias("primary_project_label"))
+    return promotions.route(c, "/m/").select("item_id", "kind", "target_file", "target_section", "promotion_mode")
+
+
 def entry_slug(spark: SparkSession, d: str) -> DataFrame:
     return _promotions(spark, d).select("session_id", "kind", "entry_slug")
 
@@ -185,10 +202,10 @@ def promotion_block(spark: SparkSession, d: str) -> DataFrame:
 
 
 def entry_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Items as entries, by first letter: old files have those with an "inth", a batch brings those with an "er", changed where they have a "st"."""
+    """Items as entries, by first letter: old files have those with an "er", a batch brings those with a "th", changed where they have a "st"."""
     b = _table(spark, d, "benchmark").select(F.lower(F.left("text", F.lit(1))).alias("target_file"), F.col("item_id").cast("string").alias("entry_slug"), F.col("text").alias("content_markdown"))
-    old = b.where("content_markdown like '%inth%'")
-    new = b.where("content_markdown like '%er%'").withColumn("content_markdown", F.when(F.col("content_markdown").like("%st%"), F.concat("content_markdown", F.lit("!"))).otherwise(F.col("content_markdown")))
+    old = b.where("content_markdown like '%er%'")
+    new = b.where("content_markdown like '%th%'").withColumn("content_markdown", F.when(F.col("content_markdown").like("%st%"), F.concat("content_markdown", F.lit("!"))).otherwise(F.col("content_markdown")))
     return promotions.entry_changes(old, new).select("target_file", "entry_slug", "action")
 
 
@@ -220,6 +237,21 @@ def recall_lexical_topk(spark: SparkSession, d: str) -> DataFrame:
     return recall.batch_overlap(docs, asked, 5)
 
 
+def recall_corpus(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as candidates (German ones rejected) and items as promotions."""
+    n = F.col("doc_id")
+    c = _table(spark, d, "documents").select(
+        F.format_string("%012d", n).alias("content_fingerprint"), F.when(F.col("lang") == "de", "reject").otherwise("defer").alias("decision"), F.concat(F.lit("t"), n).alias("title"), F.left("text", F.lit(80)).alias("summary"),
+        F.lit(None).cast("string").alias("summary_short"), F.when(n % 2 == 0, F.col("source")).alias("primary_project"), F.lit("fact").alias("kind"), (F.col("n_chars") % 11 / 10).alias("confidence_score"),
+        (F.col("n_chars") % 101).alias("importance_score"), F.lit("s").alias("session_id"),
+    )
+    p = _table(spark, d, "benchmark").select(
+        F.col("item_id").cast("string").alias("entry_slug"), F.lit("entry").alias("title"), F.col("text").alias("content_markdown"), F.concat(F.lit("/m/memory/projects/p"), "item_id", F.lit(".md")).alias("target_file"),
+        F.lit("decision").alias("kind"), F.lit("s").alias("session_id"),
+    )
+    return recall.corpus(c, p).select("ref", "source_type", "title", "content", "project", "kind", "confidence", "importance")
+
+
 def recall_scores(spark: SparkSession, d: str) -> DataFrame:
     docs = _table(spark, d, "documents").select(
         F.format_string("document:%012d", "doc_id").alias("ref"), F.when(F.col("lang") == "fr", "promotion").otherwise("candidate").alias("source_type"), F.lit("t").alias("title"),
@@ -232,11 +264,8 @@ def recall_scores(spark: SparkSession, d: str) -> DataFrame:
 
 def _near(spark: SparkSession, d: str, k: int) -> DataFrame:
     v = _table(spark, d, "embeddings").select(F.format_string("document:%012d", "vec_id").alias("ref"), F.col("embedding").alias("vector"))
-    query = v.where("ref = 'document:000000000000'").select(F.col("vector").alias("q"))
-    near = numbers.half_up(numbers.cosine(F.col("vector"), F.col("q")) * 1000) / 1000
-    rows = v.join(F.broadcast(query), F.lit(True)).select("ref", near.alias("vector_score"))  # one query row
-    top = rows.where(F.col("vector_score") > recall.LEAST_SIMILARITY).orderBy(F.desc("vector_score"), "ref").limit(k)
-    return top.withColumn("rank_hint", F.row_number().over(Window.orderBy(F.desc("vector_score"), "ref")))
+    query = v.where("ref = 'document:000000000000'").select("vector").first()  # one vector
+    return recall.vector_top_k(v, F.array(*(F.lit(float(x)) for x in query[0])), k)
 
 
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
@@ -266,9 +295,20 @@ def project_hints(spark: SparkSession, d: str) -> DataFrame:
 
 
 def projects_first_wins(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as sessions whose hint is their source; of each project the first session's label and texts count."""
+    hint = F.struct(F.lit(1).alias("rank"), F.col("source").alias("slug"), F.col("lang").alias("label"), F.lit(0.9).alias("confidence"), F.array(F.upper("lang"), F.concat("source", F.lit("-x"))).alias("matched_texts"))
+    s = _table(spark, d, "documents").select(F.format_string("%012d", "doc_id").alias("session_id"), F.array(hint).alias("project_hints"))
+    return projects.project_rows(s).select("slug", "name", "kind", F.array_join("aliases", ",").alias("aliases"), "status")
+
+
+def candidate_project_link(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as candidates of three hints; of one slug the first that is sure enough counts."""
+    hints = F.array(*(F.struct(slug.alias("slug"), c.cast("double").alias("confidence")) for slug, c in ((F.col("source"), F.col("n_chars") % 10 / 10), (F.col("lang"), F.lit(0.9)), (F.col("source"), F.lit(0.95)))))
     docs = _table(spark, d, "documents")
-    order = Window.partitionBy("source").orderBy("doc_id")
-    return docs.withColumn("n", F.row_number().over(order)).where("n = 1").select(F.col("source").alias("slug"), F.col("doc_id").alias("first_doc"), F.col("lang").alias("label"))
+    made = docs.select(F.concat(F.lit("c"), "doc_id").alias("content_fingerprint"), hints.alias("project_hints"))
+    archived = docs.select(F.concat(F.lit("c"), "doc_id").alias("content_fingerprint"), F.concat(F.lit("k"), "doc_id").alias("id"))
+    slugs = docs.select(F.col("source").alias("slug")).union(docs.select("lang")).distinct()
+    return archive.candidate_project_rows(made, archived, slugs.withColumn("id", F.concat(F.lit("p"), "slug")))
 
 
 def session_project_link(spark: SparkSession, d: str) -> DataFrame:
@@ -348,7 +388,7 @@ def archive_maps(spark: SparkSession, d: str) -> DataFrame:
 
 def archive_messages(spark: SparkSession, d: str) -> DataFrame:
     m = _messages(spark, d)
-    ids = m.where("role = 'system'").select(F.col("session_id").alias("external_session_id")).distinct().withColumn("id", F.concat(F.lit("s"), "external_session_id"))
+    ids = m.select(F.col("session_id").alias("external_session_id")).distinct().withColumn("id", F.concat(F.lit("s"), "external_session_id"))
     return archive.message_rows(m, ids).select("session_id", "seq_no", "role", "char_count", "sensitivity")
 
 
@@ -392,7 +432,7 @@ QUERIES: tuple[Query, ...] = (
     band_decision_histogram, retention_plan, llm_answers, llm_fallback, candidate_explode, candidate_gate, effective_decision, fingerprint, source_message_ids, purge_plan, purge_histogram,
     promotion_route, entry_slug, promotion_block, entry_changes, embedding_select, embedding_hash, embedding_rows, recall_lexical_topk, recall_scores, cosine_topk, recall_merge, project_hints,
     projects_first_wins, session_project_link, archive_upsert, archive_constraints, archive_maps, archive_messages, row_count_audit, session_overview, day_window_events, purge_after_events,
-    report_counts, local_vectors, archive_jobs, archive_sessions, archive_candidates, archive_promotions, cwd_signals, promotion_payloads,
+    default_lexicon_score, promotion_route_projects, recall_corpus, candidate_project_link, report_counts, local_vectors, archive_jobs, archive_sessions, archive_candidates, archive_promotions, cwd_signals, promotion_payloads,
 )
 
 
