@@ -4,10 +4,12 @@ Four base kinds (email, ip, card, phone) are exact patterns and always stand.
 Further candidates (addresses in disguise, phone numbers without a plus, social
 security numbers, bank accounts, secrets) come from loose patterns.  Labelers
 vote on every candidate and base span: its form, gazetteers of endings, country
-codes and area codes, and the words before it.  Expectation-maximisation over
-the counts of vote patterns of all documents estimates each labeler's
-reliability without labels, and a logistic span classifier, trained on the
-resulting probabilities, decides which candidates stand.
+codes, area codes and key prefixes, and the words before it.  They vote on a
+decoy a document too, an ordinary long word.  Expectation-maximisation over the
+counts of vote patterns of all documents estimates how each labeler votes on true
+and on false spans, with base spans true, decoys false and candidates unknown; a
+logistic span classifier on votes and kind, trained on the resulting
+probabilities, decides which candidates stand.
 """
 
 from __future__ import annotations
@@ -43,10 +45,12 @@ _LOOSE = {
 }
 _AT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z0-9-]{1,63}){1,4}(?![A-Za-z0-9-])", re.I)
 _DIGIT = re.compile(r"[0-9]")
+_WORD = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{8,}(?![A-Za-z0-9])")
 
 # fixed values: gazetteers
 _ENDINGS = {"com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "it", "nl", "uk", "eu", "us", "ca", "ch", "at", "info", "co"}
 _COUNTRIES = {"AT", "BE", "CH", "DE", "DK", "ES", "FI", "FR", "GB", "IE", "IT", "LU", "NL", "NO", "PL", "PT", "SE"}
+_KEY_PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-", "eyJ")
 _HINTS = {
     "email": ("mail", "contact", "write to", "@"),
     "ip": ("ip", "host", "server", "address"),
@@ -145,7 +149,7 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     elif kind == "ssn":
         form = -1 if span[:3] in ("000", "666") or span[0] == "9" or span[4:6] == "00" or span[7:] == "0000" else 1
     elif kind == "secret":
-        form = 1 if re.fullmatch("[0-9a-f]{32,64}|[A-Za-z0-9_-]{32,}", span) else 0
+        form = 1 if re.fullmatch("[0-9a-f]{32,64}|[A-Z0-9]{20,}|[A-Za-z0-9_-]{32,}", span) and "--" not in span else 0
     else:
         form = 1 if kind == "local_phone" and digits[0] not in "01" else 0
     gazetteer = 0
@@ -156,7 +160,7 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     elif kind == "local_phone":
         gazetteer = -1 if digits[:3] in ("000", "111", "123") else 1
     elif kind == "secret":
-        gazetteer = -1 if "/" in span or "-" in span.strip("-") else 0
+        gazetteer = 1 if span.startswith(_KEY_PREFIXES) else -1 if "/" in span or "-" in span.strip("-") else 0
     context = 1 if any(h in before for h in _HINTS[kind]) else 0
     varied = len(set(digits if kind != "secret" else span))
     variety = -1 if varied <= 2 else 1 if varied >= 4 else 0
@@ -165,56 +169,88 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     return form, gazetteer, context, variety, surroundings
 
 
+#: Groups of spans that vote patterns are counted in: each added kind, base spans and decoys.
+ADDED = KINDS[len(BASE) :]
+TRUE, FALSE = len(ADDED), len(ADDED) + 1
+_CELLS = 3 ** len(LABELERS)
+
+
 @dataclass
 class SpanModel:
-    """Which vote patterns stand: one-coin reliabilities by labeler, then a logistic classifier on votes."""
+    """How labelers vote on false and true spans (labeler, vote + 1), and a logistic classifier on votes and kind."""
 
-    accuracy: np.ndarray
+    votes: np.ndarray
     weights: np.ndarray
-    prior: float
+
+    @staticmethod
+    def inputs(groups: np.ndarray, patterns: np.ndarray) -> np.ndarray:
+        """For each labeler whether it votes for and whether against; the added kind; a constant."""
+        return np.concatenate((patterns > 0, patterns < 0, groups[:, None] == np.arange(len(ADDED)), np.ones((len(groups), 1))), axis=1).astype(float)
 
     @classmethod
-    def fit(cls, patterns: list[tuple[tuple[int, ...], int]], rounds: int = 60) -> SpanModel:
+    def fit(cls, counted: list[tuple[int, tuple[int, ...], int]], rounds: int = 60) -> SpanModel:
+        """Of (group, votes, count).  Base spans and decoys weigh as much as all candidates do, however many there are."""
         n = len(LABELERS)
-        if not patterns:
-            return cls(np.full(n, 0.5), np.concatenate((np.ones(n), [-1.0])), 0.5)
-        votes_ = np.array([p for p, _ in patterns], dtype=float)
-        count = np.array([c for _, c in patterns], dtype=float)
-        accuracy, prior = np.full(n, 0.7), 0.5
+        table = np.array([[[0.3, 0.5, 0.2]] * n, [[0.1, 0.3, 0.6]] * n])
+        if not counted:
+            return cls(table, np.concatenate((np.ones(n), -np.ones(n), np.zeros(len(ADDED)), [-1.0])))
+        group, patterns, count = np.array([g for g, _, _ in counted]), np.array([v for _, v, _ in counted]), np.array([c for _, _, c in counted], float)
+        open_ = group < TRUE
+        for known in (TRUE, FALSE):
+            if (group == known).any():
+                count[group == known] *= max(1.0, count[open_].sum()) / count[group == known].sum()
+        prior = np.full(len(ADDED), 0.5)
+        p = np.where(group == FALSE, 0.0, 1.0)
         for _ in range(rounds):
-            odds = np.log(prior / (1 - prior)) + votes_ @ np.log(accuracy / (1 - accuracy))
-            p = 1 / (1 + np.exp(-odds))
-            prior = float(np.clip((count * p).sum() / count.sum(), 0.05, 0.95))
-            right = (count[:, None] * np.where(votes_ > 0, p[:, None], np.where(votes_ < 0, 1 - p[:, None], 0))).sum(0)
-            cast = (count[:, None] * (votes_ != 0)).sum(0)
-            # two votes each way keep a labeler that rarely votes near a coin; labelers are better than one
-            accuracy = np.clip((right + 2 * 0.6) / (cast + 2), 0.5, 0.98)
-        z = np.concatenate((votes_, np.ones((len(votes_), 1))), axis=1)
-        share = count / count.sum()
-        w = np.zeros(n + 1)
-        for _ in range(30):
-            q = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            w += np.linalg.solve((z * (share * q * (1 - q))[:, None]).T @ z + 1e-3 * np.eye(n + 1), z.T @ (share * (p - q)) - 1e-3 * w)
-        return cls(accuracy, w, prior)
+            likely = np.log(table)[:, np.arange(n), patterns + 1].sum(2)
+            odds = likely[1] - likely[0] + np.log(prior / (1 - prior))[np.minimum(group, len(ADDED) - 1)]
+            p = np.where(group == TRUE, 1.0, np.where(group == FALSE, 0.0, 1 / (1 + np.exp(-np.clip(odds, -50, 50)))))
+            for k in range(len(ADDED)):
+                mine = group == k
+                prior[k] = ((count * p)[mine].sum() + 1) / (count[mine].sum() + 2)
+            for c, share in enumerate((1 - p, p)):
+                for j in range(n):
+                    # half a vote each way, so that what hasn't been seen isn't ruled out
+                    seen = np.bincount(patterns[:, j] + 1, count * share, minlength=3) + 0.5
+                    table[c, j] = seen / seen.sum()
+        x, share = cls.inputs(group, patterns), count / count.sum()
+        w = np.zeros(x.shape[1])
+        for _ in range(50):
+            q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            w += np.linalg.solve((x * (share * q * (1 - q))[:, None]).T @ x + 1e-3 * np.eye(len(w)), x.T @ (share * (p - q)) - 1e-3 * w)
+        return cls(table, w)
+
+    def chance(self, kind: str, pattern: tuple[int, ...]) -> float:
+        x = self.inputs(np.array([ADDED.index(kind)]), np.array([pattern]))
+        return float(1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))[0])
+
+    def standing(self) -> set[int]:
+        """The codes of the candidates that stand."""
+        return {encode(g, v) for g, kind in enumerate(ADDED) for v in map(decode, range(_CELLS)) if self.chance(kind, v) >= 0.5}
+
+
+def encode(group: int, pattern: tuple[int, ...]) -> int:
+    return group * _CELLS + sum((v + 1) * 3**i for i, v in enumerate(pattern))
 
-    def chance(self, pattern: tuple[int, ...]) -> float:
-        return float(1 / (1 + np.exp(-np.clip(np.append(pattern, 1) @ self.weights, -30, 30))))
 
-    def stands(self, pattern: tuple[int, ...]) -> bool:
-        """A candidate needs the classifier and at least as many votes for as against, with context or two for it."""
-        return self.chance(pattern) >= 0.5 and (pattern[2] > 0 or pattern[0] > 0 and pattern[1] > 0) and sum(pattern) >= 2
+def decode(code: int) -> tuple[int, ...]:
+    return tuple(code % _CELLS // 3**i % 3 - 1 for i in range(len(LABELERS)))
 
 
-def encode(pattern: tuple[int, ...]) -> int:
-    return sum((v + 1) * 3**i for i, v in enumerate(pattern))
+def candidate_code(text: str, kind: str, start: int, end: int) -> int:
+    return encode(ADDED.index(kind), votes(text, kind, start, end))
 
 
-def decode(code: int) -> tuple[int, ...]:
-    return tuple(code // 3**i % 3 - 1 for i in range(len(LABELERS)))
+def counted_codes(text: str, base: list[tuple[str, int, int]], loose: list[int]) -> list[int]:
+    """The codes that the model learns from: base spans', candidates', and that of the first long word from the middle on."""
+    out = [encode(TRUE, votes(text, k, a, b)) for k, a, b in base] + loose
+    if m := _WORD.search(text, len(text) // 2):
+        out.append(encode(FALSE, votes(text, "secret", m.start(), m.end())))
+    return out
 
 
-def _patterns(rows: list) -> list[tuple[tuple[int, ...], int]]:
-    return [(decode(r["code"]), r["n"]) for r in rows]
+def _patterns(rows: list) -> list[tuple[int, tuple[int, ...], int]]:
+    return [(r["code"] // _CELLS, decode(r["code"]), r["n"]) for r in rows]
 
 
 def _digest(spans: list[tuple[str, int, int]]) -> str:
@@ -238,12 +274,12 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 for i, cell in zip(part.column(0).to_pylist(), part.column(1)):
                     body = cell.as_py() or ""
                     base = base_spans(body)
-                    loose = [(k, a, b, encode(votes(body, k, a, b))) for k, a, b in loose_spans(body, base)]
+                    loose = [(k, a, b, candidate_code(body, k, a, b)) for k, a, b in loose_spans(body, base)]
                     rows.append({
                         key: i,
                         "base": [{"kind": k, "start": a, "end": b} for k, a, b in base],
                         "loose": [{"kind": k, "start": a, "end": b, "code": c} for k, a, b, c in loose],
-                        "codes": [encode(votes(body, k, a, b)) for k, a, b in base] + [c for *_, c in loose],
+                        "codes": counted_codes(body, base, [c for *_, c in loose]),
                     })
                 yield pa.RecordBatch.from_pylist(rows, schema=kind)
 
@@ -251,7 +287,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def fit(scanned: DataFrame) -> SpanModel:
-    """The model of all documents' vote patterns, of which there are 3 to the number of labelers at most."""
+    """The model of all documents' vote patterns, of which there are 3 to the number of labelers for each group at most."""
     return SpanModel.fit(_patterns(scanned.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n")).orderBy("code").collect()))
 
 
@@ -261,11 +297,13 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     Counts are of base spans; ``spans`` has them and the candidates that the
     classifier accepts, as kind:start:end in code points.  A null text is an
     empty one, a document without spans has an empty ``spans``; rows that
-    repeat are reported each.  Documents are read once; their spans are kept.
+    repeat are reported each; an empty table gives no rows.  Texts are read
+    whole, in time that grows with their length.  Documents are read once; their
+    spans are kept.
     """
     scanned = stored(scan(docs, key, text), "pii")
     model = fit(scanned)
-    good = {code for code in range(3 ** len(LABELERS)) if model.stands(decode(code))}
+    good = model.standing()
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.schema([(key, pa.int64()), *((f"n_{k}", pa.int64()) for k in BASE), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())])
@@ -291,7 +329,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     flat = docs.toDF(*names)
     codes = scan(flat.select(F.lit(None).cast("long").alias("none"), F.col(names[place])), "none", names[place]).select("codes")
     model = fit(codes)
-    good = {code for code in range(3 ** len(LABELERS)) if model.stands(decode(code))}
+    good = model.standing()
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +340,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                     body = cell.as_py()
                     if body:
                         base = base_spans(body)
-                        spans = base + [(k, a, b) for k, a, b in loose_spans(body, base) if encode(votes(body, k, a, b)) in good]
+                        spans = base + [(k, a, b) for k, a, b in loose_spans(body, base) if candidate_code(body, k, a, b) in good]
                         end, out = 0, []
                         for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
                             if a >= end:

@@ -453,6 +453,27 @@ def test_pii_added(spark, odd, empty):
     assert {r.doc_id: r.base_sha256 for r in pii.find(odd).collect()}[2] == hashlib.sha256(b"").hexdigest()
 
 
+def test_pii_added_kinds_precision_and_recall(spark):
+    """Of planted spans and look-alikes, the classifier takes the former and leaves the latter."""
+    rng = random.Random(1)
+    digits = lambda n, of="0123456789abcdef": "".join(rng.choice(of) for _ in range(n))
+    true = [
+        lambda: f"token: {digits(40)} x", lambda: f"call 212 {rng.randrange(200, 999)} {rng.randrange(1000, 9999)} now", lambda: "my ssn 123-45-6789 ok", lambda: "mail jane at site dot com please",
+        lambda: "IBAN DE89370400440532013000 end", lambda: f"key AKIA{digits(16, 'ABCDEFGHIJKLMNOP234567')} ok", lambda: f"sha {digits(40)} x",
+    ]
+    false = [
+        lambda: "see /blog/2024/01/some-long-article-title-here for it", lambda: "my-kebab-case-identifier-2024 ok", lambda: f"version_{rng.randrange(10**9)}_of_the_module here", lambda: f"figures 111 222 {rng.randrange(1000, 9999)} a",
+        lambda: "part 000-12-3456 no", lambda: "meet at noon dot again then", lambda: "CODE AB12 ABCD EFGH IJKL end",
+    ]
+    filler = "ordinary language without anything particular in between here"
+    rows = []
+    for i in range(900):
+        inside = rng.choice(true)() if i % 3 == 0 else rng.choice(false)() if i % 3 == 1 else rng.choice([f"write to a{i}@site.org", f"host 10.0.{i % 250}.7", "+1 555 010 9999"])
+        rows.append((i, f"{filler} {inside} {filler}", "en"))
+    got = {r.doc_id: r.n_added for r in pii.find(_docs(spark, rows)).collect()}
+    assert np.mean([got[i] == 1 for i in range(0, 900, 3)]) > 0.97 and np.mean([got[i] == 0 for i in range(1, 900, 3)]) > 0.97 and not any(got[i] for i in range(2, 900, 3))
+
+
 def test_pii_long_secrets_and_many_numbers():
     rng = random.Random(1)
     long = "".join(rng.choice("abcdefghij0123456789") for _ in range(900))
