@@ -46,7 +46,7 @@ RULES = (
 class TreeOptions:
     """``fan_out``: different segments below a template before rare ones turn into a wildcard;
     ``common``: the share of a template's pages that saves a segment from that;
-    ``depth``: segments that are told apart, the rest of a path is one;
+    ``depth``: segments that are told apart, the rest of a path is one (levels end earlier where all paths do);
     ``delta``: of the Hoeffding bound; ``fewest``: labels that a branch needs to merge;
     ``smoothing`` and ``prior``: pseudo-labels of a template and their blocked share;
     ``limit``: the smoothed blocked share from which on a template rejects.
@@ -54,7 +54,7 @@ class TreeOptions:
 
     fan_out: int = 24
     common: float = 0.05
-    depth: int = 3
+    depth: int = 8
     delta: float = 0.05
     fewest: int = 5
     smoothing: float = 4.0
@@ -140,7 +140,8 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, options: TreeOption
 
     A url that is null or has no '://' has an empty host and path, which no rule
     fits; its verdict comes from the tree as for any other host.  Rows that
-    repeat are judged each; other columns are ignored.
+    repeat are judged each, urls of any length whole; an empty table gives no
+    rows, and other columns are ignored.
     """
     host, path = split_url(F.col(url))
     seen = pages.select(F.col(key), host.alias("host"), path.alias("path"))

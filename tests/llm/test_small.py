@@ -90,6 +90,65 @@ def test_url_rules(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def _brute_tree(urls, rules, o):
+    """(template, purity) of each url, by plain dictionaries."""
+    rows = []
+    for url in urls:
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fits, key=lambda r: len(r.pattern), default=None)
+        rows.append([host, [x for x in re.sub("[0-9]+", "#", path).split("/") if x], "", best and best.verdict])
+    for level in range(o.depth + 1):
+        here = [(r[1][level] if level < o.depth else "**") if len(r[1]) > level else None for r in rows]
+        below = {}
+        for (host, _, template, verdict), seg in zip(rows, here):
+            if seg is not None:
+                c = below.setdefault((host, template), {}).setdefault(seg, [0, 0, 0])
+                c[0] += 1
+                c[1] += verdict is not None
+                c[2] += verdict == "block"
+        branch = {}
+        for at, kinds in below.items():
+            total = sum(c[0] for c in kinds.values())
+            named = {s: c for s, c in kinds.items() if not (len(kinds) > o.fan_out and c[0] < total * o.common)}
+            groups = []
+            for seg, (_, labels, blocked) in sorted(named.items(), key=lambda x: (-x[1][1], x[0])):
+                if labels < o.fewest:
+                    continue
+                for g in groups:
+                    bound = np.sqrt(np.log(2 / o.delta) / 2) * (g[1] ** -0.5 + labels**-0.5)
+                    if (g[2] / g[1] >= o.limit) == (blocked / labels >= o.limit) and abs(g[2] / g[1] - blocked / labels) <= bound:
+                        g[:] = [g[0] + [seg], g[1] + labels, g[2] + blocked]
+                        break
+                else:
+                    groups.append([[seg], labels, blocked])
+            joined = {s: "|".join(sorted(g[0])) for g in groups for s in g[0]}
+            branch |= {(*at, s): joined.get(s, s) if s in named else "*" for s in kinds}
+        for r, seg in zip(rows, here):
+            if seg is not None:
+                r[2] += "/" + branch[r[0], r[2], seg]
+    sums = {}
+    for host, _, template, verdict in rows:
+        c = sums.setdefault((host, template), [0, 0])
+        c[0] += verdict is not None
+        c[1] += verdict == "block"
+    return [(t, (sums[h, t][1] + o.smoothing * o.prior) / (sums[h, t][0] + o.smoothing)) for h, _, t, _ in rows]
+
+
+def test_url_tree_brute(spark):
+    rng = random.Random(12)
+    rules = (url_filter.Rule("block", "a.org/ads/x1"), url_filter.Rule("block", "a.org/buy/"), url_filter.Rule("allow", "a.org/news/2"), url_filter.Rule("allow", "b.org/p"))
+    urls = [f"http://{rng.choice(['a.org', 'w.a.org', 'b.org'])}/{rng.choice(['ads', 'buy', 'news', 'new', 'p', 'q'])}/{rng.choice(['x1', 'x', f'{rng.randrange(90)}', f'w{chr(97 + rng.randrange(26))}'])}" + "/t" * rng.randrange(12) for _ in range(1500)]
+    urls += urls[:40] + ["http://a.org/" + "long/" * 3000, None, "", "no url", "http://a.org", "HTTP://A.ORG/buy/1?x"]
+    o = url_filter.TreeOptions(fan_out=6, common=0.08)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.template, r.purity) for r in url_filter.judge(pages, rules, o).collect()}
+    want = _brute_tree(urls, rules, o)
+    assert len({t for t, _ in want}) > 20 and any("*" in t for t, _ in want) and any("|" in t for t, _ in want)
+    assert all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1]) for i in range(len(urls)))
+
+
 def test_url_templates(spark):
     rules = (url_filter.Rule("block", "host.com/ads/1"), url_filter.Rule("allow", "host.com/news/1"))
     urls = [f"http://host.com/{s}/{i}/page" for s in ("ads", "news") for i in range(100, 140)] + [f"http://host.com/{s}/{i}/page" for s in ("ads", "news", "new") for i in (20, 21)]
@@ -258,6 +317,51 @@ def test_very_long_item(spark):
     assert big.keys.shape[0] == 2001 and big.keys.nbytes < 4 << 20
 
 
+# --- language, told again -----------------------------------------------------------------------------
+
+
+def test_language_brute(spark):
+    """Counting, codewords and decoding by plain loops over bytes."""
+    rng = random.Random(3)
+    texts = {"aa": "lorem ipsum dolor sit amet", "bb": "zwölf Boxkämpfer jagen Viktor", "cc": "être ou ne pas être Ça"}
+    rows = [(i, " ".join(rng.choice(texts[x].split()) for _ in range(12)), x) for i, x in enumerate(rng.choice(list(texts)) for _ in range(200))]
+    model = langid.learn(_docs(spark, rows))
+    code = langid._CODES
+
+    def bins(text):
+        b = text.encode()
+        x = [32 if not (chr(c).isalpha() or c >= 128) or c < 128 and not chr(c).isalpha() else c + 32 if 65 <= c <= 90 else c for c in b]
+        for i in range(1, len(b)):
+            if b[i - 1] == 0xC3 and 0x80 <= b[i] <= 0x9E:
+                x[i] += 32
+        padded = [32, *x, 32]
+        return [int(code[0][padded[i]] ^ code[1][padded[i + 1]] ^ code[2][padded[i + 2]]) for i in range(len(x)) if x[i] != 32]
+
+    counts = {x: np.zeros(langid.BINS) for x in texts}
+    for i, t, x in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            for at in bins(t):
+                counts[x][at] += 1
+    share = {x: counts[x] / counts[x].sum() for x in texts}
+    floor = 1 / max(sum(c.sum() for c in counts.values()), langid.BINS)
+    halves = [({"aa"}, {"bb", "cc"}), ({"bb"}, {"aa", "cc"}), ({"cc"}, {"aa", "bb"})]
+    tables = []
+    for yes, no in halves:
+        p, q = (sum(share[x] for x in side) / len(side) for side in (yes, no))
+        t = np.log((p + floor) / (q + floor))
+        tables.append((t, float(((p - q) * t).sum())))
+    weigh = [w / sum(w for _, w in tables) * 3 for _, w in tables]
+    held = [r for r in langid.identify(_docs(spark, rows), model).collect() if r.held_out]
+    assert len(held) > 20 and model.languages == sorted(texts)
+    for r in held:
+        found = bins(rows[r.doc_id][1])
+        loss = {}
+        for x in texts:
+            loss[x] = sum(w * np.log1p(np.exp(-(1 if x in yes else -1) * 3 * t[found].sum() / len(found) * np.sqrt(min(len(found), 100) / 100))) for (t, _), w, (yes, _) in zip(tables, weigh, halves))
+        best = min(loss, key=lambda x: (loss[x], x))
+        assert r.lang_pred == best == rows[r.doc_id][2] and r.score == pytest.approx(1 / sum(np.exp(loss[best] - v) for v in loss.values()), abs=1e-3)
+
+
 # --- toxicity --------------------------------------------------------------------------------------------
 
 
