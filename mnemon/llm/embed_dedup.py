@@ -37,6 +37,8 @@ SAMPLE = 20_000
 BLOCK = 1024
 #: Vectors that a bucket has on average, as a power of two.
 BUCKET_BITS = 6
+#: Classes of that many copies or more, HOT of them at most, are broadcast at the end.
+HOT_COPIES, HOT = 64, 1024
 #: Near pairs for each vector of a block from which on it is fetched as a whole.
 DENSE = 4
 
@@ -260,9 +262,13 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         each = classes.select("vec", F.lit(0).cast("long").alias("links"), F.col("vec").alias("root"))
     each = stored(each.join(classes.select("vec", "least"), "vec"), "roots")
     least = each.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(each.join(least, "root").select("vec", "links", "component_id"), "named")
-    # a class may have most rows: a join that Spark may split
-    joined = rows.select("vec_id", "v").join(classes.select("v", "vec"), "v", "left").drop("v").join(named, "vec", "left")
+    named = each.join(least, "root").select("vec", "links", "component_id")
+    named = stored(classes.select("vec", "n", "v").join(named, "vec").select("v", "n", "links", "component_id"), "named")
+    # a class may have most rows, so those of the largest classes don't move: a table of HOT rows at most goes to them
+    hot = named.where(F.col("n") >= HOT_COPIES).orderBy(F.desc("n"), "component_id").limit(HOT).select("v", F.lit(True).alias("hot"), F.col("links").alias("hot_links"), F.col("component_id").alias("hot_id"))
+    first = rows.select("vec_id", "v").join(F.broadcast(hot), "v", "left")
+    there = first.where("hot").select("vec_id", F.col("hot_links").alias("links"), F.col("hot_id").alias("component_id"))
+    joined = there.unionByName(first.where("hot is null").select("vec_id", "v").join(named.drop("n"), "v", "left").drop("v"))
     component = F.coalesce("component_id", "vec_id")
     return joined.select(
         F.col("vec_id").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

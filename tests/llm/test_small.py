@@ -509,6 +509,16 @@ def test_embedding_blocks(spark, monkeypatch):
     assert np.mean([r.n_links for r in got]) > 0.97 * 89 and max(r.n_links for r in got) <= 89 and {r.component_id for r in got} == {0}
 
 
+def test_embedding_copies(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "HOT_COPIES", 5)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6, 16)).tolist()
+    rows = [(i, x[0]) for i in range(30)] + [(40, x[1]), (41, x[1])] + [(50 + i, x[2 + i]) for i in range(4)] + [(None, x[0]), (60, None)]
+    got = sorted(((r.vec_id or -1, r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()))
+    want = [(i or -1, 30, 0, i == 0) for i in range(30)] + [(-1, 30, 0, False), (40, 1, 40, True), (41, 1, 40, False)] + [(50 + i, 0, 50 + i, True) for i in range(4)] + [(60, 0, 60, True)]
+    assert got == sorted(want)
+
+
 def test_embedding_doubles(spark):
     rng = np.random.default_rng(2)
     v = rng.normal(size=12)
