@@ -109,33 +109,40 @@ def part_of(key: tuple[str, ...], parts: int = PARTS) -> Column:
     return F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in key)), F.lit(parts)).cast("int")
 
 
-def read_table(spark: SparkSession, name: str, folder: str) -> DataFrame | None:
-    """A stored archive table, or None before its first batch."""
-    path = f"{folder}/{name}"
+def read_parts(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A stored table of ``schema`` and its ``part``, or None before its first batch."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return None
-    return spark.read.schema(f"{schemas.ARCHIVE[name].columns}, part int").parquet(path)
+    return spark.read.schema(f"{schema}, part int").parquet(path)
 
 
-def store(name: str, batch: DataFrame, folder: str, parts: int = PARTS) -> None:
-    """Upsert ``batch`` into the table ``name`` below ``folder``, by its key.
+def put(batch: DataFrame, path: str, key: tuple[str, ...], schema: str, parts: int = PARTS) -> None:
+    """Upsert ``batch`` into the table at ``path``.
 
     The table is partitioned by a hash of the key.  Of the parts that the batch
     touches the new rows are written to the shared folder first, and then take
     the old ones' place; other parts aren't read.  A batch that runs again
-    leaves the same rows.
+    leaves the same rows, and an empty one leaves the table as it is.
     """
-    spec = schemas.ARCHIVE[name]
-    columns = [c.split(" ", 1)[0] for c in spec.columns.split(", ")]
-    mine = batch.select(*columns)
-    old = read_table(batch.sparkSession, name, folder)
+    old = read_parts(batch.sparkSession, path, schema)
     if old is not None:
-        touched = [r[0] for r in mine.select(part_of(spec.key, parts).alias("part")).distinct().collect()]  # PARTS numbers at most
-        old = old.where(F.col("part").isin(touched)).select(*columns)
-    merged = upsert(old if old is not None else mine.limit(0), mine, spec.key).withColumn("part", part_of(spec.key, parts))
-    staged = materialize(merged, name)
-    staged.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{folder}/{name}")
+        touched = [r[0] for r in batch.select(part_of(key, parts).alias("part")).distinct().collect()]  # PARTS numbers at most
+        old = old.where(F.col("part").isin(touched)).select(*batch.columns)
+    merged = upsert(old if old is not None else batch.limit(0), batch, key).withColumn("part", part_of(key, parts))
+    staged = materialize(merged, "upsert")
+    staged.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+
+
+def read_table(spark: SparkSession, name: str, folder: str) -> DataFrame | None:
+    """A stored archive table, or None before its first batch."""
+    return read_parts(spark, f"{folder}/{name}", schemas.ARCHIVE[name].columns)
+
+
+def store(name: str, batch: DataFrame, folder: str, parts: int = PARTS) -> None:
+    """Upsert ``batch`` into the archive table ``name`` below ``folder``, by its key."""
+    spec = schemas.ARCHIVE[name]
+    put(batch.select(*(c.split(" ", 1)[0] for c in spec.columns.split(", "))), f"{folder}/{name}", spec.key, spec.columns, parts)
 
 
 def returned(name: str, batch: DataFrame, folder: str) -> DataFrame:

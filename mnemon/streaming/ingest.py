@@ -23,15 +23,14 @@ def activity(events: DataFrame, time: str = "ts", key: str = "event_type", every
     )
 
 
-def upsert_batches(stream: DataFrame, table: str, key: tuple[str, ...], checkpoint: str):
-    """A query that upserts each batch into a Parquet table below ``table``, one version a batch."""
-
-    def put(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        old = None
-        if number > 0:
-            old = spark.read.parquet(f"{table}/version={number - 1}")
-        merged = archive.upsert(old, batch, key) if old is not None else archive.upsert(batch.limit(0), batch, key)
-        merged.write.mode("overwrite").parquet(f"{table}/version={number}")  # a batch that runs again writes the same
+def upsert_batches(stream: DataFrame, table: str, key: tuple[str, ...], checkpoint: str, parts: int = archive.PARTS):
+    """A query that upserts each batch into the table at ``table``; a batch rewrites the parts that its keys fall into.
+
+    A batch that runs again after a failure leaves the same rows.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+
+    def put(batch: DataFrame, _: int) -> None:
+        archive.put(batch, table, key, schema, parts)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,7 @@
 """Nights, the keyed archive, questions to a report, and models behind HTTP."""
 
+import contextlib
+import io
 import json
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
@@ -21,44 +23,33 @@ def _session(folder, name, said, day="2026-03-13", cwd="/x/workspace/07_kit"):
     (folder / f"{name}.jsonl").write_text("\n".join(json.dumps(x, ensure_ascii=False) for x in lines))
 
 
-@pytest.fixture()
-def folder(tmp_path):
-    d = tmp_path / "sessions"
-    d.mkdir()
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    d = tmp_path_factory.mktemp("sessions")
     _session(d, "a", [("user", RULES), ("assistant", "알겠습니다 supabase runner"), ("user", RULES + " 하자")])
     _session(d, "b", [("user", "ordinary words about nothing in particular today"), ("assistant", "fine then")])
     return d
 
 
-def _run(spark, folder, out, capsys, *more):
+def _run(folder, out, *more):
     args = ["--sessions", str(folder), "--out", str(out), "--memory-root", str(out / "memory-root"), "--date", "2026-03-13", "--time-zone", "UTC", "--dry-run=false", *more]
-    code = nightly.main(args)
-    said = capsys.readouterr()
-    assert code == 0, said.err
-    return json.loads(said.out.strip().splitlines()[-1])
+    with contextlib.redirect_stdout(io.StringIO()) as said:
+        assert nightly.main(args) == 0
+    return json.loads(said.getvalue().strip().splitlines()[-1])
+
+
+@pytest.fixture(scope="module")
+def night(spark, folder, tmp_path_factory):
+    """(folder of the output, summary) of a first night."""
+    out = tmp_path_factory.mktemp("out")
+    return out, _run(folder, out)
 
 
-def test_two_nights_leave_one_row_a_key(spark, folder, tmp_path, capsys):
-    out = tmp_path / "out"
-    first = _run(spark, folder, out, capsys)
+def test_questions_to_a_report(night, capsys):
+    out, first = night
     assert first["counts"]["sessions"] == 2 and first["counts"]["files_scanned"] == 2 and first["scorers"] == {"heuristic": 2} and first["window"]["start"].startswith("2026-03-13T00:00")
     assert first["violations"] == [] and all(x["requested"] == x["returned"] for x in first["archive"].values())
     assert first["counts"]["promotions_planned"] >= 1 and first["counts"]["embedding_payloads_planned"] >= 1
-    table = lambda name: archive.read_table(spark, name, f"{out}/archive")
-    before = {n: table(n).count() for n in first["archive"]}
-    _session(folder, "b", [("user", "other words about something else on that day"), ("assistant", "fine then"), ("user", "and some more of these words")])
-    _session(folder, "c", [("user", "a third session with words of its own"), ("assistant", "yes")])
-    second = _run(spark, folder, out, capsys)
-    assert second["violations"] == [] and {n: table(n).groupBy(*archive.schemas.ARCHIVE[n].key).count().where("count > 1").count() for n in before} == dict.fromkeys(before, 0)
-    assert table("sessions").count() == before["sessions"] + 1 and {r["external_session_id"]: r["message_count"] for r in table("sessions").collect()} == {"a": 3, "b": 3, "c": 2}
-    assert table("projects").select("slug").distinct().count() == table("projects").count() == 1
-    again = _run(spark, folder, out, capsys)
-    assert again["archive"] == second["archive"] and table("messages").count() == 8
-
-
-def test_questions_to_a_report(spark, folder, tmp_path, capsys):
-    out = tmp_path / "out"
-    _run(spark, folder, out, capsys)
     base = ["--out", str(out), "--date", "2026-03-13"]
     assert ask.main([*base, "--query", "체크리스트 규칙 배포"]) == 0
     got = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
@@ -72,6 +63,21 @@ def test_questions_to_a_report(spark, folder, tmp_path, capsys):
     assert ask.main(base) == 1 and "query" in json.loads(capsys.readouterr().err.strip().splitlines()[-1])["error"]
 
 
+def test_two_nights_leave_one_row_a_key(spark, folder, night, tmp_path):
+    out, first = night
+    table = lambda name: archive.read_table(spark, name, f"{out}/archive")
+    before = {n: table(n).count() for n in ("sessions", "projects", "messages")}
+    later = tmp_path / "sessions"
+    later.mkdir()
+    (later / "a.jsonl").write_text((folder / "a.jsonl").read_text())
+    _session(later, "b", [("user", "other words about something else on that day"), ("assistant", "fine then"), ("user", "and some more of these words")])
+    _session(later, "c", [("user", "a third session with words of its own"), ("assistant", "yes")])
+    second = _run(later, out)
+    assert second["violations"] == [] and all(x["requested"] == x["returned"] for x in second["archive"].values())
+    assert table("sessions").count() == before["sessions"] + 1 and {r["external_session_id"]: r["message_count"] for r in table("sessions").collect()} == {"a": 3, "b": 3, "c": 2}
+    assert table("projects").count() == before["projects"] == 1 and table("messages").count() == 8 == before["messages"] + 3
+
+
 def test_files_scanned_stops_at_the_limit(spark, folder):
     headers, messages = transcripts.parse_sessions(transcripts.read_lines(spark, str(folder)))
     picked = lambda limit: transcripts.first_files(headers, limit)
@@ -112,7 +118,7 @@ def model():
 def test_model_scores(spark, folder, tmp_path, capsys, model):
     env = tmp_path / "env"
     env.write_text(f"# settings\nMNEMON_SCORER_KEY=good\nMNEMON_SCORER_URL={model}\n")
-    got = _run(spark, folder, tmp_path / "out", capsys, "--scorer", "llm", "--env-file", str(env))
+    got = _run(folder, tmp_path / "out", "--scorer", "llm", "--env-file", str(env))
     assert got["scorers"] == {"llm": 1, "heuristic-fallback": 1}
     stored = {r["session_id"]: r for r in nightly.read_report(spark, str(tmp_path / "out"), "2026-03-13")["sessions"].collect()}
     assert stored["a"]["importance_score"] == 80 and list(stored["a"]["candidate_kinds"]) == ["todo"] and stored["b"]["llm_error"] == "empty answer"
