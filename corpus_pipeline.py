@@ -23,8 +23,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, langid.learn(docs))
 
 
-def _with_keys(docs: DataFrame) -> DataFrame:
-    """The rows with a ``pipeline_key`` of their own: their doc_id or, where it is null or repeats, a large number made from id, text and source.
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or the first longer one that no column has."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
+def _with_keys(docs: DataFrame, key: str) -> DataFrame:
+    """The rows with a ``key`` of their own: their doc_id or, where it is null or repeats, a large number made from id, text and source.
 
     Only rows that are alike in these share a key.
     """
@@ -33,10 +40,11 @@ def _with_keys(docs: DataFrame) -> DataFrame:
     made = base + F.pmod(F.xxhash64(F.lit("id"), "doc_id", "text", "source"), F.lit(1 << 61))
     again = stored(docs.where(with_id).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "again")
     if again.isEmpty():
-        return docs.withColumn("pipeline_key", F.coalesce(F.col("doc_id").cast("long"), made))
-    told = docs.where(with_id).join(again.withColumn("again", F.lit(True)), "doc_id", "left")
-    told = told.withColumn("pipeline_key", F.when(F.col("again"), made).otherwise(F.col("doc_id").cast("long"))).drop("again")
-    return stored(told.unionByName(docs.where(~with_id).withColumn("pipeline_key", made)), "keyed")
+        return docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), made))
+    mark = _free(docs, "again")
+    told = docs.where(with_id).join(again.withColumn(mark, F.lit(True)), "doc_id", "left")
+    told = told.withColumn(key, F.when(F.col(mark), made).otherwise(F.col("doc_id").cast("long"))).drop(mark)
+    return stored(told.unionByName(docs.where(~with_id).withColumn(key, made)), "keyed")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,18 +52,19 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without shingles (null, empty or without words) are groups of
     their own.  Rows whose doc_id repeats come after all others in their group,
-    and those without one last; rows that repeat id, text and source leave one.  Texts are
-    compared whole, of any length; an empty table stays empty.
+    and those without one last; rows that repeat id, text and source leave one.
+    Texts are compared whole, of any length; an empty table stays empty.
     """
-    keyed = _with_keys(docs)
-    classes = jaccard_join.jaccard_classes(keyed, key="pipeline_key")
-    kept = stored(classes.where("pipeline_key = component_id").groupBy("pipeline_key").agg(F.count(F.lit(1)).alias("n")), "kept")
+    key = _free(docs, "pipeline_key")
+    keyed = _with_keys(docs, key)
+    classes = jaccard_join.jaccard_classes(keyed, key=key)
+    kept = stored(classes.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count(F.lit(1)).alias("n")), "kept")
     # a shuffle at every size: the ids to keep grow with the documents
-    out = keyed.join(kept.where("n = 1").select("pipeline_key").hint("merge"), "pipeline_key", "left_semi")
-    if not (many := kept.where("n > 1").select("pipeline_key")).isEmpty():
-        alike = keyed.join(many.hint("merge"), "pipeline_key", "left_semi").groupBy("pipeline_key").agg(F.min(F.struct(*docs.columns)).alias("row"))
-        out = out.unionByName(alike.select("pipeline_key", "row.*"))
-    return out.select(*docs.columns)
+    out = keyed.join(kept.where("n = 1").select(key).hint("merge"), key, "left_semi").select(*docs.columns)
+    if not (many := kept.where("n > 1").select(key)).isEmpty():
+        alike = keyed.join(many.hint("merge"), key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("one"))
+        out = out.unionByName(alike.select("one.*"))
+    return out
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
