@@ -67,3 +67,27 @@ def test_pipeline_odd(spark):
     left = sorted((r.doc_id, r.text[:5]) for r in corpus_pipeline.one_of_each(spark, again, DATA).collect())
     assert left == [(3, "a b c"), (5, "other"), (9, "p q r")]
     assert kept.columns == docs.columns and sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "another text that has no id whatever it says"), (1, "the same words in a row of eight words"), (2, ""), (3, "")]
+
+
+def test_stages_odd(spark):
+    """All stages, one after another, on an empty table and on odd rows with columns of clashing names."""
+    import corpus_pipeline
+
+    kind = "doc_id long, text string, lang string, source string, n_chars long, pipeline_key string, again string, row int, n int, lettered int, c0 string, least int"
+    more = ("k", "a", 1, 2, 3, "c", 4)
+    words = "an ordinary text of more than five words for the first of these rows"
+    rows = [(1, words, "en", "a", 1, *more), (1, words, "en", "a", 1, *more), (2, words + " and more", "en", "a", 1, *more), (None, "no id but a text that nothing else is like", "en", "a", 1, *more), (3, None, None, None, None, *more), (4, "", "en", "a", 1, *more), (5, "12 34", "de", "a", 1, *more)]
+    rows += [(6, "long " * 40_000, "en", "b", 1, *more), (7, "mail me at a@b.org about these few things here", "en", "b", 1, *more)] + [(100 + i, f"der {i} und die {i * 7} nicht mit einem {i * 13}", "de", "b", 1, *more) for i in range(40)]
+    for table, left in (([], 0), (rows, None)):
+        docs = spark.createDataFrame(table, kind)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, docs, DATA)
+            assert after.columns == docs.columns, name
+            docs = spark.createDataFrame(after.collect(), after.schema)
+        got = {r.doc_id: r for r in docs.collect()}
+        encoded = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
+        assert encoded.count() == len(docs.collect()) == (left if left is not None else docs.count())
+        if table:
+            # id 1 repeats, so its near copy 2 comes first
+            assert {2, 7, None} <= set(got) and 1 not in got and not {3, 4, 5} & set(got) and got[7].text == "mail me at [EMAIL] about these few things here"
+            assert all((r.pipeline_key, r.again, r.row, r.n, r.lettered, r.c0, r.least) == more for r in docs.collect())
