@@ -29,7 +29,9 @@ meet one of them.  In a second round each member of a bucket that still holds
 several components meets the bucket's middle, the set with the fewest tokens of
 its own.  Last, what is left in different components meets pair by pair, but for
 pairs that can't share what a link takes: by the tokens of their own that they
-have, and by what each shares with a common middle.
+have, and by what each shares with a common middle.  Sets that share one bucket
+mostly share many, so buckets that hang together are one unit there, unless its
+pairs are more than those of its buckets.
 """
 
 from __future__ import annotations
@@ -58,7 +60,7 @@ GROUPS = 32
 HOT_COPIES, HOT_MOST = 64, 1 << 16
 #: Tasks that the members of one bucket are dealt out to, and members of a bucket that meet others at once.
 SALTS, BLOCK = 8, 1024
-#: Bits of the filter of sets to verify; what it lets pass wrongly costs time only.
+#: Bits of the filter of documents to read again; what it lets pass wrongly costs time only.
 FILTER_BITS = 1 << 23
 
 
@@ -276,7 +278,7 @@ def _salted(rows: DataFrame, one_each: DataFrame, how: str = "inner") -> DataFra
 
 
 def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: np.ndarray, hot: tuple[np.ndarray, np.ndarray], parts: int) -> DataFrame:
-    """Signatures packed by the task that they go to: 5 bytes each, by owner."""
+    """Signatures packed by the task that they go to: 5 bytes each, by owner; what is said of owners lies byte by byte, so zeros compress."""
     common = docs.sparkSession.sparkContext.broadcast(common)  # COMMON_MOST numbers at most
     spoken = docs.sparkSession.sparkContext.broadcast(hot)  # HOT_MOST pairs at most
 
@@ -298,7 +300,10 @@ def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: n
                 pos, _ = _flat(offsets, first)
                 made = signatures(values[pos], np.concatenate(([0], np.cumsum(size[first]))), common.value, t)
                 part = (made.signature >> U64(40)) % U64(parts)
-                order = np.lexsort((made.entry, part))
+                # entries that are alike in code and size follow each other, which compresses well
+                place = np.empty(len(made.row), dtype=np.int64)
+                place[np.lexsort((size[first][made.row], made.code))] = np.arange(len(made.row))
+                order = np.lexsort((place[made.entry], part))
                 sig, entry, part = made.signature[order], made.entry[order], part[order].astype(np.int64)
                 new = np.ones(len(sig), dtype=bool)
                 new[1:] = (part[1:] != part[:-1]) | (entry[1:] != entry[:-1])
@@ -307,7 +312,7 @@ def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: n
                 low = sig.view(np.uint8).reshape(-1, 8)[:, :5]
                 of = made.row[entry[at]]
                 owner = keys[first][of]
-                about = np.stack((size[first][of], made.code[entry[at]], made.need[entry[at]], many), axis=1).astype(np.uint32)
+                about = np.stack((size[first][of], made.code[entry[at]], made.need[entry[at]], many), axis=1).astype(np.uint32).view(np.uint8)
                 cut = np.flatnonzero(np.append(True, part[at][1:] != part[at][:-1]))
                 stop = np.append(cut[1:], len(at))
                 byte = np.append(at, len(sig))
@@ -316,7 +321,7 @@ def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: n
                         pa.array(part[at][cut].astype(np.int32)),
                         pa.array([low[byte[x] : byte[y]].tobytes() for x, y in zip(cut, stop)], pa.binary()),
                         pa.array([owner[x:y].tobytes() for x, y in zip(cut, stop)], pa.binary()),
-                        pa.array([about[x:y].tobytes() for x, y in zip(cut, stop)], pa.binary()),
+                        pa.array([about[x:y].T.tobytes() for x, y in zip(cut, stop)], pa.binary()),
                     ],
                     ["part", "sigs", "owners", "about"],
                 )
@@ -349,7 +354,7 @@ def _buckets(packed: DataFrame, parts: int, t: Threshold) -> DataFrame:
                 raw = np.frombuffer(s.as_buffer(), np.uint8).reshape(-1, 5)
                 whole = np.zeros((len(raw), 8), dtype=np.uint8)
                 whole[:, :5] = raw
-                four = np.frombuffer(x.as_buffer(), np.uint32).reshape(-1, 4)
+                four = np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(16, -1).T).view(np.uint32)
                 sig.append(whole.view(U64).ravel())
                 owner.append(np.repeat(np.frombuffer(o.as_buffer(), np.int64), four[:, 3]))
                 about.append(np.repeat(four[:, :3], four[:, 3], axis=0))
@@ -404,9 +409,30 @@ def _buckets(packed: DataFrame, parts: int, t: Threshold) -> DataFrame:
     return packed.repartitionById(parts, "part").mapInArrow(match, _FOUND)
 
 
+def _units(rest: DataFrame) -> DataFrame:
+    """The rows of buckets, with a unit of buckets in place of ``bucket``, once each.
+
+    Two sets that share a bucket share a unit.  A unit is all buckets that sets
+    of one level and band join, or one bucket where that makes fewer pairs.
+    """
+    rest = rest.withColumn("entry", F.xxhash64("cls", F.shiftright("code", 1)))
+    heads = stored(rest.groupBy("bucket").agg(F.min("entry").alias("head"), F.count(F.lit(1)).alias("n")), "heads")
+    groups = components(_salted(rest.select("bucket", "cls", "entry"), heads).select("entry", "head"), "entry", "head")
+    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    by_bucket = heads.join(groups, F.col("head") == F.col("node")).groupBy("root").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"))
+    joined = sizes.join(by_bucket, "root").select(F.col("root").alias("bucket"), (F.col("n") * F.col("n") <= F.col("pairs")).alias("whole"))
+    groups = _salted(groups.select(F.col("node").alias("cls"), F.col("root").alias("bucket")), joined).select(F.col("cls").alias("entry"), F.col("bucket").alias("unit"), "whole")
+    # a set alone in its bucket has no group, and no pairs
+    return rest.join(groups, "entry").withColumn("bucket", F.when(F.col("whole"), F.col("unit")).otherwise(F.col("bucket"))).drop("entry", "unit", "whole").distinct()
+
+
+def _spot(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
 def _key_filter(wanted: DataFrame, column: str) -> np.ndarray:
     """FILTER_BITS bits, packed, of which those of the column's values are set."""
-    spot = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    spot = _spot(column)
     rows = wanted.groupBy(F.bitmap_bucket_number(spot).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits")).collect()
     # FILTER_BITS / 32768 rows of 4 KB, whatever the input
     bits = np.zeros(FILTER_BITS, dtype=bool)
@@ -417,6 +443,19 @@ def _key_filter(wanted: DataFrame, column: str) -> np.ndarray:
     return np.packbits(bits)
 
 
+def _keyed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(least, text, spot): each document's key, text and place in the filter of keys."""
+    keyed = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("least"), F.col(text).alias("text"))
+    return keyed.withColumn("spot", _spot("least"))
+
+
+def _asked(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Slices of the documents that the filter lets pass; other texts aren't looked at."""
+    on = np.unpackbits(bits).astype(bool)
+    for batch in batches:
+        yield from pieces(batch.filter(pa.array(on[batch.column(2).to_numpy()])), "text")
+
+
 def _verify(docs: DataFrame, key: str, text: str, k: int, pairs: DataFrame, classes: DataFrame, t: Threshold) -> DataFrame:
     """(a, b, both, spread, linked): each pair's intersection, of whole sets, and whether it reaches the threshold.
 
@@ -427,20 +466,18 @@ def _verify(docs: DataFrame, key: str, text: str, k: int, pairs: DataFrame, clas
     that is in many pairs gathers them.
     """
     sides = pairs.select(F.col("a").alias("cls"), "a", "b").unionByName(pairs.select(F.col("b").alias("cls"), "a", "b"))
-    asked = docs.sparkSession.sparkContext.broadcast(_key_filter(sides, "cls"))
+    asks = stored(sides.join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls"), "asks")
+    asked = docs.sparkSession.sparkContext.broadcast(_key_filter(asks, "least"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        on = np.unpackbits(asked.value).astype(bool)
-        for batch in batches:
-            for part in pieces(batch, text):
-                values, offsets = token_sets(part.column(1), k)
-                keys = set_keys(values, offsets)
-                hit = np.flatnonzero((keys != 0) & on[keys % FILTER_BITS])
-                tokens = pa.array([values[offsets[i] : offsets[i + 1]].tobytes() for i in hit], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit)), pa.array(keys[hit]), tokens], ["least", "cls", "tokens"])
-
-    sets = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("least"), F.col(text)).mapInArrow(emit, "least long, cls long, tokens binary")
-    asks = sides.join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls")
+        for part in _asked(batches, asked.value):
+            values, offsets = token_sets(part.column(1), k)
+            keys = set_keys(values, offsets)
+            hit = np.flatnonzero(keys != 0)
+            tokens = pa.array([values[offsets[i] : offsets[i + 1]].tobytes() for i in hit], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit)), pa.array(keys[hit]), tokens], ["least", "cls", "tokens"])
+
+    sets = _keyed_texts(docs, key, text).mapInArrow(emit, "least long, cls long, tokens binary")
     moved = sets.join(asks, ["cls", "least"]).select("a", "b", "cls", "tokens")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -472,20 +509,18 @@ def _verify(docs: DataFrame, key: str, text: str, k: int, pairs: DataFrame, clas
 def _tokens_of(rest: DataFrame, docs: DataFrame, key: str, text: str, k: int, classes: DataFrame) -> DataFrame:
     """(cls, tok) of the sets of ``rest``."""
     sets = rest.select("cls").distinct()
-    asked = docs.sparkSession.sparkContext.broadcast(_key_filter(sets, "cls"))
+    one = stored(sets.join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls"), "asks")
+    asked = docs.sparkSession.sparkContext.broadcast(_key_filter(one, "least"))
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        on = np.unpackbits(asked.value).astype(bool)
-        for batch in batches:
-            for part in pieces(batch, text):
-                values, offsets = token_sets(part.column(1), k)
-                keys = set_keys(values, offsets)
-                hit = np.flatnonzero((keys != 0) & on[keys % FILTER_BITS])
-                pos, owner = _flat(offsets, hit)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit[owner])), pa.array(keys[hit][owner]), pa.array(values[pos].view(np.int64))], ["least", "cls", "tok"])
-
-    tokens = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("least"), F.col(text)).mapInArrow(unfold, "least long, cls long, tok long")
-    one = sets.join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls")
+        for part in _asked(batches, asked.value):
+            values, offsets = token_sets(part.column(1), k)
+            keys = set_keys(values, offsets)
+            hit = np.flatnonzero(keys != 0)
+            pos, owner = _flat(offsets, hit)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit[owner])), pa.array(keys[hit][owner]), pa.array(values[pos].view(np.int64))], ["least", "cls", "tok"])
+
+    tokens = _keyed_texts(docs, key, text).mapInArrow(unfold, "least long, cls long, tok long")
     return tokens.join(one, ["cls", "least"]).select("cls", "tok")
 
 
@@ -571,8 +606,9 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         # last, what large buckets still hold in different components, pair by pair
         rest = still_open(rest, "open")
         if not rest.isEmpty():
+            rest = _units(rest)
             seen = met.select("cls", "middle", *ordered("cls", "middle")).join(tried.select("a", "b", "both", "spread"), ["a", "b"], "left")
-            rest = stored(rest.join(seen.select("cls", "middle", "both", "spread"), "cls", "left"), "open")
+            rest = stored(rest.join(seen.select("cls", "middle", "both", "spread"), "cls", "left"), "units")
             x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
             # what two sets can share: their tokens that others have; and with one middle, part by part the less of
             # what each shares with the middle, and of what else each has the less
@@ -583,8 +619,9 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
             enough = most * (t.den + t.num) >= (x("size") + y("size")) * t.num
             # a set has met its middle already
             fresh = (x("cls") != F.coalesce(y("middle"), y("cls"))) & (y("cls") != F.coalesce(x("middle"), x("cls")))
-            open_pair = (x("root") != y("root")) & alike(x("size"), y("size")) & fresh & enough
-            # a bucket's blocks meet each other one by one
+            once = (y("code") % 2 == 1) | (x("cls") < y("cls"))
+            open_pair = once & (x("root") != y("root")) & alike(x("size"), y("size")) & fresh & enough
+            # a unit's blocks meet each other one by one
             n_blocks = rest.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
             rest = _salted(rest, n_blocks).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "cls"), F.col("blocks")))
             other = rest.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))

@@ -662,6 +662,42 @@ def test_jaccard_brute(spark, seed, monkeypatch):
     assert [(got[i].n_shingles, got[i].component_id) for i, _, _ in rows] == [(len(s), least[r]) for s, r in zip(sets, root)]
 
 
+def test_jaccard_family_meets_once(spark, monkeypatch):
+    """Near copies that share many buckets meet pair by pair once, not in each bucket."""
+    rng = random.Random(11)
+    base = _text(rng, 400).split()
+    changes = {i: f"new{i}" for i in range(7, 400, 10)}
+    rows = []
+    for i in range(60):
+        mine = set(rng.sample(sorted(changes), 10))
+        rows.append((i, " ".join(changes[at] if at in mine else w for at, w in enumerate(base)), "en"))
+    sets, root = _classes(rows)
+    least = {}
+    for i, r in enumerate(root):
+        least.setdefault(r, i)
+    kept = []
+
+    def stored(df, name):
+        out = shared.stored(df, name)
+        if {"bucket", "root"} <= set(out.columns):
+            kept.append(out)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(_docs(spark, rows)).collect()}
+    assert [got[i] for i in range(60)] == [least[r] for r in root] and 1 < len(least) < 60
+    last = kept[-1].groupBy("bucket").agg(F.countDistinct("cls").alias("n")).agg(F.sum(F.col("n") * F.col("n")).alias("pairs"), F.max("n").alias("most")).first()
+    assert last.most > 30 and last.pairs <= 6 * 60 * 60
+
+
+def test_jaccard_reads_only_asked_texts():
+    """What the filter of keys doesn't let pass isn't cut into slices."""
+    batch = pa.RecordBatch.from_pydict({"least": [1, 2, 3], "text": ["a", "b", None], "spot": pa.array([5, 6, 7], pa.int64())})
+    bits = np.zeros(jaccard_join.FILTER_BITS, bool)
+    bits[[5, 7]] = True
+    assert [x for part in jaccard_join._asked(iter([batch]), np.packbits(bits)) for x in part.column(0).to_pylist()] == [1, 3]
+
+
 def test_every_level_finds_its_pairs():
     """Linked sets share a signature, whatever tokens count as common."""
     rng = np.random.default_rng(7)
