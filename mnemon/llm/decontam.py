@@ -12,6 +12,11 @@ of ceil((n - k)/(k + 1)) words unchanged, so every window that can match shares
 such a run (three words at most are asked for) with the item, at the same place
 but for the edits before it.  This loses no match and makes the scan one lookup
 a word.
+
+Walks that edits have driven apart don't always meet again, so keys of whole
+long items would lose matches.  A long item is told by its pieces instead: of
+the edits that a match may have, one piece at least has no more than its share,
+so it is found like a short item, and the item is compared exactly round it.
 """
 
 from __future__ import annotations
@@ -33,8 +38,8 @@ ITEM_BYTES = 16 << 20
 STEPS = 1.5
 #: Cells (rows times embedding steps) that are embedded at once.
 CELLS = 1 << 21
-#: Words of a long item: its windows are told by its words before they are embedded.
-LONG = 2000
+#: Words beyond which an item is long, and told by pieces of PIECE words or more, less than twice as many.
+LONG, PIECE = 150, 75
 
 HIT_SCHEMA = "item_id long, item_words int, distance int, similarity double, start long, end long"
 
@@ -132,9 +137,23 @@ def best_edit(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(row[end]), end - size, end
 
 
+def joined(spans: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 @dataclass
 class Items:
-    """The benchmark's items, their seeds and keys; read-only once built."""
+    """The benchmark's items, and the seeds and keys of their pieces; read-only once built.
+
+    Piece i is the first of item i, or the whole of a short one; then come the other pieces of long items.
+    """
 
     ids: list
     texts: list[str]
@@ -146,31 +165,41 @@ class Items:
         self.words = [h[doc == i] for i in range(len(self.ids))]
         self.length = np.array([len(w) for w in self.words], dtype=np.int64)
         self.edits = np.array([self.search.edits(int(n)) for n in self.length], dtype=np.int64)
-        order = np.argsort(self.length, kind="stable")
-        self.keys = np.empty((len(self.ids), self.search.walks * self.search.keys_a_walk()), dtype=U64)
-        for low, high in blocks(self.length[order]):
+        cuts = [np.linspace(0, n, n // PIECE + 1).astype(np.int64) if n > LONG else np.array([0, n]) for n in self.length]
+        spot = [(i, int(cut[0]), int(cut[1])) for i, cut in enumerate(cuts)] + [(i, int(a), int(b)) for i, cut in enumerate(cuts) for a, b in zip(cut[1:-1], cut[2:])]
+        self.item, self.offset, end = np.array(spot, dtype=np.int64).reshape(-1, 3).T
+        self.size = end - self.offset
+        pieces = [self.words[i][a:b] for i, a, b in spot]
+        order = np.argsort(self.size, kind="stable")
+        self.piece_keys = np.empty((len(pieces), self.search.walks * self.search.keys_a_walk()), dtype=U64)
+        for low, high in blocks(self.size[order]):
             some = order[low:high]
-            table = np.zeros((len(some), max(1, int(self.length[some[-1]]))), dtype=U64)
-            for row, i in enumerate(some):
-                table[row, : self.length[i]] = self.words[i]
-            self.keys[some] = cgk_keys(table, np.maximum(self.length[some], 1), self.search)
+            table = np.zeros((len(some), max(1, int(self.size[some[-1]]))), dtype=U64)
+            for row, p in enumerate(some):
+                table[row, : self.size[p]] = pieces[p]
+            self.piece_keys[some] = cgk_keys(table, np.maximum(self.size[some], 1), self.search)
         self.seeds = {}
         for size in (1, 2, 3):
-            mine = [i for i, w in enumerate(self.words) if len(w) and self.search.seed_words(len(w)) == size]
-            runs = [(run_hash(self.words[i], size), i) for i in mine]
+            mine = [p for p, w in enumerate(pieces) if len(w) and self.search.seed_words(len(w)) == size]
+            runs = [(run_hash(pieces[p], size), p) for p in mine]
             if runs:
                 value = np.concatenate([r for r, _ in runs])
-                item = np.concatenate([np.full(len(r), i) for r, i in runs])
+                piece = np.concatenate([np.full(len(r), p) for r, p in runs])
                 place = np.concatenate([np.arange(len(r)) for r, _ in runs])
                 order = np.argsort(value, kind="stable")
                 gate = np.zeros(1 << 20, dtype=bool)
                 gate[(value & U64((1 << 20) - 1)).astype(np.int64)] = True
-                self.seeds[size] = (value[order], item[order], place[order], gate)
+                self.seeds[size] = (value[order], piece[order], place[order], gate)
+
+    @property
+    def keys(self) -> np.ndarray:
+        """Each item's keys, of a long one those of its first piece."""
+        return self.piece_keys[: len(self.ids)]
 
     def windows(self, h: np.ndarray, doc: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, first word) of each window that shares a seed run with its item, once each."""
-        items, starts = [], []
-        for size, (value, item, place, gate) in self.seeds.items():
+        """(piece, first word) of each window that shares a seed run with its piece, once each."""
+        found, starts = [], []
+        for size, (value, piece, place, gate) in self.seeds.items():
             if len(h) < size:
                 continue
             run = run_hash(h, size)
@@ -180,69 +209,69 @@ class Items:
             many = high - low
             pos = np.repeat(at, many)
             hit = np.arange(len(pos)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)
-            items.append(item[hit])
+            found.append(piece[hit])
             starts.append(np.maximum(pos - place[hit], first[doc[pos]]))
-        if not items:
+        if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        both = np.unique(np.stack((np.concatenate(items), np.concatenate(starts)), axis=1), axis=0)
+        both = np.unique(np.stack((np.concatenate(found), np.concatenate(starts)), axis=1), axis=0)
         return both[:, 0], both[:, 1]
 
-    def _worth(self, h: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray, i: int, s: int, tried: dict[tuple[int, int], int]) -> bool:
-        """Whether a long item's window is to be embedded: it has the item's words, and none that close by was before it.
-
-        What is compared exactly reaches as many words to either side as edits
-        are allowed, so one window stands for those that near.
-        """
-        d, k = int(doc[s]), int(self.edits[i])
-        if s - tried.get((d, i), -k - 1) <= k:
-            return False
-        a, b = max(int(first[d]), s - k), min(int(last[d]), s + int(self.length[i]) + k)
-        if np.isin(self.words[i], h[a:b]).sum() < self.length[i] - k:
-            return False
-        tried[d, i] = s
-        return True
+    def _holding(self, i: int, h: np.ndarray, spans: set[tuple[int, int]]) -> set[tuple[int, int]]:
+        """The spans that hold as many of an item's words, repeats too, as edits leave of it."""
+        names, many = np.unique(self.words[i], return_counts=True)
+        low, high = min(a for a, _ in spans), max(b for _, b in spans)
+        at = np.searchsorted(names, h[low:high])
+        at[at == len(names)] = 0
+        at = np.where(names[at] == h[low:high], at, len(names))
+        least = self.length[i] - self.edits[i]
+        return {(a, b) for a, b in spans if np.minimum(np.bincount(at[a - low : b - low], minlength=len(names) + 1)[:-1], many).sum() >= least}
 
     def hits(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple]:
         """(document, item, distance, first byte, end byte) of the nearest part for each pair within the limit."""
         h, doc, starts, ends = words(data, offsets, PLAIN)
         first = np.searchsorted(doc, np.arange(len(offsets) - 1), "left")
         last = np.searchsorted(doc, np.arange(len(offsets) - 1), "right")
-        item, at = self.windows(h, doc, first)
+        piece, at = self.windows(h, doc, first)
         best: dict[tuple[int, int], tuple] = {}
+        around: dict[tuple[int, int], set[tuple[int, int]]] = {}
         # a text that hasn't as many words as edits leave of an item can't match
-        edits = self.edits[item]
-        room = np.minimum(last[doc[at]], at + self.length[item] + edits) - np.maximum(first[doc[at]], at - edits) if len(at) else at
-        keep = room >= self.length[item] - edits
-        item, at = item[keep], at[keep]
-        order = np.lexsort((at, item, self.length[item]))  # those of one length together, else as they are
-        item, at = item[order], at[order]
-        tried: dict[tuple[int, int], int] = {}
-        for low, high in blocks(self.length[item]):
-            i, s = item[low:high], at[low:high]
-            if self.length[i[-1]] > LONG:
-                some = [x for x in range(len(i)) if self.length[i[x]] <= LONG or self._worth(h, doc, first, last, int(i[x]), int(s[x]), tried)]
-                i, s = i[some], s[some]
-                if not some:
-                    continue
-            width = int(self.length[i].max())
+        length, edits = self.length[self.item[piece]], self.edits[self.item[piece]]
+        low, high = at - self.offset[piece] - edits, at - self.offset[piece] + length + edits
+        low, high = np.maximum(low, first[doc[at]]), np.minimum(high, last[doc[at]])
+        keep = high - low >= length - edits
+        piece, at, low, high = piece[keep], at[keep], low[keep], high[keep]
+        order = np.lexsort((at, piece, self.size[piece]))  # those of one length together, else as they are
+        piece, at, low, high = piece[order], at[order], low[order], high[order]
+
+        def compare(d: int, i: int, a: int, b: int) -> None:
+            distance, x, y = best_edit(self.words[i], h[a:b])
+            if distance <= self.edits[i] and y > x:
+                found = (distance, int(starts[a + x]), int(ends[a + y - 1]))
+                if found < best.get((d, i), (int(self.length[i]) + 1,)):
+                    best[d, i] = found
+
+        for block, stop in blocks(self.size[piece]):
+            p, s = piece[block:stop], at[block:stop]
+            width = int(self.size[p].max())
             spot = s[:, None] + np.arange(width)[None, :]
-            inside = (np.arange(width)[None, :] < self.length[i][:, None]) & (spot < last[doc[s]][:, None])
+            inside = (np.arange(width)[None, :] < self.size[p][:, None]) & (spot < last[doc[s]][:, None])
             table = np.where(inside, h[np.minimum(spot, len(h) - 1)], U64(0))
-            close = (cgk_keys(table, self.length[i], self.search) == self.keys[i]).any(axis=1)
+            close = (cgk_keys(table, self.size[p], self.search) == self.piece_keys[p]).any(axis=1)
             for w in np.flatnonzero(close):
-                d, n = int(doc[s[w]]), int(self.length[i[w]])
-                k = self.search.edits(n)
-                if best.get((d, int(i[w])), (1,))[0] == 0:
+                d, i, a, b = int(doc[s[w]]), int(self.item[p[w]]), int(low[block + w]), int(high[block + w])
+                n = int(self.length[i])
+                if n > LONG:
+                    around.setdefault((d, i), set()).add((a, b))
+                    continue
+                if best.get((d, i), (1,))[0] == 0:
                     continue  # windows come in order, so the first exact one stands
-                a, b = max(int(first[d]), int(s[w]) - k), min(int(last[d]), int(s[w]) + n + k)
-                mine = self.words[i[w]]
-                if n <= LONG and (mine[:, None] == h[a:b][None, :]).any(axis=1).sum() < n - k:
+                if (self.words[i][:, None] == h[a:b][None, :]).any(axis=1).sum() < n - self.edits[i]:
                     continue  # k edits leave n - k of the item's words in place
-                distance, x, y = best_edit(mine, h[a:b])
-                if distance <= k and y > x:
-                    found = (distance, int(starts[a + x]), int(ends[a + y - 1]))
-                    if found < best.get((d, int(i[w])), (n + 1,)):
-                        best[d, int(i[w])] = found
+                compare(d, i, a, b)
+        # what pieces say of a long item is compared as one where it overlaps, so no word of a text is gone through twice
+        for (d, i), spans in around.items():
+            for a, b in joined(self._holding(i, h, spans)):
+                compare(d, i, a, b)
         return [(d, i, *found) for (d, i), found in sorted(best.items())]
 
 

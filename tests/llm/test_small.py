@@ -317,6 +317,29 @@ def test_very_long_item(spark):
     assert big.keys.shape[0] == 2001 and big.keys.nbytes < 4 << 20
 
 
+def test_long_items_by_every_window(spark):
+    """A run of a long item shortly before its copy hides nothing, nor do the most edits allowed."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [[rng.choice(vocabulary) for _ in range(n)] for n in (151, 700, 2400)]
+    table = spark.createDataFrame([(j, " ".join(item)) for j, item in enumerate(items)], "item_id long, text string")
+    docs, want = [], {}
+    for j, item in enumerate(items):
+        for edits in (0, len(item) // 12, len(item) // 4 - 3):
+            for _ in range(3):
+                copy = list(item)
+                for at in sorted(rng.sample(range(len(item)), edits), reverse=True):
+                    copy[at : at + 1] = rng.choice([[], ["new"], ["new", copy[at]]])
+                body = item[:3] + [f"f{x}" for x in range(len(item) // 5)] + copy + ["end"] * 40
+                want[len(docs), j] = _edits(item, body)
+                docs.append((len(docs), " ".join(body), "en"))
+    got = {(r.doc_id, r.item_id): r.distance for r in decontam.find_passages(_docs(spark, docs), table).collect()}
+    assert got == want and max(want.values()) > 500
+    # a copy that is the item's second half twice has a half too many edits
+    half = items[2][1200:] * 2
+    assert decontam.find_passages(_docs(spark, [(1, " ".join(half), "en")]), table).count() == 0
+
+
 # --- language, told again -----------------------------------------------------------------------------
 
 
