@@ -91,3 +91,19 @@ def test_stages_odd(spark):
             # id 1 repeats, so its near copy 2 comes first
             assert {2, 7, None} <= set(got) and 1 not in got and not {3, 4, 5} & set(got) and got[7].text == "mail me at [EMAIL] about these few things here"
             assert all((r.pipeline_key, r.again, r.row, r.n, r.lettered, r.c0, r.least) == more for r in docs.collect())
+
+
+def test_pipeline_long_passages(spark, tmp_path):
+    """Documents with a long passage go, also when a run of it comes shortly before; those with half of it stay."""
+    import random
+
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    item = [f"w{rng.randrange(3000)}" for _ in range(2200)]
+    other = [f"f{i}" for i in range(400)]
+    edited = [w if rng.random() > 0.2 else "new" for w in item]
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = [item, item[:3] + other + item, other + item, item[:3] + other + edited + other, other, item[:1100], item[1100:] + other]
+    docs = spark.createDataFrame([(i, " ".join(t), "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()) == [4, 5, 6]
