@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,11 +105,11 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 _LOCAL_CHARS = [bool(_LOCAL.match(chr(c))) for c in range(128)]
 
 
-def loose_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Candidates of the loose patterns that overlap no base span and none before them."""
+def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """All matches of the loose patterns that overlap no base span, by their start; they may overlap each other."""
     found = []
-    lower_at = "at" in text or "AT" in text or "At" in text
-    if lower_at and ("dot" in text or "DOT" in text or "Dot" in text):
+    lower = text.lower()
+    if "at" in lower and "dot" in lower:
         found += [("hidden_email", m.start(), m.end()) for m in _AT.finditer(text)]
     digits = bool(_DIGIT.search(text))
     if digits:
@@ -126,16 +126,30 @@ def loose_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str,
             busy[-1][1] = max(busy[-1][1], b)
         else:
             busy.append([a, b])
-    out, at, end = [], 0, 0
+    out, at = [], 0
     for kind, a, b in sorted(found, key=lambda s: (s[1], -s[2])):
         while at < len(busy) and busy[at][1] <= a:
             at += 1
-        if a >= end and (at == len(busy) or b <= busy[at][0]):
+        if at == len(busy) or b <= busy[at][0]:
+            out.append((kind, a, b))
+    return out
+
+
+def apart(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The spans, given by their start, that overlap none kept before them."""
+    out, end = [], 0
+    for kind, a, b in spans:
+        if a >= end:
             out.append((kind, a, b))
             end = b
     return out
 
 
+def loose_spans(text: str, taken: list[tuple[str, int, int]], stands: Callable[[str, int, int], bool] = lambda *_: True) -> list[tuple[str, int, int]]:
+    """Of the candidates that stand, those that overlap none before them: one that falls hides no other."""
+    return apart([s for s in candidates(text, taken) if stands(*s)])
+
+
 def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     """Each labeler's vote on a span: 1 for, -1 against, 0 none."""
     span = text[start:end]
@@ -274,7 +288,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 for i, cell in zip(part.column(0).to_pylist(), part.column(1)):
                     body = cell.as_py() or ""
                     base = base_spans(body)
-                    loose = [(k, a, b, candidate_code(body, k, a, b)) for k, a, b in loose_spans(body, base)]
+                    loose = [(k, a, b, candidate_code(body, k, a, b)) for k, a, b in candidates(body, base)]
                     rows.append({
                         key: i,
                         "base": [{"kind": k, "start": a, "end": b} for k, a, b in base],
@@ -311,7 +325,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             rows = []
             for r in batch.to_pylist():
                 base = [(s["kind"], s["start"], s["end"]) for s in r["base"]]
-                added = [(s["kind"], s["start"], s["end"]) for s in r["loose"] if s["code"] in good]
+                added = apart([(s["kind"], s["start"], s["end"]) for s in r["loose"] if s["code"] in good])
                 rows.append({
                     key: r[key], **{f"n_{k}": sum(s[0] == k for s in base) for k in BASE},
                     "base_sha256": hashlib.sha256(_digest(base).encode()).hexdigest(), "spans": _digest(base + added), "n_added": len(added),
@@ -340,7 +354,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                     body = cell.as_py()
                     if body:
                         base = base_spans(body)
-                        spans = base + [(k, a, b) for k, a, b in loose_spans(body, base) if candidate_code(body, k, a, b) in good]
+                        spans = base + loose_spans(body, base, lambda k, a, b: candidate_code(body, k, a, b) in good)
                         end, out = 0, []
                         for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
                             if a >= end:

@@ -107,3 +107,24 @@ def test_pipeline_long_passages(spark, tmp_path):
     texts = [item, item[:3] + other + item, other + item, item[:3] + other + edited + other, other, item[:1100], item[1100:] + other]
     docs = spark.createDataFrame([(i, " ".join(t), "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     assert sorted(r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()) == [4, 5, 6]
+
+
+def test_pipeline_every_position(spark, tmp_path):
+    """Passages whose keys all miss go too; rejected candidates and mixed case hide no personal data."""
+    import random
+
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    items = [[f"w{rng.randrange(5000)}" for _ in range(150)] for _ in range(40)]
+    spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    held = [[w for i, w in enumerate(t) if i % 4 != 2 or i > 147] for t in items]  # 37 words less, the most there may be
+    less = [[w for i, w in enumerate(t) if i % 4 != 2 or i > 147][2:] for t in items]
+    texts = [["before", *t, "after"] for t in held] + [["before", *t, "after"] for t in less]
+    docs = spark.createDataFrame([(i, " ".join(t), "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()) == list(range(40, 80))
+
+    texts = ["the token AB12CDEF3456GHIJ7890KLMN here", "write to joe aT example dOt com please"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, str(tmp_path)).collect()}
+    assert got == {0: "the token [SECRET] here", 1: "write to [HIDDEN_EMAIL] please"}
