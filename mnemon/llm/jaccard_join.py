@@ -60,6 +60,8 @@ GROUPS = 32
 HOT_COPIES, HOT_MOST = 64, 1 << 16
 #: Tasks that the members of one bucket are dealt out to, and members of a bucket that meet others at once.
 SALTS, BLOCK = 8, 1024
+#: Pairs of one set that a task compares with one copy of it, on average.
+HUB_PAIRS = 32
 #: Bits of the filter of documents to read again; what it lets pass wrongly costs time only.
 FILTER_BITS = 1 << 23
 
@@ -110,6 +112,28 @@ def set_keys(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def names(keys: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """What sets are called: size and the low ``width`` bytes of the key, or the whole key."""
+    return keys if width == 8 else keys & ((1 << 8 * width) - 1) ^ (size.astype(np.int64) << 40)
+
+
+def _name(width: int) -> Column:
+    """``names`` of the columns key and n."""
+    return F.col("key") if width == 8 else F.col("key").bitwiseAND(F.lit((1 << 8 * width) - 1)).bitwiseXOR(F.shiftleft("n", 40))
+
+
+def _width(classes: DataFrame) -> int:
+    """The fewest bytes of the keys, 4 at least, by which all sets have names of their own.
+
+    An index entry is sent with its set's name, so these bytes are most of what
+    it weighs where few of an entry's signatures go to one task.
+    """
+    for width in (4, 5, 6, 7):
+        if classes.groupBy(_name(width).alias("name")).agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").isEmpty():
+            return width
+    return 8
+
+
 def _flat(offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The positions of the rows' values one after another, and which of ``rows`` each is of."""
     size = offsets[rows + 1] - offsets[rows]
@@ -265,7 +289,7 @@ def _hot(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     What isn't among them has less than 1/HOT_MOST of all documents as copies.
     """
-    rows = classes.where((F.col("copies") >= HOT_COPIES) & F.col("least").isNotNull()).orderBy(F.desc("copies"), "cls").limit(HOT_MOST).select("cls", "least").collect()
+    rows = classes.where((F.col("copies") >= HOT_COPIES) & F.col("least").isNotNull()).orderBy(F.desc("copies"), "key").limit(HOT_MOST).select("key", "least").collect()
     found = np.array(sorted((r[0], r[1]) for r in rows), dtype=np.int64).reshape(-1, 2)
     return found[:, 0], found[:, 1]
 
@@ -277,8 +301,8 @@ def _salted(rows: DataFrame, one_each: DataFrame, how: str = "inner") -> DataFra
     return dealt.join(every, ["bucket", "salt"], how).drop("salt")
 
 
-def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: np.ndarray, hot: tuple[np.ndarray, np.ndarray], parts: int) -> DataFrame:
-    """Signatures packed by the task that they go to: 5 bytes each, by owner; what is said of owners lies byte by byte, so zeros compress."""
+def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: np.ndarray, hot: tuple[np.ndarray, np.ndarray], parts: int, width: int) -> DataFrame:
+    """Signatures packed by the task that they go to: 4 bytes each, by owner; what is said of owners lies byte by byte, so zeros compress."""
     common = docs.sparkSession.sparkContext.broadcast(common)  # COMMON_MOST numbers at most
     spoken = docs.sparkSession.sparkContext.broadcast(hot)  # HOT_MOST pairs at most
 
@@ -300,6 +324,11 @@ def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: n
                 pos, _ = _flat(offsets, first)
                 made = signatures(values[pos], np.concatenate(([0], np.cumsum(size[first]))), common.value, t)
                 part = (made.signature >> U64(40)) % U64(parts)
+                # signatures of a set that are alike in their task count once there, so less of them is asked for
+                alike = mix((part << U64(32) | made.signature & U64(0xFFFFFFFF)) ^ mix(made.row[made.entry].astype(U64)))
+                ordered = np.sort(alike)
+                again = np.isin(alike, ordered[1:][ordered[1:] == ordered[:-1]])
+                need = np.maximum(made.need - np.bincount(made.entry[again], minlength=len(made.need)), 1)
                 # entries that are alike in code and size follow each other, which compresses well
                 place = np.empty(len(made.row), dtype=np.int64)
                 place[np.lexsort((size[first][made.row], made.code))] = np.arange(len(made.row))
@@ -309,10 +338,10 @@ def _index(docs: DataFrame, key: str, text: str, k: int, t: Threshold, common: n
                 new[1:] = (part[1:] != part[:-1]) | (entry[1:] != entry[:-1])
                 at = np.flatnonzero(new)
                 many = np.diff(np.append(at, len(sig)))
-                low = sig.view(np.uint8).reshape(-1, 8)[:, :5]
+                low = sig.astype(np.uint32)
                 of = made.row[entry[at]]
-                owner = keys[first][of]
-                about = np.stack((size[first][of], made.code[entry[at]], made.need[entry[at]], many), axis=1).astype(np.uint32).view(np.uint8)
+                owner = keys[first][of].view(np.uint8).reshape(-1, 8)[:, :width]
+                about = np.stack((size[first][of], made.code[entry[at]], need[entry[at]], many), axis=1).astype(np.uint32).view(np.uint8)
                 cut = np.flatnonzero(np.append(True, part[at][1:] != part[at][:-1]))
                 stop = np.append(cut[1:], len(at))
                 byte = np.append(at, len(sig))
@@ -338,7 +367,7 @@ def _found(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*arrays, *[pa.nulls(n, pa.int64())] * (5 - len(arrays))], ["kind", "a", "b", "c", "d"])
 
 
-def _buckets(packed: DataFrame, parts: int, t: Threshold) -> DataFrame:
+def _buckets(packed: DataFrame, parts: int, t: Threshold, width: int) -> DataFrame:
     """What shares signatures, by ``kind``.
 
     0: candidate pairs (a, b) of small buckets; 1: members of large buckets
@@ -351,12 +380,11 @@ def _buckets(packed: DataFrame, parts: int, t: Threshold) -> DataFrame:
         for batch in batches:
             for p, s, o, x in zip(*(batch.column(i) for i in range(4))):
                 salt = mix_int(p.as_py() + 77)
-                raw = np.frombuffer(s.as_buffer(), np.uint8).reshape(-1, 5)
-                whole = np.zeros((len(raw), 8), dtype=np.uint8)
-                whole[:, :5] = raw
                 four = np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(16, -1).T).view(np.uint32)
-                sig.append(whole.view(U64).ravel())
-                owner.append(np.repeat(np.frombuffer(o.as_buffer(), np.int64), four[:, 3]))
+                whole = np.zeros((len(four), 8), dtype=np.uint8)
+                whole[:, :width] = np.frombuffer(o.as_buffer(), np.uint8).reshape(-1, width)
+                sig.append(np.frombuffer(s.as_buffer(), np.uint32))
+                owner.append(np.repeat(names(whole.view(np.int64).ravel(), four[:, 0], width), four[:, 3]))
                 about.append(np.repeat(four[:, :3], four[:, 3], axis=0))
         if not sig:
             return
@@ -403,8 +431,8 @@ def _buckets(packed: DataFrame, parts: int, t: Threshold) -> DataFrame:
             yield _found(0, pairs[:, 0], pairs[:, 1])
         member = np.repeat(~small, n)
         if member.any():
-            # 5 bytes name a signature in its task; the same number in another task is another bucket
-            yield _found(1, mix(sig[member] ^ U64(salt)).view(np.int64), owner[member], code[member], size[member])
+            # 4 bytes name a signature in its task; the same number in another task is another bucket
+            yield _found(1, mix(sig[member].astype(U64) ^ U64(salt)).view(np.int64), owner[member], code[member], size[member])
 
     return packed.repartitionById(parts, "part").mapInArrow(match, _FOUND)
 
@@ -456,17 +484,32 @@ def _asked(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.R
         yield from pieces(batch.filter(pa.array(on[batch.column(2).to_numpy()])), "text")
 
 
-def _verify(docs: DataFrame, key: str, text: str, k: int, pairs: DataFrame, classes: DataFrame, t: Threshold) -> DataFrame:
+def _hubs(pairs: DataFrame) -> DataFrame:
+    """(cls, hub, deal): the sets that each deal of a hub needs, the hub's own included.
+
+    A pair's hub is that of its sets which is in more pairs.  A hub's pairs are
+    dealt out by HUB_PAIRS, so that a set in many pairs isn't sent to each.
+    """
+    many = pairs.select(F.col("a").alias("bucket")).unionByName(pairs.select(F.col("b").alias("bucket"))).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    many = stored(many.where("n > 1"), "many")  # a set that isn't there is in one pair
+    both = _salted(pairs.select(F.col("a").alias("bucket"), F.col("b").alias("cls")), many, "left").select(F.col("cls").alias("bucket"), F.col("bucket").alias("cls"), F.coalesce("n", F.lit(1)).alias("na"))
+    both = _salted(both, many, "left").select(F.col("cls").alias("a"), F.col("bucket").alias("b"), "na", F.coalesce("n", F.lit(1)).alias("nb"))
+    at_a = F.col("na") >= F.col("nb")
+    both = both.select(F.when(at_a, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(at_a, F.col("b")).otherwise(F.col("a")).alias("cls"), F.greatest("na", "nb").alias("n"))
+    spokes = stored(both.select("cls", "hub", F.pmod(F.xxhash64("cls"), F.ceil(F.col("n") / HUB_PAIRS)).alias("deal")), "spokes")
+    return spokes.unionByName(spokes.select(F.col("hub").alias("cls"), "hub", "deal").distinct())
+
+
+def _verify(docs: DataFrame, key: str, text: str, k: int, pairs: DataFrame, classes: DataFrame, t: Threshold, width: int) -> DataFrame:
     """(a, b, both, spread, linked): each pair's intersection, of whole sets, and whether it reaches the threshold.
 
     ``spread`` has the intersection's size in each of GROUPS parts of the universe.
 
     ``classes`` names the one document (cls, least) that speaks for a set.  Its
-    set goes to each of its pairs, so each pair has a task's two rows and no set
-    that is in many pairs gathers them.
+    set goes to the deals of pairs that it is in, so a task holds one set at a
+    time and no set that is in many pairs gathers them.
     """
-    sides = pairs.select(F.col("a").alias("cls"), "a", "b").unionByName(pairs.select(F.col("b").alias("cls"), "a", "b"))
-    asks = stored(sides.join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls"), "asks")
+    asks = stored(_hubs(pairs).join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls"), "asks")
     asked = docs.sparkSession.sparkContext.broadcast(_key_filter(asks, "least"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,38 +518,38 @@ def _verify(docs: DataFrame, key: str, text: str, k: int, pairs: DataFrame, clas
             keys = set_keys(values, offsets)
             hit = np.flatnonzero(keys != 0)
             tokens = pa.array([values[offsets[i] : offsets[i + 1]].tobytes() for i in hit], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit)), pa.array(keys[hit]), tokens], ["least", "cls", "tokens"])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit)), pa.array(names(keys, np.diff(offsets), width)[hit]), tokens], ["least", "cls", "tokens"])
 
     sets = _keyed_texts(docs, key, text).mapInArrow(emit, "least long, cls long, tokens binary")
-    moved = sets.join(asks, ["cls", "least"]).select("a", "b", "cls", "tokens")
+    moved = sets.join(asks, ["cls", "least"]).select("hub", "deal", (F.col("cls") != F.col("hub")).alias("spoke"), "cls", "tokens")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, first, kept = None, None, None
+        deal, last, kept = None, None, None
         kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("both", pa.int64()), ("spread", pa.list_(pa.int32())), ("linked", pa.bool_())])
-        found: list[dict] = []
         for batch in batches:
-            a, b, cls = (batch.column(i).to_numpy() for i in range(3))
+            found: list[dict] = []
+            hub, dealt, _, cls = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             for i in range(batch.num_rows):
-                if (a[i], b[i]) != pair:
-                    pair, first, kept = (a[i], b[i]), cls[i], np.frombuffer(batch.column(3)[i].as_buffer(), U64)
-                elif cls[i] != first:
-                    p, q = kept, np.frombuffer(batch.column(3)[i].as_buffer(), U64)
-                    first = cls[i]  # repeated rows of the other set don't count again
-                    if len(p) > len(q):
-                        p, q = q, p
+                tokens = np.frombuffer(batch.column(4)[i].as_buffer(), U64)
+                if (hub[i], dealt[i]) != deal:
+                    deal, last, kept = (hub[i], dealt[i]), cls[i], tokens
+                elif cls[i] != last:
+                    last = cls[i]  # rows that repeat don't count again
+                    p, q = (kept, tokens) if len(kept) <= len(tokens) else (tokens, kept)
                     at = np.searchsorted(q, p)
                     at[at == len(q)] = 0
                     shared = p[q[at] == p]
                     both = len(shared)
                     spread = np.bincount((shared % U64(GROUPS)).astype(np.int64), minlength=GROUPS)
-                    found.append({"a": int(a[i]), "b": int(b[i]), "both": both, "spread": spread, "linked": both * t.den >= t.num * (len(p) + len(q) - both)})
+                    a, b = sorted((int(hub[i]), int(last)))
+                    found.append({"a": a, "b": b, "both": both, "spread": spread, "linked": both * t.den >= t.num * (len(p) + len(q) - both)})
             yield pa.RecordBatch.from_pylist(found, schema=kind)
-            found = []
 
-    return moved.repartition(shuffle_partitions(docs.sparkSession), "a", "b").sortWithinPartitions("a", "b", "cls").mapInArrow(check, "a long, b long, both long, spread array<int>, linked boolean")
+    dealt = moved.repartition(shuffle_partitions(docs.sparkSession), "hub", "deal").sortWithinPartitions("hub", "deal", "spoke", "cls")
+    return dealt.mapInArrow(check, "a long, b long, both long, spread array<int>, linked boolean")
 
 
-def _tokens_of(rest: DataFrame, docs: DataFrame, key: str, text: str, k: int, classes: DataFrame) -> DataFrame:
+def _tokens_of(rest: DataFrame, docs: DataFrame, key: str, text: str, k: int, classes: DataFrame, width: int) -> DataFrame:
     """(cls, tok) of the sets of ``rest``."""
     sets = rest.select("cls").distinct()
     one = stored(sets.join(classes.select("cls", F.coalesce("least", F.lit(NO_KEY)).alias("least")), "cls"), "asks")
@@ -518,7 +561,7 @@ def _tokens_of(rest: DataFrame, docs: DataFrame, key: str, text: str, k: int, cl
             keys = set_keys(values, offsets)
             hit = np.flatnonzero(keys != 0)
             pos, owner = _flat(offsets, hit)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit[owner])), pa.array(keys[hit][owner]), pa.array(values[pos].view(np.int64))], ["least", "cls", "tok"])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit[owner])), pa.array(names(keys, np.diff(offsets), width)[hit][owner]), pa.array(values[pos].view(np.int64))], ["least", "cls", "tok"])
 
     tokens = _keyed_texts(docs, key, text).mapInArrow(unfold, "least long, cls long, tok long")
     return tokens.join(one, ["cls", "least"]).select("cls", "tok")
@@ -542,9 +585,12 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     scanned = stored(_scan(docs, key, text, k), "sets")
     rows = scanned.where("tok is null")
     total, tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    classes = stored(rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = rows.where("n > 0").groupBy(F.col("cls").alias("key")).agg(F.min("n").alias("n"), F.min("doc").alias("least"), F.count(F.lit(1)).alias("copies"))
+    classes = stored(classes, "classes")
+    width = _width(classes)
+    classes = classes.withColumn("cls", _name(width))
     parts = max(shuffle_partitions(spark), -(-tokens // SIGNATURES_A_TASK))
-    found = stored(_buckets(_index(docs, key, text, k, t, _common(scanned, total), _hot(classes), parts), parts, t), "buckets")
+    found = stored(_buckets(_index(docs, key, text, k, t, _common(scanned, total), _hot(classes), parts, width), parts, t, width), "buckets")
 
     # an entry that shares fewer signatures than any partner would is out
     viable = found.where("kind = 2").groupBy(F.col("a").alias("cls"), F.col("b").alias("code")).agg(F.sum("c").alias("n"), F.max("d").alias("need"))
@@ -562,7 +608,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
 
     # first each set meets its least candidate, which joins most of what belongs together
     first = stored(small.unionByName(star).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
-    tried = stored(_verify(docs, key, text, k, first, classes, t), "tried")
+    tried = stored(_verify(docs, key, text, k, first, classes, t, width), "tried")
     roots = components(tried.where("linked"))
 
     def root_of(name: str, to: str) -> DataFrame:
@@ -578,7 +624,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         nonlocal tried, roots
         more = stored(more.distinct().join(tried, ["a", "b"], "left_anti"), "more")
         if not more.isEmpty():
-            tried = stored(tried.unionByName(_verify(docs, key, text, k, more, classes, t)), "tried")
+            tried = stored(tried.unionByName(_verify(docs, key, text, k, more, classes, t, width)), "tried")
             roots = components(tried.where("linked"))
 
     def ordered(x: str, y: str) -> tuple[Column, Column]:
@@ -592,7 +638,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     if rest.isEmpty():
         add(more)
     else:
-        tokens = _tokens_of(rest, docs, key, text, k, classes)
+        tokens = _tokens_of(rest, docs, key, text, k, classes, width)
         alone = tokens.groupBy("tok").agg(F.min("cls").alias("cls"), F.max("cls").alias("other")).where("cls = other")
         own = alone.groupBy("cls").agg(F.count(F.lit(1)).alias("own"))
         rest = rest.join(own, "cls", "left").withColumn("avail", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
@@ -633,7 +679,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     named = classes.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = stored(named, "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("cls", "component_id")
+    named = named.join(least, "root").select(F.col("key").alias("cls"), "component_id")
     return rows.join(named, "cls", "left").select(
         F.col("doc").alias(key),
         F.col("n").alias("n_shingles"),

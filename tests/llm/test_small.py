@@ -713,6 +713,65 @@ def test_jaccard_family_meets_once(spark, monkeypatch):
     assert last.most > 30 and last.pairs <= 6 * 60 * 60
 
 
+def test_jaccard_index_weighs_little(spark, monkeypatch):
+    """A signature alone in its task is sent with 4 bytes of its own and 4 of its set's name."""
+    rng = random.Random(5)
+    rows = [(i, _text(rng, 300), "en") for i in range(40)]
+    monkeypatch.setattr(jaccard_join, "SIGNATURES_A_TASK", 10)
+    weights, buckets = [], jaccard_join._buckets
+
+    def weighed(packed, *more):
+        weights.append(packed.agg(F.sum(F.length("sigs") + F.length("owners"))).first()[0])
+        return buckets(packed.limit(0), *more)
+
+    monkeypatch.setattr(jaccard_join, "_buckets", weighed)
+    jaccard_join.jaccard_classes(_docs(spark, rows))
+    values, offsets = jaccard_join.token_sets(pa.array([t for _, t, _ in rows]), 5)
+    n = len(jaccard_join.signatures(values, offsets, np.array([], np.uint64), jaccard_join.Threshold()).signature)
+    assert 0 < weights[0] <= 8 * n
+
+
+def test_jaccard_hub_is_sent_once_a_deal(spark, monkeypatch):
+    """A set that many meet isn't sent to each of its pairs."""
+    rng = random.Random(6)
+    base = _text(rng, 200).split()
+    rows = [(i, _edited(rng, base, 2), "en") for i in range(70)]
+    sets, root = _classes(rows)
+    kept = {}
+
+    def stored(df, name):
+        return kept.setdefault(name, []).append(shared.stored(df, name)) or kept[name][-1]
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(_docs(spark, rows)).collect()}
+    assert [got[i] for i in range(70)] == [min(j for j in range(70) if root[j] == root[i]) for i in range(70)]
+    pairs = kept["first"][0].count()
+    assert pairs > 50 and kept["tried"][0].count() == pairs and kept["asks"][0].count() <= 1.2 * pairs
+
+
+@pytest.mark.parametrize("bits", [24, 40])
+def test_jaccard_names_that_are_alike(spark, monkeypatch, bits):
+    """Sets whose keys are alike in their low bytes are told apart, and signatures that are alike in a task lose no link."""
+    rng = random.Random(8)
+    base = _text(rng, 90).split()
+    rows = [(i, _edited(rng, base if i % 2 else _text(rng, 40).split(), i % 12), "en") for i in range(90)]
+    sets, root = _classes(rows)
+    plain_keys, plain_signatures = jaccard_join.set_keys, jaccard_join.signatures
+
+    def keys(values, offsets):
+        return plain_keys(values, offsets) >> bits << bits
+
+    def signatures(*about):
+        out = plain_signatures(*about)
+        out.signature &= np.uint64(0xFFFFFF00000003FF)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "set_keys", keys)
+    monkeypatch.setattr(jaccard_join, "signatures", signatures)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(_docs(spark, rows)).collect()}
+    assert [got[i] for i in range(90)] == [min(j for j in range(90) if root[j] == root[i]) for i in range(90)]
+
+
 def test_jaccard_reads_only_asked_texts():
     """What the filter of keys doesn't let pass isn't cut into slices."""
     batch = pa.RecordBatch.from_pydict({"least": [1, 2, 3], "text": ["a", "b", None], "spot": pa.array([5, 6, 7], pa.int64())})
