@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mnemon.llm.textscan import BLOCK, U64, mix, pieces, powers, text_bytes
+from mnemon.llm.textscan import BLOCK, U64, give_back, mix, pieces, powers, text_bytes
 
 MARK = "▁"
 #: Distinct words that a worker keeps encoded.
 KEEP_WORDS = 800_000
 #: Pairs of pieces that a worker remembers.
 KEEP_STEPS = 300_000
+#: Bytes of texts encoded at once: a step takes some 30 bytes of a worker's memory for each.
+SLICE = 1 << 20
 _WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
@@ -210,9 +212,11 @@ class Encoder:
             many[i] = len(ids)
             flat += ids
         at = (len(self.ids) + np.cumsum(many) - many).astype(np.int32)
-        known, where, count = np.concatenate((self.known, new)), np.concatenate((self.at, at)), np.concatenate((self.many, many.astype(np.int32)))
-        order = np.argsort(known)
-        self.known, self.at, self.many = known[order], where[order], count[order]
+        # both are in order, so the new go between the known, one column after the other
+        place = np.searchsorted(self.known, new)
+        self.known = np.insert(self.known, place, new)
+        self.at = np.insert(self.at, place, at)
+        self.many = np.insert(self.many, place, many.astype(np.int32))
         self.ids = np.concatenate((self.ids, np.array(flat, dtype=self.ids.dtype)))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +228,9 @@ class Encoder:
         # a space before each text that isn't empty
         begin = np.concatenate(([0], np.cumsum(size + full)))
         data = np.full(begin[-1], 32, dtype=np.uint8)
-        data[np.arange(len(raw)) + np.repeat(np.cumsum(full), size)] = raw
+        own = np.ones(len(data), dtype=bool)
+        own[begin[:-1][full]] = False
+        data[own] = raw
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(size) + 1, np.int64)
         space, line = data == 32, data == 10
@@ -244,7 +250,8 @@ class Encoder:
             spot = np.searchsorted(self.known, distinct)
         where, many = self.at[spot][back].astype(np.int64), self.many[spot][back].astype(np.int64)
         total = np.cumsum(many)
-        pos = np.arange(total[-1]) + np.repeat(where - (total - many), many)
+        pos = np.repeat(where - (total - many), many)
+        pos += np.arange(total[-1])
         words_before = np.searchsorted(starts, begin)
         return self.ids[pos].astype(np.int32), np.concatenate(([0], total))[words_before]
 
@@ -252,15 +259,15 @@ class Encoder:
         """(bytes, offsets) of the texts; the space before a text goes."""
         size = self.size[ids]
         total = np.cumsum(size)
-        out = self.flat[np.arange(total[-1] if len(total) else 0) + np.repeat(self.start[ids] - (total - size), size)]
+        spot = np.repeat(self.start[ids] - (total - size), size)
+        spot += np.arange(len(spot))
+        out = self.flat[spot]
         at = np.concatenate(([0], total))[offsets]
         drop = at[:-1][(np.diff(at) > 0)]
         drop = drop[out[drop] == 32]
-        gone = np.zeros(len(out) + 1, dtype=np.int64)
-        gone[drop + 1] = 1
         keep = np.ones(len(out), dtype=bool)
         keep[drop] = False
-        return out[keep], at - np.cumsum(gone)[at]
+        return out[keep], at - np.searchsorted(drop, at)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -291,7 +298,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         is_byte = np.zeros(len(coder.size), dtype=np.int64)
         is_byte[coder.v.byte_ids] = 1
         for batch in batches:
-            for part in pieces(batch, text):
+            for part in pieces(batch, text, SLICE):
                 column = part.column(1)
                 ids, offsets = coder.encode(column)
                 plain, at = coder.decode(ids, offsets)
@@ -315,6 +322,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                 mask = column.is_null().to_numpy(zero_copy_only=False)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), mask=np.append(mask, False)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(count), pa.array(np.diff(own)), pa.array(same)], [key, "ids", "n_pieces", "n_byte_pieces", "round_trip"])
+            give_back()
 
     return docs.select(F.col(key).cast("long").alias(key), F.col(text)).mapInArrow(work, f"`{key}` long, ids array<int>, n_pieces long, n_byte_pieces long, round_trip boolean")
 

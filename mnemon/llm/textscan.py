@@ -6,6 +6,8 @@ byte is a few table lookups and no Python loop runs over words.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -191,3 +193,10 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: allocators keep it, and workers stay while other stages run."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError, TypeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)

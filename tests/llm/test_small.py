@@ -212,6 +212,33 @@ def test_pieces_match_library(spark, odd, empty):
     assert got[2].ids is None and got[3].ids == [] and got[8].round_trip and not got[9].round_trip and pieceset.encode(empty, PIECE_MODEL).count() == 0
 
 
+def test_encoding_takes_little_memory(spark):
+    """A worker's arrays don't grow with the batch: 15 MB of texts are encoded in some 32 MB."""
+    import tracemalloc
+
+    class Docs:
+        sparkSession = spark
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return work
+
+    rng = random.Random(6)
+    texts = [_text(rng, 4000) for _ in range(550)]
+    work, batch = pieceset.encode(Docs(), PIECE_MODEL), pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+    assert batch.column(1).nbytes > 14e6
+    list(work(iter([batch.slice(0, 1)])))  # the vocabulary and tables that stay
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in work(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(texts) and peak < 50e6
+
+
 def test_relational_fold(spark):
     rng = random.Random(4)
     pieces = {"a": -2.0, "b": -3.0, "ab": -4.0, "ba": -3.5, "aba": -6.0, "c": -1.0, "cab": -4.5}
