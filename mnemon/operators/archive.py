@@ -66,11 +66,16 @@ def candidate_rows(candidates: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
+def _archived_candidates(rows: DataFrame, sessions: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``rows`` with sid and candidate_id, by the archive's key: fingerprints have 32 bits, so candidates of a large table share some."""
+    s = sessions.select(F.col("external_session_id").alias("session_id"), F.col("id").alias("sid"))
+    c = candidates.groupBy(F.col("session_id").alias("sid"), "kind", "title").agg(F.min("id").alias("candidate_id"))
+    return rows.join(s, "session_id").join(c, ["sid", "kind", "title"])
+
+
 def promotion_rows(promotions: DataFrame, sessions: DataFrame, candidates: DataFrame) -> DataFrame:
     """Promotions whose session and candidate are archived."""
-    s = sessions.select(F.col("external_session_id").alias("session_id"), F.col("id").alias("sid"))
-    c = candidates.groupBy("content_fingerprint").agg(F.min("id").alias("candidate_id"))
-    return promotions.join(s, "session_id").join(c, "content_fingerprint").select(
+    return _archived_candidates(promotions, sessions, candidates).select(
         "candidate_id", F.col("sid").alias("session_id"), "target_file", "target_section", "entry_slug", "promotion_mode", "content_markdown"
     )
 
@@ -84,12 +89,11 @@ def session_project_rows(sessions: DataFrame, archived: DataFrame, catalogue: Da
     )
 
 
-def candidate_project_rows(candidates: DataFrame, archived: DataFrame, catalogue: DataFrame) -> DataFrame:
+def candidate_project_rows(candidates: DataFrame, sessions: DataFrame, archived: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Links of candidates: the primary project and the first three hints, the first of each slug that is sure enough."""
-    ids = archived.groupBy("content_fingerprint").agg(F.min("id").alias("candidate_id"))
     hints = F.coalesce("project_hints", F.array().cast(candidates.schema["project_hints"].dataType))
-    rows = candidates.select("content_fingerprint", F.posexplode(F.concat(F.slice(hints, 1, 1), F.slice(hints, 1, 3))).alias("pos", "h")).where(F.col("h.confidence") >= projects.LINK_CONFIDENCE)
-    joined = rows.join(ids, "content_fingerprint").join(catalogue.select("slug", F.col("id").alias("project_id")), F.col("h.slug") == F.col("slug"))
+    rows = candidates.select("session_id", "kind", "title", F.posexplode(F.concat(F.slice(hints, 1, 1), F.slice(hints, 1, 3))).alias("pos", "h")).where(F.col("h.confidence") >= projects.LINK_CONFIDENCE)
+    joined = _archived_candidates(rows, sessions, archived).join(catalogue.select("slug", F.col("id").alias("project_id")), F.col("h.slug") == F.col("slug"))
     order = Window.partitionBy("candidate_id", "slug").orderBy("pos")
     return joined.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("candidate_id", "project_id", F.lit("inherited").alias("link_source"), F.col("h.confidence").alias("confidence_score"))
 

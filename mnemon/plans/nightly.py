@@ -92,7 +92,7 @@ def build(
     kept["session_projects"] = archive.session_project_rows(final, kept["sessions"], kept["projects"])
     kept["messages"] = archive.message_rows(mine, kept["sessions"])
     kept["candidates"] = archive.candidate_rows(made, kept["sessions"])
-    kept["candidate_projects"] = archive.candidate_project_rows(made, kept["candidates"], kept["projects"])
+    kept["candidate_projects"] = archive.candidate_project_rows(made, kept["sessions"], kept["candidates"], kept["projects"])
     kept["promotions"] = archive.promotion_rows(promoted, kept["sessions"], kept["candidates"])
     return Report(final, mine, made, promoted, retention.purge_plan(final, purge), rows, docs, embeddings.embedding_rows(docs, vectors), kept, scanned, window)
 

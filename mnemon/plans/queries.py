@@ -305,10 +305,12 @@ def candidate_project_link(spark: SparkSession, d: str) -> DataFrame:
     """Documents as candidates of three hints; of one slug the first that is sure enough counts."""
     hints = F.array(*(F.struct(slug.alias("slug"), c.cast("double").alias("confidence")) for slug, c in ((F.col("source"), F.col("n_chars") % 10 / 10), (F.col("lang"), F.lit(0.9)), (F.col("source"), F.lit(0.95)))))
     docs = _table(spark, d, "documents")
-    made = docs.select(F.concat(F.lit("c"), "doc_id").alias("content_fingerprint"), hints.alias("project_hints"))
-    archived = docs.select(F.concat(F.lit("c"), "doc_id").alias("content_fingerprint"), F.concat(F.lit("k"), "doc_id").alias("id"))
+    one, sid = (F.lit("fact").alias("kind"), F.lit("t").alias("title")), F.concat(F.lit("s"), "doc_id")
+    made = docs.select(F.col("doc_id").cast("string").alias("session_id"), *one, hints.alias("project_hints"))
+    kept = docs.select(F.col("doc_id").cast("string").alias("external_session_id"), sid.alias("id"))
+    archived = docs.select(sid.alias("session_id"), *one, F.concat(F.lit("k"), "doc_id").alias("id"))
     slugs = docs.select(F.col("source").alias("slug")).union(docs.select("lang")).distinct()
-    return archive.candidate_project_rows(made, archived, slugs.withColumn("id", F.concat(F.lit("p"), "slug")))
+    return archive.candidate_project_rows(made, kept, archived, slugs.withColumn("id", F.concat(F.lit("p"), "slug")))
 
 
 def session_project_link(spark: SparkSession, d: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mnemon import lexicon as L
 from mnemon import providers, schemas
+from mnemon.functions import hashing
 from mnemon.operators import archive, candidates, embeddings, projects, promotions, recall, retention, scoring
 from mnemon.plans import nightly
 from mnemon.sources import transcripts
@@ -166,6 +167,19 @@ def test_upsert_and_purge(spark):
     assert retention.purge_plan(s, False).count() == 0
 
 
+def test_fingerprints_that_meet(spark):
+    """The rolling hash takes Bb and CA for one: two sessions of one text share a fingerprint, and keep candidates of their own."""
+    made = spark.createDataFrame([("xBb", "fact", "fact: t"), ("xCA", "fact", "fact: t")], "session_id string, kind string, title string")
+    made = made.withColumns({"content_fingerprint": hashing.fingerprint(F.concat_ws("|", "session_id", "kind", "title")), "project_hints": F.array(F.struct(F.lit("p").alias("slug"), F.lit(0.9).alias("confidence")))})
+    assert made.select("content_fingerprint").distinct().count() == 1
+    kept = made.select(F.col("session_id").alias("external_session_id"), F.concat(F.lit("s-"), "session_id").alias("id"))
+    rows = made.select(F.concat(F.lit("c-"), "session_id").alias("id"), F.concat(F.lit("s-"), "session_id").alias("session_id"), "kind", "title", "content_fingerprint")
+    promoted = made.withColumns({c: F.lit("x") for c in ("target_file", "target_section", "entry_slug", "promotion_mode", "content_markdown")})
+    assert sorted((r["session_id"], r["candidate_id"]) for r in archive.promotion_rows(promoted, kept, rows).collect()) == [("s-xBb", "c-xBb"), ("s-xCA", "c-xCA")]
+    links = archive.candidate_project_rows(made, kept, rows, spark.createDataFrame([("p", "1")], "slug string, id string"))
+    assert sorted(r["candidate_id"] for r in links.collect()) == ["c-xBb", "c-xCA"]
+
+
 def test_lexicon_matches_schema():
     assert schemas.ARCHIVE["candidates"].allowed["kind"] == L.KINDS and set(schemas.ARCHIVE["candidates"].allowed["decision"]) == set(L.DECISIONS)
 
