@@ -47,7 +47,8 @@ def score(items: DataFrame, tokens: Column, hints: Column) -> DataFrame:
         F.when(F.col("source_type") == "promotion", "promoted_memory_boost"), F.when(stable, F.concat(F.lit("stable_kind:"), "kind")),
         F.when(F.size("overlap") > 0, F.concat(F.lit("keyword_overlap:"), F.array_join("overlap", ","))),
     )
-    rows = items.withColumn("overlap", overlap)
+    # generated, not selected: the filter on the total isn't pushed below it, which would split each text once more
+    rows = items.select("*", F.explode(F.array(overlap)).alias("overlap"))
     rows = rows.withColumns({"metadata_score": metadata.cast("long"), "keyword_score": F.least(F.lit(60), 12 * F.size("overlap")).cast("long"), "why": F.filter(why, lambda x: x.isNotNull())})
     rows = rows.withColumn("total_score", F.greatest(F.lit(0), F.col("metadata_score") + F.col("keyword_score")))
     return rows.where("total_score > 0")

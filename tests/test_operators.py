@@ -1,12 +1,13 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from mnemon import lexicon as L
 from mnemon import providers, schemas
-from mnemon.functions import hashing
+from mnemon.functions import hashing, text
 from mnemon.operators import archive, candidates, embeddings, projects, promotions, recall, retention, scoring
 from mnemon.plans import nightly
 from mnemon.sources import transcripts
@@ -180,6 +181,23 @@ def test_fingerprints_that_meet(spark):
     assert sorted(r["candidate_id"] for r in links.collect()) == ["c-xBb", "c-xCA"]
 
 
+def test_texts_are_split_once(spark):
+    """Scores filter on a sum that needs the words: the words are found once a row, in generated code, as before by splitting and filtering."""
+    odd = ["", None, "a", "a b", "that-and THE/_thing", "K İx ẞß the\u0301 with", "가 나다 한글x 힣힣 ㄱㄴ", "😀the😀and😀", "--", "from\tthe\nfrom\u00a0tion", "x" * 300, "éthe theé"]
+    items = spark.createDataFrame([(str(i), "candidate", "t", c, None, "fact", 0.0) for i, c in enumerate(odd)], "ref string, source_type string, title string, content string, project string, kind string, confidence double")
+    split = F.filter(F.split(F.lower(F.coalesce("content", F.lit(""))), "[^a-z0-9가-힣_/-]+"), lambda t: F.length(t) >= 2)
+    assert items.where(~text.recall_tokens(F.col("content")).eqNullSafe(split)).count() == 0
+    scored = recall.score(items, text.recall_tokens(F.lit("That and the thing with from")), F.array().cast("array<string>"))
+    assert {r["ref"]: r["keyword_score"] for r in scored.collect()} == {r: 12 * n for r, n in _brute(odd, ("that", "and", "the", "thing", "with", "from")).items()}
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+
+
+def _brute(contents, words):
+    """Words in common by item, of those that have any."""
+    found = {str(i): len({w for w in re.findall("[a-z0-9가-힣_/-]+", (c or "").lower()) if w in words}) for i, c in enumerate(contents)}
+    return {i: n for i, n in found.items() if n}
+
+
 def test_lexicon_matches_schema():
     assert schemas.ARCHIVE["candidates"].allowed["kind"] == L.KINDS and set(schemas.ARCHIVE["candidates"].allowed["decision"]) == set(L.DECISIONS)
 
