@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from mnemon.functions import numbers, text
@@ -154,13 +159,86 @@ def recall(query: str, candidates: DataFrame, promotions: DataFrame, k: int = 5,
     return Recall(merge(ranked, near, k), query, plain, hints, "ok", near, [*steps, "semantic_embedding", "cosine_similarity", "score_merge"])
 
 
+#: Counts (rows times queries) that a worker holds at once.
+COUNTS = 1 << 16
+
+
 def batch_overlap(corpus_rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, ref, overlap, rank): for many queries, by an inverted index instead of a comparison of all.
 
-    ``queries`` has (query_id, text); the k best by distinct words in common, ties by ref.
+    ``queries`` has (query_id, text); the k best by distinct words in common, ties by ref.  The queries' words
+    go to every worker, so these must fit into one.  Of the corpus only the words that are asked for are
+    shuffled, as numbers; rows of one ref meet there in order, are counted some at a time, and a task hands
+    on k a query.  So no task holds its pairs of queries and refs.
     """
-    words = corpus_rows.select("ref", F.explode(F.array_distinct(text.recall_tokens(F.col("content")))).alias("token"))
-    asked = queries.select("query_id", F.explode(F.array_distinct(text.recall_tokens(F.col("text")))).alias("token"))
-    counts = words.join(asked, "token").groupBy("query_id", "ref").agg(F.count(F.lit(1)).alias("overlap"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("overlap"), "ref")
-    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    spark = corpus_rows.sparkSession
+    asked = queries.select("query_id", F.array_distinct(text.recall_tokens(F.col("text"))).alias("tokens")).toArrow()
+    ids = asked["query_id"].combine_chunks()
+    names = ids.unique()
+    query_of = pc.index_in(ids, names).to_numpy(zero_copy_only=False)
+    lists = asked["tokens"].combine_chunks()
+    flat = lists.flatten()
+    words = flat.unique()
+    # by word: the queries that have it, each as often as its rows do
+    word, who = pc.index_in(flat, words).to_numpy(zero_copy_only=False), query_of[pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)]
+    by_word = who[np.argsort(word, kind="stable")].astype("int64")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(word.astype("int64"), minlength=len(words)))]).astype("int64")
+    named = spark.createDataFrame(pa.table({"_q": pa.array(range(len(names)), "int32"), "query_id": names}), T.StructType([T.StructField("_q", T.IntegerType()), queries.schema["query_id"]]))
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tokens = b.column(1)
+            code = pc.index_in(tokens.flatten(), words)
+            known = pc.is_valid(code)
+            row = pc.list_parent_indices(tokens).filter(known).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(tokens)))]).astype("int32")
+            found = pa.ListArray.from_arrays(pa.array(ends), code.filter(known))
+            some = pa.array(np.diff(ends) > 0)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(some), found.filter(some)], ["ref", "codes"])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, step = len(names), max(1, COUNTS // max(1, len(names)))
+        kept = (np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0, object))  # query, overlap, ref, in order of refs
+        least = np.zeros(n, "int64")  # a query's k-th overlap
+        last, open_counts = None, None  # the ref that may go on in the next rows
+
+        def take(refs: np.ndarray, counts: np.ndarray) -> None:
+            nonlocal kept
+            at, q = np.nonzero(counts > least)  # later refs lose ties
+            if not len(at):
+                return
+            q, c, r = (np.concatenate(x) for x in zip(kept, (q, counts[at, q], refs[at])))
+            order = np.lexsort((np.arange(len(q)), -c, q))
+            q, c, r = q[order], c[order], r[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            least[q[place == k - 1]] = c[place == k - 1]
+            kept = (q[place < k], c[place < k], r[place < k])
+
+        for b in batches:
+            refs, codes = np.array(b.column(0).to_pylist(), object), b.column(1)
+            for at in range(0, len(refs), step):
+                part, lists = refs[at : at + step], codes.slice(at, step)
+                new = np.concatenate([[True], part[1:] != part[:-1]])
+                run = np.cumsum(new) - 1
+                code = lists.flatten().to_numpy(zero_copy_only=False).astype("int64")
+                row = run[pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)]
+                often = starts[code + 1] - starts[code]
+                entry = np.repeat(starts[code] - np.cumsum(often) + often, often) + np.arange(often.sum())
+                counts = np.bincount(np.repeat(row, often) * n + by_word[entry], minlength=(run[-1] + 1) * n).reshape(-1, n)
+                whole = part[new]
+                if open_counts is not None:
+                    if whole[0] == last:
+                        counts[0] += open_counts
+                    else:
+                        take(np.array([last], object), open_counts[None])
+                take(whole[:-1], counts[:-1])
+                last, open_counts = whole[-1], counts[-1]
+        if open_counts is not None:
+            take(np.array([last], object), open_counts[None])
+        yield pa.RecordBatch.from_arrays([pa.array(kept[0], "int32"), pa.array(kept[2].tolist(), "string"), pa.array(kept[1], "int64")], ["_q", "ref", "overlap"])
+
+    found = corpus_rows.select("ref", F.array_distinct(text.recall_tokens(F.col("content"))).alias("tokens")).mapInArrow(numbered, "ref string, codes array<int>")
+    pairs = found.repartition("ref").sortWithinPartitions("ref").mapInArrow(best, "_q int, ref string, overlap long")
+    order = Window.partitionBy("_q").orderBy(F.desc("overlap"), "ref")
+    top = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return top.join(F.broadcast(named), "_q").select("query_id", "ref", "overlap", "rank")

@@ -1,5 +1,7 @@
+import collections
 import datetime as dt
 import json
+import random
 import re
 
 import pytest
@@ -192,6 +194,28 @@ def test_texts_are_split_once(spark):
     assert scored._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
 
 
+def test_batch_overlap(spark, monkeypatch):
+    """Repeated refs and query ids count together, over the borders of slices; pairs of queries and refs are never aggregated in Spark."""
+    monkeypatch.setattr(recall, "COUNTS", 12)
+    words, draw = [f"w{i}" for i in range(12)], random.Random(3)
+    say = lambda n: " ".join(draw.choices(words, k=n))
+    docs = [(f"r{draw.randrange(60):02d}" if i % 3 else "same", say(draw.randrange(9))) for i in range(200)] + [("none", None), ("zz", "other words")]
+    asked = [(7, say(5)), (None, say(3)), (7, say(4)), (2, "w1"), (3, "nobody says this"), (9, None), (4, say(12))]
+    want = {}
+    for q in {q for q, _ in asked}:
+        sums = collections.Counter()
+        for ref, content in docs:
+            sums[ref] += sum(len(set((content or "").split()) & set((t or "").split())) for i, t in asked if i == q)
+        ranked = sorted((-n, ref) for ref, n in sums.items() if n)[:4]
+        want |= {(q, ref): (-n, i + 1) for i, (n, ref) in enumerate(ranked)}
+    a, b = spark.createDataFrame(docs, "ref string, content string").repartition(5), spark.createDataFrame(asked, "query_id long, text string")
+    top = recall.batch_overlap(a, b, 4)
+    assert {(r["query_id"], r["ref"]): (r["overlap"], r["rank"]) for r in top.collect()} == want
+    assert top.dtypes == [("query_id", "bigint"), ("ref", "string"), ("overlap", "bigint"), ("rank", "int")]
+    assert "Aggregate" not in top._jdf.queryExecution().optimizedPlan().toString()
+    assert recall.batch_overlap(a, b.limit(0), 4).count() == recall.batch_overlap(a.limit(0), b, 4).count() == 0
+
+
 def _brute(contents, words):
     """Words in common by item, of those that have any."""
     found = {str(i): len({w for w in re.findall("[a-z0-9가-힣_/-]+", (c or "").lower()) if w in words}) for i, c in enumerate(contents)}
