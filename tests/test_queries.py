@@ -49,3 +49,9 @@ def test_entry(spark):
 def test_project_hints(spark):
     rows = queries.project_hints(spark, DATA).collect()
     assert rows and all(0.6 <= r["confidence"] <= 1 for r in rows) and {r["rank"] for r in rows} >= {1}
+
+
+def test_recall_merge_splits_once(spark):
+    """Documents' texts are lowered and split in one place of the plan, not in the filter on the total as well."""
+    plan = queries.recall_merge(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == plan.count("regexp_extract_all(") == 1
